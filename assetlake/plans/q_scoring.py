@@ -204,3 +204,25 @@ SELECT p_partkey, w, h, channels,
        w BETWEEN 32 AND 4096 AND h BETWEEN 32 AND 4096 AND channels IN (1, 3, 4) AS valid
 FROM g
 """)(size_gate)
+
+
+# ---------------------------------------------------------------- training and batch scoring (no SQL twin)
+
+def train_score(spark, d):
+    """M3 + M1: fit a multinomial classifier on the train split of the
+    embeddings (vector -> label name) and score the held-out rows. An
+    iterative fit has no SQL equivalent, so this query has no oracle."""
+    from assetlake.operators.split import split_hash
+    from assetlake.operators.train import feature_vector, fit, score
+
+    e = read_table(spark, d, "embeddings").select(
+        "vec_id", "embedding", F.concat(F.lit("c"), F.col("label").cast("string")).alias("label_name"))
+    e = feature_vector(split_hash(e, "vec_id", 42), ["embedding"])
+    model = fit(e.filter(F.col("dataset_split") == "train"), "label_name", max_iter=30)
+    held = e.filter(F.col("dataset_split") != "train")
+    s = score(model, held)
+    return s.select("vec_id", F.col("label_name").alias("label"), "pred_label",
+                    C.round6("pred_score").alias("pred_score"))
+
+
+register("train_score")(train_score)
