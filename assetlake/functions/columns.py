@@ -94,8 +94,14 @@ def b64(binary) -> Column:
 
 
 def title(text) -> Column:
-    """F16: title case that also capitalises after ``_`` (as Python does)."""
-    return F.array_join(F.transform(F.split(_c(text), "_"), lambda w: F.initcap(w)), "_")
+    """F16: title case that also capitalises after ``_`` (as Python does).
+
+    ``initcap`` only starts words after a space, so a space is put after
+    each ``_`` and taken out again: plain string functions, kept in
+    whole-stage codegen (a ``transform`` lambda would not be).
+    """
+    spaced = F.regexp_replace(_c(text), "_", "_ ")
+    return F.regexp_replace(F.initcap(spaced), "_ ", "_")
 
 
 def percent_text(ratio, places: int = 1) -> Column:

@@ -7,7 +7,7 @@ failing the batch.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values of the surveyed app.
@@ -58,35 +58,37 @@ def request_json(payload_b64, column_name: str = "processed_image_data") -> Colu
     return F.to_json(F.struct(inner.alias("dataframe_split")))
 
 
-def parse_response(status, body) -> tuple[Column, Column]:
-    """(label, score) of a stored response.
+def parse_responses(df: DataFrame, status: str, body: str, label_out: str = "label",
+                    score_out: str = "score") -> DataFrame:
+    """Add (label, score) parsed from stored responses.
 
     Non-200 -> ('Error', 0.0); body that is not JSON -> ('JSON Error', 0.0);
     else ``predictions[0]``, or the first list element, or the object, with
-    label default 'Unknown' and score default 0.0, then the gate.
+    label default 'Unknown' and score default 0.0, then the gate. A chosen
+    prediction that is not an object (empty list, a number, ...) is an
+    error, as the surveyed code fails on ``.get`` there.
+
+    The JSON is parsed once into a VARIANT column and each later step reads
+    that column: written as one nested expression, Catalyst inlines the
+    prediction sub-expression into every use and parses it again.
     """
-    v = F.try_parse_json(_c(body))
-
-    def kind(x: Column) -> Column:
-        return F.schema_of_variant(x)
-
-    is_obj = kind(v).startswith("OBJECT")
-    has_preds = is_obj & F.try_variant_get(v, "$.predictions", "variant").isNotNull()
-    pred = (F.when(has_preds, F.try_variant_get(v, "$.predictions[0]", "variant"))
-            .when(kind(v).startswith("ARRAY"), F.try_variant_get(v, "$[0]", "variant"))
-            .otherwise(v))
-    # A chosen prediction that is not an object (empty list, a number, ...)
-    # is an error, as the surveyed code fails on ``.get`` there.
-    pred_ok = F.coalesce(kind(pred).startswith("OBJECT"), F.lit(False))
-    label = F.coalesce(F.try_variant_get(pred, "$.label", "string"), F.lit(UNKNOWN_LABEL))
-    score = F.coalesce(F.try_variant_get(pred, "$.score", "double"), F.lit(0.0))
-    ok = F.coalesce(_c(status) == F.lit(200), F.lit(False))
-    out_label = (F.when(~ok, F.lit("Error"))
-                 .when(v.isNull(), F.lit("JSON Error"))
-                 .when(~pred_ok, F.lit("Error"))
-                 .otherwise(gate(label, score)))
-    out_score = F.when(ok & v.isNotNull() & pred_ok, score).otherwise(F.lit(0.0))
-    return out_label, out_score
+    t = df.withColumn("_v", F.try_parse_json(F.col(body)))
+    t = t.withColumn("_vk", F.schema_of_variant("_v"))
+    has_preds = F.col("_vk").startswith("OBJECT") & F.try_variant_get("_v", "$.predictions", "variant").isNotNull()
+    t = t.withColumn("_p", F.when(has_preds, F.try_variant_get("_v", "$.predictions[0]", "variant"))
+                     .when(F.col("_vk").startswith("ARRAY"), F.try_variant_get("_v", "$[0]", "variant"))
+                     .otherwise(F.col("_v")))
+    t = (t.withColumn("_pok", F.coalesce(F.schema_of_variant("_p").startswith("OBJECT"), F.lit(False)))
+         .withColumn("_lb", F.coalesce(F.try_variant_get("_p", "$.label", "string"), F.lit(UNKNOWN_LABEL)))
+         .withColumn("_sc", F.coalesce(F.try_variant_get("_p", "$.score", "double"), F.lit(0.0))))
+    ok = F.coalesce(F.col(status) == F.lit(200), F.lit(False))
+    parsed = F.col("_v").isNotNull()
+    t = t.withColumn(label_out, F.when(~ok, F.lit("Error"))
+                     .when(~parsed, F.lit("JSON Error"))
+                     .when(~F.col("_pok"), F.lit("Error"))
+                     .otherwise(gate(F.col("_lb"), F.col("_sc"))))
+    t = t.withColumn(score_out, F.when(ok & parsed & F.col("_pok"), F.col("_sc")).otherwise(F.lit(0.0)))
+    return t.drop("_v", "_vk", "_p", "_pok", "_lb", "_sc")
 
 
 def shown(label) -> Column:

@@ -126,9 +126,8 @@ parsed AS (SELECT event_id, status,
 
 
 def response_parse(spark, d):
-    r = _responses(spark, d)
-    label, score = SC.parse_response("status", "body")
-    return r.select("event_id", "status", label.alias("label"), C.round6(score).alias("score"))
+    r = SC.parse_responses(_responses(spark, d), "status", "body")
+    return r.select("event_id", "status", "label", C.round6("score").alias("score"))
 
 
 register("response_parse", f"""WITH {_RESP_SQL}
@@ -137,9 +136,8 @@ SELECT event_id, status, label, {r6('score')} AS score FROM parsed
 
 
 def response_errors(spark, d):
-    r = _responses(spark, d)
-    label, _ = SC.parse_response("status", "body")
-    g = r.select(label.alias("label")).groupBy("label").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    r = SC.parse_responses(_responses(spark, d), "status", "body")
+    g = r.groupBy("label").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
     return g.withColumn("shown", SC.shown(F.col("label")))
 
 

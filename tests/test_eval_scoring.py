@@ -56,8 +56,7 @@ def test_parse_response_shapes(spark):
         (200, '{"predictions":[]}', "Error", 0.0),
     ]
     df = spark.createDataFrame([(s, b) for s, b, _, _ in rows], "status int, body string")
-    label, score = SC.parse_response("status", "body")
-    got = [(r.l, r.s) for r in df.select(label.alias("l"), score.alias("s")).collect()]
+    got = [(r.label, r.score) for r in SC.parse_responses(df, "status", "body").collect()]
     assert got == [(lbl, sc) for _, _, lbl, sc in rows]
 
 
