@@ -14,7 +14,7 @@ from assetlake.operators import encode as E
 from assetlake.operators import split as S
 from assetlake.operators.changes import snapshot_changes
 from assetlake.operators.diagnose import first_k_per_group
-from assetlake.operators.ingest import wanted_split
+from assetlake.operators.ingest import flag_known
 from assetlake.plans.medallion import ACCEPTED_FORMATS, bronze, documents_silver, gold
 from assetlake.plans.registry import r6, register, split_case, sql_list, uhash
 from assetlake.sources.config import invert, with_positions
@@ -180,9 +180,7 @@ FROM documents WHERE source IS NOT NULL AND lang IS NOT NULL GROUP BY source
 def keys_missing(spark, d):
     cust = read_table(spark, d, "customer").select(F.col("c_custkey").alias("key"))
     orders = read_table(spark, d, "orders").select(F.col("o_custkey").alias("key"))
-    known, missing = wanted_split(cust, orders)
-    return union_all([known.withColumn("has_orders", F.lit(True)),
-                      missing.withColumn("has_orders", F.lit(False))]).withColumnRenamed("key", "c_custkey")
+    return flag_known(cust, orders, "key", "has_orders").withColumnRenamed("key", "c_custkey")
 
 
 register("keys_missing", """

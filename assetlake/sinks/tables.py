@@ -63,3 +63,28 @@ def log_run(df_rows: DataFrame, table: str, run_id: str) -> None:
     """K9: append a run's rows with its id and time."""
     (df_rows.withColumn("run_id", F.lit(run_id)).withColumn("ts", F.current_timestamp())
      .write.mode("append").format("parquet").saveAsTable(table))
+
+
+def save_status(status: DataFrame, table: str) -> None:
+    """K8: replace the ingest-status table once the asset writes committed.
+
+    The new status must already be pinned (``ingest`` checkpoints it): a
+    table cannot be overwritten by a plan that still reads it.
+    """
+    status.write.mode("overwrite").format("parquet").saveAsTable(table)
+
+
+def register_model(spark: SparkSession, table: str, name: str, path: str, alias: str | None = None,
+                   tags: dict[str, str] | None = None) -> int:
+    """Append a (name, version, alias, path, tags) row; version = previous + 1.
+
+    Reads only the model table's ``version`` column (one row per saved
+    model, small by nature)."""
+    version = 1
+    if spark.catalog.tableExists(table):
+        mx = spark.table(table).filter(F.col("name") == name).agg(F.max("version")).first()[0]
+        version = (mx or 0) + 1
+    row = spark.createDataFrame([(name, version, alias, path, tags or {})],
+                                "name string, version int, alias string, path string, tags map<string,string>")
+    row.withColumn("ts", F.current_timestamp()).write.mode("append").format("parquet").saveAsTable(table)
+    return version
