@@ -42,25 +42,37 @@ def split_rand(df: DataFrame, seed: int = DEFAULT_SEED,
 
 def split_stratified(df: DataFrame, class_col: str, id_col: str, seed: int = DEFAULT_SEED,
                      out: str = "dataset_split") -> DataFrame:
-    """D3: the same thresholds applied to each row's rank inside its class.
-
-    q = rank / n_class, rank 0-based by (u, id). A class's rank is its bucket
-    offset (from a per-class bucket histogram, bounded by classes x buckets)
-    plus the row's position inside its (class, bucket) cell, so no window
-    ever holds a whole class.
+    """D3: the same thresholds applied to each row's position inside its class.
+
+    q = (rows of the class ordered before this row's (u, id) key) / n_class,
+    u = md5(seed:id). Copies of one id share a key, hence one split: a
+    duplicate never lands on both sides of a train/test boundary.
+
+    Rows are first collapsed to distinct keys with counts (partial
+    aggregation, so a key held by a third of all rows shuffles one row per
+    task). A key's position is its (class, bucket) cell offset -- from a
+    per-class histogram of at most 65,536 cells -- plus a running count over
+    the distinct keys of its cell, so no window ever holds a whole class.
+    The per-key result joins back on the key; AQE splits a skewed key's
+    partition on the row side.
     """
-    u = unit_hash(seed, id_col)
-    t = df.withColumn("_u", u).withColumn("_b", F.floor(F.col("_u") * FINE_BUCKETS).cast("int"))
-    hist = t.groupBy(class_col, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    t = df.withColumn("_u", unit_hash(seed, id_col)).withColumn("_b", F.floor(F.col("_u") * FINE_BUCKETS).cast("int"))
+    keys = t.groupBy(class_col, "_b", "_u", id_col).agg(F.count(F.lit(1)).alias("_c"))
+    hist = keys.groupBy(class_col, "_b").agg(F.sum("_c").alias("_n"))
     wc = Window.partitionBy(class_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     offs = (hist.withColumn("_before", F.sum("_n").over(wc) - F.col("_n"))
             .withColumn("_total", F.sum("_n").over(Window.partitionBy(class_col)))
             .select(class_col, "_b", "_before", "_total"))
-    wi = Window.partitionBy(class_col, "_b").orderBy("_u", id_col)
-    ranked = (t.withColumn("_i", F.row_number().over(wi) - 1)
-              .join(offs, [class_col, "_b"])  # shuffle-joined on the cell key; offs has one row per cell
-              .withColumn("_q", (F.col("_before") + F.col("_i")) / F.col("_total")))
-    return ranked.withColumn(out, split_label(F.col("_q"))).drop("_u", "_b", "_before", "_total", "_i", "_q")
+    wk = Window.partitionBy(class_col, "_b").orderBy("_u", id_col).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (keys.withColumn("_in_cell", F.sum("_c").over(wk) - F.col("_c"))
+              .join(offs, [class_col, "_b"])
+              .withColumn("_q", (F.col("_before") + F.col("_in_cell")) / F.col("_total"))
+              .select(F.col(class_col).alias("_kc"), F.col("_b").alias("_kb"), F.col("_u").alias("_ku"),
+                      F.col(id_col).alias("_kid"), split_label(F.col("_q")).alias(out)))
+    # null-safe on the class and id so rows with null keys keep their split
+    cond = (F.col(class_col).eqNullSafe(F.col("_kc")) & (F.col("_b") == F.col("_kb"))
+            & F.col("_u").eqNullSafe(F.col("_ku")) & F.col(id_col).eqNullSafe(F.col("_kid")))
+    return t.join(ranked, cond).select(*df.columns, out)
 
 
 def test_count(n: int, test_size: float) -> int:

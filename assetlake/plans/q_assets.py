@@ -303,7 +303,7 @@ def split_stratified(spark, d):
 
 register("split_stratified", f"""
 WITH u AS (SELECT doc_id, lang, {uhash(SEED, 'doc_id')} AS u FROM documents),
-r AS (SELECT *, (row_number() OVER (PARTITION BY lang ORDER BY u, doc_id) - 1)::DOUBLE
+r AS (SELECT *, (rank() OVER (PARTITION BY lang ORDER BY u, doc_id) - 1)::DOUBLE
                 / count(*) OVER (PARTITION BY lang) AS q FROM u)
 SELECT doc_id, lang, {split_case('q')} AS dataset_split FROM r
 """)(split_stratified)

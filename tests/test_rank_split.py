@@ -74,3 +74,14 @@ def test_sample_n_repeatable(spark):
 def test_unit_hash_range(spark):
     r = spark.range(0, 2000).select(unit_hash(42, "id").alias("u")).agg(F.min("u"), F.max("u")).first()
     assert 0.0 <= r[0] and r[1] < 1.0
+
+
+def test_stratified_copies_share_split(spark):
+    base = spark.range(0, 3000).select(F.col("id").cast("string").alias("id"), (F.col("id") % 3).cast("string").alias("c"))
+    hot = spark.range(0, 1500).select(F.lit("7").alias("id"), F.lit("1").alias("c"))
+    df = base.unionByName(hot).repartition(5)
+    out = S.split_stratified(df, "c", "id")
+    assert out.count() == 4500
+    assert out.filter("id = '7'").select("dataset_split").distinct().count() == 1
+    per = {r.c: r["count"] for r in out.filter("dataset_split = 'train'").groupBy("c").count().collect()}
+    assert abs(per["0"] - 700) <= 1 and abs(per["2"] - 700) <= 1
