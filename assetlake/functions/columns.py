@@ -88,8 +88,13 @@ def b64(binary) -> Column:
 
     Spark 4.1's ``base64`` breaks lines every 76 characters unless
     ``spark.sql.chunkBase64String.enabled`` is false; a transport payload
-    needs one unbroken string whatever the session says.
+    needs one unbroken string whatever the session says. When the active
+    session already turns chunking off, the line-break scan is skipped.
     """
+    from pyspark.sql import SparkSession
+    s = SparkSession.getActiveSession()
+    if s is not None and s.conf.get("spark.sql.chunkBase64String.enabled", "true").lower() == "false":
+        return F.base64(_c(binary))
     return F.regexp_replace(F.base64(_c(binary)), "[\\r\\n]", "")
 
 
@@ -105,8 +110,9 @@ def title(text) -> Column:
 
 
 def percent_text(ratio, places: int = 1) -> Column:
-    """``0.1234 -> '12.3%'``."""
-    return F.format_string(f"%.{places}f%%", _c(ratio) * F.lit(100.0))
+    """``0.1234 -> '12.3%'`` (half-up; a decimal cast stays in codegen,
+    unlike ``format_string``)."""
+    return F.concat((_c(ratio) * F.lit(100.0)).cast(f"decimal(38,{places})").cast("string"), F.lit("%"))
 
 
 def mask(token, keep: int = 10) -> Column:

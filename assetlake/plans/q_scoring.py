@@ -54,7 +54,7 @@ def confidence_gate_band(spark, d):
                      C.title(SC.gate(F.col("event_type"), score)).alias("label"),
                      band.alias("band"), text.alias("band_text"),
                      pct.alias("pct"),
-                     F.format_string("%.1f%%", pct).alias("pct_text"))
+                     C.percent_text(pct / F.lit(100.0)).alias("pct_text"))
 
 
 register("confidence_gate_band", """

@@ -74,3 +74,29 @@ def test_class_flags(spark):
     f = {r.flag: r.hit for r in flags(summary(dist)).collect()}
     assert f == {"significant_imbalance": True, "very_small_class": True, "small_total": True,
                  "extreme_imbalance": False}
+
+
+def test_encode_unknown_and_null(spark):
+    from assetlake.operators.encode import decode, encode, label_table
+    df = spark.createDataFrame([("thai",), ("italian",), ("martian",), (None,)], "c string")
+    names = ["thai", "italian", "mexican"]
+    got = [r.i for r in encode(df, "c", names, "i").collect()]
+    assert got == [2, 0, -1, -1]
+    via_table = [r.i for r in encode(df, "c", label_table(spark, names), "i").collect()]
+    assert sorted(via_table) == sorted(got)
+    back = [r.n for r in decode(encode(df, "c", names, "i"), "i", names, "n").collect()]
+    assert back == ["thai", "italian", None, None]
+
+
+@pytest.mark.parametrize("counts,expect", [
+    ({"a": 150, "b": 50}, {"significant_imbalance": False, "very_small_class": False, "small_total": True,
+                           "extreme_imbalance": False}),
+    ({"a": 151, "b": 50, "c": 300}, {"significant_imbalance": True, "very_small_class": False, "small_total": False,
+                                     "extreme_imbalance": True}),
+    ({"a": 49, "b": 245, "c": 206}, {"significant_imbalance": True, "very_small_class": True, "small_total": False,
+                                     "extreme_imbalance": False}),
+])
+def test_flag_boundaries(spark, counts, expect):
+    rows = [(k,) for k, n in counts.items() for _ in range(n)]
+    dist = distribution(spark.createDataFrame(rows, "c string"), "c")
+    assert {r.flag: r.hit for r in flags(summary(dist)).collect()} == expect

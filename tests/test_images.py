@@ -104,3 +104,36 @@ def test_incremental_stream_three_layers(spark, image_root, tmp_path_factory):
     q2.awaitTermination()
     assert spark.read.parquet(f"{out}/bronze").count() == 12
     assert spark.read.parquet(f"{out}/gold").count() == 5
+
+
+def _jpeg_via_imageio(spark, path, w, h, split_color=True):
+    """JPEG written by the JVM's ImageIO (no Python imaging library)."""
+    jvm = spark.sparkContext._jvm
+    img = jvm.java.awt.image.BufferedImage(w, h, 1)  # TYPE_INT_RGB
+    for y in range(h):
+        for x in range(w):
+            img.setRGB(x, y, 0xFFFFFF if (split_color and x >= w // 2) else 0x000000)
+    f = jvm.java.io.File(path)
+    f.getParentFile().mkdirs()
+    assert jvm.javax.imageio.ImageIO.write(img, "jpg", f)
+
+
+def test_jpeg_and_bronze_edge_rows(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("jpeg"))
+    _jpeg_via_imageio(spark, f"{root}/ramen/ramen_idx_000001.jpg", 64, 48)
+    _jpeg_via_imageio(spark, f"{root}/ramen/noindex.jpeg", 40, 40, split_color=False)
+    _jpeg_via_imageio(spark, f"{root}/ramen/ramen_idx_000002.jpg", 40, 40)
+    b = bronze(binary_files(spark, root), key_from_dir=True)
+    # a bronze row whose content went missing is dropped before any pixel work
+    b = b.withColumn("content", F.when(F.col("filename") == "ramen_idx_000002.jpg", F.lit(None).cast("binary"))
+                     .otherwise(F.col("content")))
+    tax = spark.createDataFrame([("ramen", "japanese")], "key string, group string")
+    s, _ = silver(b, decoded_images(spark, root), tax)
+    rows = {r.filename: r for r in s.collect()}
+    assert set(rows) == {"ramen_idx_000001.jpg", "noindex.jpeg"}
+    r = rows["ramen_idx_000001.jpg"]
+    assert r.image_id == "ramen_000001" and (r.original_width, r.original_height) == (64, 48)
+    assert r.brightness == pytest.approx(0.5, abs=0.02) and r.contrast == pytest.approx(0.5, abs=0.02)
+    nid = rows["noindex.jpeg"].image_id  # null index: repeatable hash fallback
+    assert nid.startswith("ramen_") and len(nid) == 14 and rows["noindex.jpeg"].dataset_index is None
+    assert s.schema["processed_image_data"].metadata["spark.contentAnnotation"] == '{"mimeType": "image/png"}'
