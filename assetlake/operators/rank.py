@@ -9,6 +9,7 @@ data), and only the rows of one boundary bucket are ranked one by one.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -93,10 +94,12 @@ def first_k(df: DataFrame, u: str, ties: list[str], k: int, out: str = "in_first
         # input partition. Pin the copies first so partition ids and row
         # positions are identical in the counting and selecting passes.
         checkpoint_dir(spark)
-        copies = (tagged.filter((F.col("_b") == b_star) & is_key)
+        staged = (tagged.filter((F.col("_b") == b_star) & is_key)
                   .withColumn("_pid", F.spark_partition_id())
                   .withColumn("_mid", F.monotonically_increasing_id())
-                  .checkpoint(eager=True))
+                  .persist(StorageLevel.MEMORY_AND_DISK))
+        copies = staged.checkpoint(eager=True)
+        staged.unpersist()
         per = copies.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
         wp = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
         quota = (per.withColumn("_before", F.sum("_n").over(wp) - F.col("_n"))
@@ -124,12 +127,16 @@ def dense_ids(values: DataFrame, col: str, out: str = "id", partitions: int | No
     """
     spark = values.sparkSession
     checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    d = (values.select(col).where(F.col(col).isNotNull()).distinct()
-         .repartitionByRange(n, col).sortWithinPartitions(col)
-         .withColumn("_pid", F.spark_partition_id())
-         .withColumn("_pos", F.monotonically_increasing_id() - (F.spark_partition_id().cast("bigint") * F.lit(1 << 33)))
-         .checkpoint(eager=True))
+    d = values.select(col).where(F.col(col).isNotNull()).distinct()
+    # without an explicit count AQE may coalesce the range partitions
+    d = d.repartitionByRange(partitions, col) if partitions else d.repartitionByRange(col)
+    staged = (d.sortWithinPartitions(col)
+              .withColumn("_pid", F.spark_partition_id())
+              .withColumn("_pos", F.monotonically_increasing_id()
+                          - (F.spark_partition_id().cast("bigint") * F.lit(1 << 33)))
+              .persist(StorageLevel.MEMORY_AND_DISK))  # the checkpoint write reads this, not a recompute
+    d = staged.checkpoint(eager=True)
+    staged.unpersist()
     per = d.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     wp = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
     offs = per.withColumn("_off", F.sum("_n").over(wp) - F.col("_n")).select("_pid", "_off")

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_CONFIG_BYTES = 1_000_000   # fixed value: the surveyed loader's cap
@@ -72,6 +72,16 @@ def invert(tax: DataFrame) -> DataFrame:
         F.count(F.lit(1)).cast("bigint").alias("n_groups"))
 
 
+def check(tax: DataFrame, keys: DataFrame) -> DataFrame:
+    """Taxonomy vs key list: (key, in_taxonomy, in_key_list) for every key
+    present in either file; rows where the two disagree need attention."""
+    t = tax.where(F.col("key").isNotNull()).select("key").distinct().withColumn("in_taxonomy", F.lit(True))
+    k = keys.where(F.col("key").isNotNull()).select("key").distinct().withColumn("in_key_list", F.lit(True))
+    j = t.join(k, "key", "full_outer")
+    return j.select("key", F.coalesce("in_taxonomy", F.lit(False)).alias("in_taxonomy"),
+                    F.coalesce("in_key_list", F.lit(False)).alias("in_key_list"))
+
+
 def counts(tax: DataFrame) -> DataFrame:
     """A1: groups, listed keys, distinct keys."""
     return tax.agg(F.count_distinct("group").cast("bigint").alias("groups"),
@@ -81,10 +91,14 @@ def counts(tax: DataFrame) -> DataFrame:
 
 def with_positions(pairs: DataFrame, group: str, key: str) -> DataFrame:
     """Taxonomy rows (group, key, group_pos, key_pos) from a (group, key) table,
-    ordered by name (the dense position of each group among the groups)."""
-    g = pairs.select(group).distinct()
-    gp = g.withColumn("group_pos", F.dense_rank().over(Window.orderBy(group)) - 1)
-    return (pairs.join(F.broadcast(gp), group)
+    ordered by name (the dense position of each group among the groups).
+
+    The group positions come from the distributed ``dense_ids`` (no
+    single-task window); the join is left to AQE, which broadcasts the
+    position table only once it has measured it."""
+    from assetlake.operators.rank import dense_ids
+    gp = dense_ids(pairs, group, out="group_pos")
+    return (pairs.join(gp, group)
             .withColumn("key_pos", F.lit(0))
             .select(F.col(group).alias("group"), F.col(key).alias("key"), "group_pos", "key_pos"))
 

@@ -60,3 +60,36 @@ def test_snapshot_changes(spark):
     new = spark.createDataFrame([(1, "a", None), (2, "b", 2), (3, None, None), (5, "e", 5)], "id int, x string, y int")
     got = {r.id: r.change_type for r in snapshot_changes(old, new, "id", keep_same=True).collect()}
     assert got == {1: "same", 2: "update", 3: "same", 4: "delete", 5: "insert"}
+
+
+def test_check_taxonomy_against_keys(spark, tmp):
+    tp = _write(tmp, "tax.json", json.dumps({"italian": ["pizza", "pasta"], "american": ["burger"]}))
+    kp = _write(tmp, "keys.json", json.dumps(["pizza", "burger", "sushi"]))
+    got = {r.key: (r.in_taxonomy, r.in_key_list) for r in CF.check(CF.taxonomy(spark, tp), CF.key_list(spark, kp)).collect()}
+    assert got == {"pizza": (True, True), "burger": (True, True), "pasta": (True, False), "sushi": (False, True)}
+
+
+def test_labelled_examples_names_and_wanted(spark):
+    from assetlake.operators.encode import names_lookup
+    from assetlake.operators.ingest import plan, status_frame
+    names = ["apple_pie", "pizza", "sushi", "tacos"]
+    # interleaved labels, an unwanted label (tacos) and one outside the names array (7)
+    ex = spark.createDataFrame([(i, [1, 2, 3, 7, 1, 2][i % 6], bytes([i])) for i in range(24)],
+                               "idx bigint, label int, content binary")
+    ex = names_lookup(ex, "label", names, "key")
+    wanted = spark.createDataFrame([("pizza",), ("sushi",), ("ramen",)], "key string")
+    p = plan(ex, status_frame(spark, []), wanted, 3)
+    got = sorted((r.key, r.idx) for r in p.collect())
+    assert got == [("pizza", 0), ("pizza", 4), ("pizza", 6), ("sushi", 1), ("sushi", 5), ("sushi", 7)]
+
+
+def test_params_from_conf(spark):
+    spark.conf.set("assetlake.config_volume_path", "/cfg")
+    spark.conf.set("assetlake.bronze_volume_path", "/bronze")
+    spark.conf.set("assetlake.random_seed", "7")
+    p = CF.Params.from_conf(spark)
+    assert (p.config_path, p.bronze_path, p.random_seed, p.silver_schema, p.max_files_per_trigger) == (
+        "/cfg", "/bronze", 7, "silver", 100)
+    spark.conf.unset("assetlake.config_volume_path")
+    with pytest.raises(CF.ConfigError):
+        CF.Params.from_conf(spark)
