@@ -12,6 +12,7 @@ expressions so they can be checked in SQL on any table.
 
 from __future__ import annotations
 
+import functools
 import struct
 import zlib
 
@@ -26,6 +27,7 @@ MIN_SIDE = 32
 MAX_SIDE = 4096
 ACCEPTED_MODES = ["RGB", "RGBA", "L"]
 QUALITY_GAIN = 2.0           # quality_score = min(1, 2 * contrast)
+PNG_LEVEL = 1                # zlib level of the processed PNG: speed over a few % of size
 
 
 # ---------------------------------------------------------------- SQL-side formulas
@@ -92,30 +94,59 @@ def _lanczos(x: np.ndarray, a: int = 3) -> np.ndarray:
     return out
 
 
-def _weights(n_in: int, n_out: int, a: int = 3) -> np.ndarray:
-    """(n_out, n_in) resampling matrix: Lanczos-a, widened when shrinking
-    (antialiasing), rows normalised to 1."""
+@functools.lru_cache(maxsize=512)
+def _band(n_in: int, n_out: int, a: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """Banded resampling weights for one axis: for every output pixel the
+    indices of the input pixels inside the Lanczos-a support (widened by the
+    scale when shrinking, i.e. antialiased) and their normalised weights.
+    Shapes (n_out, K) with K ~ 2 * support; cached per (n_in, n_out)."""
     scale = n_in / n_out
-    support = a * max(scale, 1.0)
+    fscale = max(scale, 1.0)
+    support = a * fscale
     centers = (np.arange(n_out) + 0.5) * scale
-    xs = np.arange(n_in) + 0.5
-    d = (xs[None, :] - centers[:, None]) / max(scale, 1.0)
-    w = _lanczos(d, a)
-    w[np.abs(xs[None, :] - centers[:, None]) > support] = 0.0
+    k = int(np.ceil(2 * support)) + 2
+    idx = np.floor(centers - support).astype(np.int64)[:, None] + np.arange(k)[None, :]
+    dist = idx + 0.5 - centers[:, None]
+    w = _lanczos(dist / fscale, a)
+    w[(np.abs(dist) > support) | (idx < 0) | (idx >= n_in)] = 0.0
     s = w.sum(axis=1, keepdims=True)
     s[s == 0] = 1.0
-    return w / s
+    return np.clip(idx, 0, n_in - 1), (w / s).astype(np.float32)
+
+
+@functools.lru_cache(maxsize=512)
+def _matrix(n_in: int, n_out: int) -> np.ndarray:
+    """The band as a dense (n_out, n_in) float32 matrix, for BLAS matmul."""
+    idx, w = _band(n_in, n_out)
+    m = np.zeros((n_out, n_in), dtype=np.float32)
+    rows = np.broadcast_to(np.arange(n_out)[:, None], idx.shape)
+    keep = w != 0  # clipped edge slots carry weight 0; real (row, col) pairs are unique
+    m[rows[keep], idx[keep]] = w[keep]
+    return m
+
+
+def _resample_rows(img: np.ndarray, n_out: int) -> np.ndarray:
+    """Resample axis 0 of an (n, m, c) float32 array to n_out (one sgemm)."""
+    n, m, c = img.shape
+    return (_matrix(n, n_out) @ img.reshape(n, m * c)).reshape(n_out, m, c)
 
 
 def resize(rgb: np.ndarray, new_w: int, new_h: int) -> np.ndarray:
-    """Separable Lanczos-3 resample of an (h, w, 3) uint8 image."""
+    """Separable Lanczos-3 resample of an (h, w, 3) uint8 image.
+
+    Each axis is one float32 matrix product with a cached weight matrix
+    built from the Lanczos band, and the axis that shrinks most goes first
+    so the second pass works on the smaller array.
+    """
     h, w, _ = rgb.shape
-    wy = _weights(h, new_h)
-    wx = _weights(w, new_w)
-    f = rgb.astype(np.float64)
-    tmp = np.einsum("oh,hwc->owc", wy, f)
-    out = np.einsum("pw,owc->opc", wx, tmp)
-    return np.clip(np.rint(out), 0, 255).astype(np.uint8)
+    f = rgb.astype(np.float32)
+    if h / new_h >= w / new_w:
+        f = _resample_rows(f, new_h)
+        f = _resample_rows(np.ascontiguousarray(f.transpose(1, 0, 2)), new_w).transpose(1, 0, 2)
+    else:
+        f = _resample_rows(np.ascontiguousarray(f.transpose(1, 0, 2)), new_w).transpose(1, 0, 2)
+        f = _resample_rows(f, new_h)
+    return np.clip(np.rint(f), 0, 255).astype(np.uint8)
 
 
 def to_rgb(pix: np.ndarray, alpha: str = "drop") -> np.ndarray:
@@ -138,18 +169,42 @@ def to_rgb(pix: np.ndarray, alpha: str = "drop") -> np.ndarray:
 
 
 def luma(rgb: np.ndarray) -> np.ndarray:
-    """ITU-R 601-2 luma, the documented L = .299 R + .587 G + .114 B, rounded."""
-    f = rgb.astype(np.float64)
-    return np.floor(f[:, :, 0] * 0.299 + f[:, :, 1] * 0.587 + f[:, :, 2] * 0.114 + 0.5)
-
-
-def features(rgb: np.ndarray) -> dict:
-    """I3a-I3c on the original image (population statistics)."""
-    f = rgb.reshape(-1, 3).astype(np.float64)
-    g = luma(rgb)
-    contrast = float(g.std()) / 255.0
-    return {"mean_rgb": f.mean(axis=0).tolist(), "std_rgb": f.std(axis=0).tolist(),
-            "brightness": float(g.mean()) / 255.0, "contrast": contrast,
+    """ITU-R 601-2 luma, the documented L = .299 R + .587 G + .114 B, rounded
+    half up -- in exact integer arithmetic, returned as uint8."""
+    acc = rgb[:, :, 0].astype(np.uint32) * 299
+    acc += rgb[:, :, 1].astype(np.uint32) * 587
+    acc += rgb[:, :, 2].astype(np.uint32) * 114
+    acc += 500
+    return (acc // 1000).astype(np.uint8)
+
+
+_SQUARES = (np.arange(256, dtype=np.uint32) ** 2).astype(np.uint16 if 255 ** 2 < 65536 else np.uint32)
+
+
+def _moments(x: np.ndarray) -> tuple[float, float]:
+    """Exact population mean and stddev of uint8 values from integer sums
+    (temporaries of at most 2 bytes per value, whatever the image size)."""
+    n = x.size
+    s1 = int(x.sum(dtype=np.uint64))
+    s2 = int(_SQUARES[x].sum(dtype=np.uint64))
+    var = max(s2 * n - s1 * s1, 0) / (n * n)
+    return s1 / n, var ** 0.5
+
+
+def features(pix: np.ndarray) -> dict:
+    """I3a-I3c on the original image: per-channel mean and population stddev
+    of RGB, brightness and contrast from the luma. Sums are taken in
+    integers, so the statistics do not depend on summation order."""
+    if pix.shape[2] == 1:
+        # gray: the three channels and the luma are the gray values themselves
+        m, sd = _moments(pix)
+        return {"mean_rgb": [m] * 3, "std_rgb": [sd] * 3, "brightness": m / 255.0,
+                "contrast": sd / 255.0, "quality_score": min(1.0, sd / 255.0 * QUALITY_GAIN)}
+    per = [_moments(pix[:, :, c]) for c in range(3)]
+    lm, lsd = _moments(luma(pix))
+    contrast = lsd / 255.0
+    return {"mean_rgb": [p[0] for p in per], "std_rgb": [p[1] for p in per],
+            "brightness": lm / 255.0, "contrast": contrast,
             "quality_score": min(1.0, contrast * QUALITY_GAIN)}
 
 
@@ -167,17 +222,18 @@ def letterbox_np(rgb: np.ndarray, size: int = 224) -> np.ndarray:
     return canvas
 
 
-def png_bytes(rgb: np.ndarray) -> bytes:
-    """Minimal PNG encoder (8-bit RGB, filter 0, zlib) -- lossless, readable
-    by any decoder including Spark's image source."""
-    h, w, _ = rgb.shape
-    raw = b"".join(b"\x00" + rgb[y].tobytes() for y in range(h))
+def png_bytes(pix: np.ndarray) -> bytes:
+    """Minimal PNG encoder (8-bit RGB or gray, filter 0, zlib) -- lossless,
+    readable by any decoder including Spark's image source."""
+    gray = pix.ndim == 2
+    h, w = pix.shape[:2]
+    raw = b"".join(b"\x00" + pix[y].tobytes() for y in range(h))
 
     def chunk(tag: bytes, data: bytes) -> bytes:
         return struct.pack(">I", len(data)) + tag + data + struct.pack(">I", zlib.crc32(tag + data) & 0xFFFFFFFF)
 
-    ihdr = struct.pack(">IIBBBBB", w, h, 8, 2, 0, 0, 0)
-    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", ihdr) + chunk(b"IDAT", zlib.compress(raw, 6)) + chunk(b"IEND", b"")
+    ihdr = struct.pack(">IIBBBBB", w, h, 8, 0 if gray else 2, 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", ihdr) + chunk(b"IDAT", zlib.compress(raw, PNG_LEVEL)) + chunk(b"IEND", b"")
 
 
 ZERO_FEATURES = {"mean_rgb": [0.0, 0.0, 0.0], "std_rgb": [0.0, 0.0, 0.0], "quality_score": 0.0,
@@ -214,8 +270,7 @@ def _process_batches(size: int, alpha: str, encoding: str):
                             pix = np.concatenate([pix[:, :, 2::-1], pix[:, :, 3:]], axis=2)
                         row.update(original_width=w, original_height=h, aspect_ratio=w / h)
                         row["valid"] = bool(mode_ok) and MIN_SIDE <= w <= MAX_SIDE and MIN_SIDE <= h <= MAX_SIDE
-                        rgb_stats = to_rgb(pix, "drop")
-                        row.update(features(rgb_stats))
+                        row.update(features(pix if ch == 1 else to_rgb(pix, "drop")))
                         if row["valid"]:
                             canvas = letterbox_np(to_rgb(pix, alpha), size)
                             row["processed_image_data"] = png_bytes(canvas) if encoding == "png" else canvas.tobytes()

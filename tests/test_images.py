@@ -137,3 +137,47 @@ def test_jpeg_and_bronze_edge_rows(spark, tmp_path_factory):
     nid = rows["noindex.jpeg"].image_id  # null index: repeatable hash fallback
     assert nid.startswith("ramen_") and len(nid) == 14 and rows["noindex.jpeg"].dataset_index is None
     assert s.schema["processed_image_data"].metadata["spark.contentAnnotation"] == '{"mimeType": "image/png"}'
+
+
+def test_derived_document_images_brute_force(spark):
+    """image_gold on sf0.001 against numpy statistics of the raw text bytes."""
+    from assetlake.plans.q_images import image_gold
+    from assetlake.sources.derived import expected_stats
+    from conftest import SF001
+
+    got = {r.dataset_index: r for r in image_gold(spark, SF001).collect()}
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text").collect()
+    want = {}
+    for d in docs:
+        if d.text is None:
+            continue
+        e = expected_stats(d.text)
+        if 32 <= e["height"] <= 4096:
+            want[d.doc_id] = e
+    assert set(got) == set(want)
+    for i, e in want.items():
+        assert got[i].mean == pytest.approx(e["mean"], abs=2e-6)
+        assert got[i].std == pytest.approx(e["std"], abs=2e-6)
+        assert got[i].aspect_ratio == pytest.approx(32 / e["height"], abs=2e-6)
+
+
+def test_resize_matches_dense_reference():
+    rng = np.random.default_rng(1)
+    img = rng.integers(0, 256, (57, 91, 3), dtype=np.uint8)
+    out = IM.resize(img, 40, 25)
+    # dense float64 evaluation of the same separable kernel
+    wy = np.zeros((25, 57))
+    for o in range(25):
+        idx, w = IM._band(57, 25)
+        for j, v in zip(idx[o], w[o]):
+            wy[o, j] += v
+    wx = np.zeros((40, 91))
+    for o in range(40):
+        idx, w = IM._band(91, 40)
+        for j, v in zip(idx[o], w[o]):
+            wx[o, j] += v
+    ref = np.einsum("oh,hwc->owc", wy, img.astype(np.float64))
+    ref = np.einsum("pw,owc->opc", wx, ref)
+    assert np.abs(out.astype(int) - np.clip(np.rint(ref), 0, 255).astype(int)).max() <= 1
+    flat = np.full((33, 47, 3), 77, np.uint8)
+    assert (IM.resize(flat, 224, 157) == 77).all()  # weights sum to 1: flat stays flat
