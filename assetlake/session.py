@@ -24,7 +24,9 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # A row can be a whole image: keep Arrow batches small so a Python
-    # worker never holds more than a few MB of pixels at once.
+    # worker never holds more than a few MB of pixels at once (Spark also
+    # caps a batch at spark.sql.execution.arrow.maxBytesPerBatch, 64 MB by
+    # default, so a session without this setting stays bounded too).
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
     # Auto-broadcast only genuinely small sides (10 MB is Spark's default;
     # stated here so the bound is explicit).

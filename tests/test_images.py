@@ -181,3 +181,18 @@ def test_resize_matches_dense_reference():
     assert np.abs(out.astype(int) - np.clip(np.rint(ref), 0, 255).astype(int)).max() <= 1
     flat = np.full((33, 47, 3), 77, np.uint8)
     assert (IM.resize(flat, 224, 157) == 77).all()  # weights sum to 1: flat stays flat
+
+
+def test_png_roundtrip_through_image_source(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    rgb = rng.integers(0, 256, (37, 53, 3), dtype=np.uint8)
+    gray = rng.integers(0, 256, (41, 35), dtype=np.uint8)
+    (tmp_path / "rgb.png").write_bytes(IM.png_bytes(rgb))
+    (tmp_path / "gray.png").write_bytes(IM.png_bytes(gray))
+    rows = {r.origin.rsplit("/", 1)[-1]: r for r in
+            spark.read.format("image").load(str(tmp_path)).select("image.*").collect()}
+    r = rows["rgb.png"]
+    got = np.frombuffer(bytes(r.data), np.uint8).reshape(r.height, r.width, r.nChannels)[:, :, ::-1]  # BGR -> RGB
+    assert (got == rgb).all()
+    g = rows["gray.png"]
+    assert (np.frombuffer(bytes(g.data), np.uint8).reshape(g.height, g.width) == gray).all()
