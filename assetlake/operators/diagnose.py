@@ -66,3 +66,9 @@ def first_k_per_group(df: DataFrame, group: str, item: str, k: int = 4) -> DataF
     w = Window.partitionBy(group).orderBy(item)
     top = df.select(group, item).where(F.col(item).isNotNull()).withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
     return top.groupBy(group).agg(F.array_sort(F.collect_list(item)).alias("first_items"))
+
+
+def head_rows(df: DataFrame, n: int, order: list[str]) -> DataFrame:
+    """The first ``n`` rows in a stated order (a deterministic head; each
+    task keeps its own n best before they meet)."""
+    return df.orderBy(*order).limit(n)

@@ -80,3 +80,12 @@ def argmax(arr) -> F.Column:
     """0-based position of the first maximum of an array."""
     a = F.col(arr) if isinstance(arr, str) else arr
     return (F.array_position(a, F.array_max(a)) - 1).cast("int")
+
+
+def report(scored: DataFrame, truth: str, pred: str, classes: DataFrame | None = None) -> dict[str, DataFrame]:
+    """M7: the evaluation report on a held-out set: overall accuracy,
+    per-class accuracy (classes without samples kept), low classes,
+    weighted F1. Pass the held-out split: nothing is sampled here."""
+    per = per_class(scored, truth, pred, classes)
+    return {"accuracy": accuracy(scored, truth, pred), "per_class": per,
+            "low_classes": low_classes(per), "weighted_f1": weighted_f1(scored, truth, pred)}

@@ -224,3 +224,17 @@ def train_score(spark, d):
 
 
 register("train_score")(train_score)
+
+
+def heldout_per_class(spark, d):
+    """M7: per-class accuracy of the trained classifier on the held-out rows,
+    every class of the label list kept (rows only: depends on the fit)."""
+    from assetlake.operators.evaluate import report
+    s = train_score(spark, d)
+    classes = read_table(spark, d, "embeddings").select(
+        F.concat(F.lit("c"), F.col("label").cast("string")).alias("class")).distinct()
+    per = report(s, "label", "pred_label", classes)["per_class"]
+    return per.select("class", "correct", "total", C.round6("accuracy").alias("accuracy"))
+
+
+register("heldout_per_class")(heldout_per_class)

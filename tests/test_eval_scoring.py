@@ -100,3 +100,13 @@ def test_flag_boundaries(spark, counts, expect):
     rows = [(k,) for k, n in counts.items() for _ in range(n)]
     dist = distribution(spark.createDataFrame(rows, "c string"), "c")
     assert {r.flag: r.hit for r in flags(summary(dist)).collect()} == expect
+
+
+def test_head_rows_and_report(spark):
+    from assetlake.operators.diagnose import head_rows
+    df = spark.range(0, 100).withColumn("k", (F.col("id") * 7) % 13)
+    assert [r.id for r in head_rows(df, 3, ["k", "id"]).collect()] == [0, 13, 26]
+    sc = spark.createDataFrame([("a", "a"), ("b", "a")], "t string, p string")
+    rep = V.report(sc, "t", "p")
+    assert rep["accuracy"].first().accuracy == 0.5
+    assert {r["class"] for r in rep["low_classes"].collect()} == {"b"}

@@ -196,3 +196,14 @@ def test_png_roundtrip_through_image_source(spark, tmp_path):
     assert (got == rgb).all()
     g = rows["gray.png"]
     assert (np.frombuffer(bytes(g.data), np.uint8).reshape(g.height, g.width) == gray).all()
+
+
+def test_normalise_chw(spark):
+    canvas = np.zeros((224, 224, 3), np.uint8)
+    canvas[:, :, 0] = 255
+    df = spark.createDataFrame([(bytearray(canvas.tobytes()),), (None,)], "b binary")
+    out = IM.normalise(df, "b").collect()
+    v = np.asarray(out[0].pixel_values, dtype=np.float32).reshape(3, 224, 224)
+    assert v[0, 0, 0] == pytest.approx((1.0 - 0.485) / 0.229, rel=1e-5)
+    assert v[1, 5, 5] == pytest.approx((0.0 - 0.456) / 0.224, rel=1e-5)
+    assert out[1].pixel_values is None
