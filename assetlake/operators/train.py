@@ -8,9 +8,10 @@ executors, training is distributed L-BFGS, and scoring is ``transform``.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +35,12 @@ def fit(train: DataFrame, label: str, features: str = "features", max_iter: int
     idx = StringIndexer(inputCol=label, outputCol="label_id", stringOrderType="alphabetAsc", handleInvalid="keep")
     lr = LogisticRegression(featuresCol=features, labelCol="label_id", family="multinomial",
                             maxIter=max_iter, regParam=reg)
-    return Pipeline(stages=[idx, lr]).fit(train)
+    # the optimiser passes over the data once per iteration: keep it cached
+    cached = train.select(label, features).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return Pipeline(stages=[idx, lr]).fit(cached)
+    finally:
+        cached.unpersist()
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:

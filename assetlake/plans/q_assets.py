@@ -126,9 +126,9 @@ FROM pages
 
 
 def asset_id(spark, d):
-    a = document_assets(spark, d).join(read_table(spark, d, "documents").select("doc_id", "lang"), "doc_id")
+    a = document_assets(spark, d)
     # German documents carry no index: their id falls back to a hash of the path.
-    idx = F.when(F.col("lang") != "de", F.col("doc_id"))
+    idx = F.when(F.col("group") != "de", F.col("doc_id"))
     return a.select("doc_id", C.asset_id("key", idx, "path").alias("image_id"),
                     C.asset_filename("key", "doc_id").alias("filename"))
 

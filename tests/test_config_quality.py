@@ -93,3 +93,17 @@ def test_params_from_conf(spark):
     spark.conf.unset("assetlake.config_volume_path")
     with pytest.raises(CF.ConfigError):
         CF.Params.from_conf(spark)
+
+
+def test_snapshot_diff_on_bucketed_tables_has_no_shuffle(spark, tmp):
+    from assetlake.sinks.tables import write_bucketed
+    old = spark.range(0, 2000).select(F.col("id"), (F.col("id") % 7).alias("v"))
+    new = spark.range(100, 2100).select(F.col("id"), F.when(F.col("id") % 50 == 0, F.lit(-1))
+                                         .otherwise(F.col("id") % 7).alias("v"))
+    write_bucketed(old, "snap_old", "id", 8, path=f"{tmp}/snap_old")
+    write_bucketed(new, "snap_new", "id", 8, path=f"{tmp}/snap_new")
+    diff = snapshot_changes(spark.table("snap_old"), spark.table("snap_new"), "id")
+    plan = diff._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    got = {r.change_type: r["count"] for r in diff.groupBy("change_type").count().collect()}
+    assert got == {"delete": 100, "insert": 100, "update": 38}
