@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from assetlake.session import checkpoint_dir
+
 LOW_ACCURACY = 0.5   # fixed value: classes below this are listed
 LOG_EPS = 1e-15
 
@@ -64,8 +66,12 @@ def f1_by_class(conf: DataFrame) -> DataFrame:
 
 
 def weighted_f1(df: DataFrame, truth: str, pred: str) -> DataFrame:
-    """A10: F1 per class weighted by true support (0 when p+r = 0)."""
-    f = f1_by_class(confusion(df, truth, pred))
+    """A10: F1 per class weighted by true support (0 when p+r = 0).
+
+    The confusion table is read twice (by truth and by prediction); it is
+    pinned first so the scored rows are scanned once."""
+    checkpoint_dir(df.sparkSession)
+    f = f1_by_class(confusion(df, truth, pred).checkpoint(eager=True))
     return f.agg((F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("weighted_f1"),
                  F.sum("support").cast("bigint").alias("total"))
 
@@ -89,3 +95,32 @@ def report(scored: DataFrame, truth: str, pred: str, classes: DataFrame | None =
     per = per_class(scored, truth, pred, classes)
     return {"accuracy": accuracy(scored, truth, pred), "per_class": per,
             "low_classes": low_classes(per), "weighted_f1": weighted_f1(scored, truth, pred)}
+
+
+def run_metrics(df: DataFrame, truth: str, pred: str, p_true: str | None = None) -> list[DataFrame]:
+    """Accuracy, weighted F1, log loss and row count from ONE pass over the
+    scored rows: a confusion table that also sums -ln p per (truth, pred)
+    cell; everything else is arithmetic on that table (classes^2 rows).
+    Returns one-row frames for ``sinks.tables.metric_rows``. Runs the pass
+    eagerly (the table is checkpointed)."""
+    aggs = [F.count(F.lit(1)).alias("n")]
+    if p_true is not None:
+        p = F.least(F.greatest(F.col(p_true), F.lit(LOG_EPS)), F.lit(1.0 - LOG_EPS))
+        aggs.append(F.sum(-F.ln(p)).alias("nll"))
+    conf = df.groupBy(F.col(truth).alias("truth"), F.col(pred).alias("pred")).agg(*aggs)
+    # The table is tiny (classes^2 rows) and read by every metric: pin it
+    # (reliable checkpoint in spark.checkpoint.dir) so the scored rows are
+    # scanned once instead of once per metric.
+    checkpoint_dir(df.sparkSession)
+    conf = conf.checkpoint(eager=True)
+    hit = F.col("truth").eqNullSafe(F.col("pred"))
+    tot = [F.sum("n").alias("_n"), F.sum(F.when(hit, F.col("n")).otherwise(0)).alias("_hit")]
+    if p_true is not None:
+        tot.append(F.sum("nll").alias("_nll"))
+    t = conf.agg(*tot)
+    cols = [(F.col("_hit") / F.col("_n")).alias("accuracy"), F.col("_n").cast("bigint").alias("total")]
+    if p_true is not None:
+        cols.append((F.col("_nll") / F.col("_n")).alias("log_loss"))
+    f = f1_by_class(conf.select("truth", "pred", "n"))
+    f1 = f.agg((F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("weighted_f1"))
+    return [t.select(*cols), f1]

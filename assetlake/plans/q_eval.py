@@ -147,11 +147,9 @@ RUN_PARAMS = {"epochs": "5", "batch_size": "12", "learning_rate": "2e-4", "weigh
 
 def run_log(spark, d):
     sc = _scored(spark, d)
-    acc = V.accuracy(sc, "truth", "pred").select("accuracy")
-    f1 = V.weighted_f1(sc, "truth", "pred").select("weighted_f1", "total")
-    ll = V.log_loss(sc, "p_true").select("log_loss")
-    text_metric = acc.select(F.lit("1").alias("best_class"))  # not numeric: dropped by metric_rows
-    rows = metric_rows([acc, f1, ll, text_metric], RUN_PARAMS)
+    frames = V.run_metrics(sc, "truth", "pred", "p_true")
+    text_metric = frames[0].select(F.lit("1").alias("best_class"))  # not numeric: dropped by metric_rows
+    rows = metric_rows(frames + [text_metric], RUN_PARAMS)
     return rows.select("kind", "name", round6("value").alias("value"), "text")
 
 
