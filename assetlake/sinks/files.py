@@ -1,24 +1,24 @@
 """Asset file sink and the incremental ingest job (K7, K8, T4).
 
 Each selected example is written by the executor that holds it, to a
-deterministic target ``{root}/{key}/{key}_idx_{idx:06d}.jpg`` through a
-temporary name and an atomic rename: a retried task rewrites the same file
-and a reader never sees a half-written one. The writer returns one
+deterministic target ``{root}/{key}/{key}_idx_{idx:06d}.jpg`` as one atomic
+object (``sinks.blob``): a retried task rewrites the same file and a reader
+never sees a half-written one. The writer returns one
 ``(key, idx, path, error)`` row per input row, so failures are data, not
-log lines. ``root`` must be a folder every executor sees (a shared mount).
+log lines. ``root`` is any URI pyarrow can write (local, s3://, gs://,
+hdfs://) that every executor reaches.
 """
 
 from __future__ import annotations
 
-import os
-import uuid
-
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assetlake.operators.ingest import merge_status, plan
+from assetlake.sinks import blob
 from assetlake.session import checkpoint_dir
 
 WRITE_SCHEMA = T.StructType([
@@ -35,16 +35,12 @@ def _writer(root: str):
         for pdf in batches:
             out = []
             for key, idx, name, content in zip(pdf["key"], pdf["idx"], pdf["filename"], pdf["content"]):
-                target = os.path.join(root, str(key), str(name))
+                target = blob.join(root, str(key), str(name))
                 err = None
                 try:
                     if content is None:
                         raise ValueError("no content")
-                    os.makedirs(os.path.dirname(target), exist_ok=True)
-                    tmp = os.path.join(os.path.dirname(target), f".{name}.{uuid.uuid4().hex}.tmp")
-                    with open(tmp, "wb") as f:
-                        f.write(bytes(content))
-                    os.replace(tmp, target)
+                    blob.put(target, bytes(content))
                 except Exception as e:  # noqa: BLE001 - recorded per row
                     err = f"{type(e).__name__}: {e}"
                 out.append((key, int(idx), name, target, err))
@@ -63,7 +59,12 @@ def write_assets(picked: DataFrame, root: str, key: str = "key", idx: str = "idx
     checkpoint_dir(picked.sparkSession)
     rows = picked.select(F.col(key).alias("key"), F.col(idx).cast("bigint").alias("idx"),
                          F.col("filename"), F.col(content).alias("content"))
-    return rows.mapInPandas(_writer(root), WRITE_SCHEMA).checkpoint(eager=True)
+    # persisted first, so the checkpoint write reads the results instead of
+    # running the writes a second time
+    staged = rows.mapInPandas(_writer(root), WRITE_SCHEMA).persist(StorageLevel.MEMORY_AND_DISK)
+    pinned = staged.checkpoint(eager=True)
+    staged.unpersist()
+    return pinned
 
 
 def ingest(examples: DataFrame, status: DataFrame, wanted: DataFrame, n: int, root: str,

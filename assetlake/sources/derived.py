@@ -5,15 +5,14 @@ the whole UTF-8 text of a document becomes a gray image 32 pixels wide,
 one byte per pixel, the last row padded with zeros. Texts under 1,024
 bytes give images under 32 rows and texts over 131,072 bytes give images
 over 4,096 rows, so the size gate sees both kinds of rejects. Files are
-written by the executors (temp name + atomic rename, deterministic names:
-re-runs and retries rewrite the same file) under the session's shared
-checkpoint folder: ``{root}/{source}/{source}_idx_{doc_id:06d}.png``.
+written by the executors (``sinks.blob``: atomic per file, deterministic
+names, so re-runs and retries rewrite the same file) under the session's
+shared checkpoint folder: ``{root}/{source}/{source}_idx_{doc_id:06d}.png``.
 """
 
 from __future__ import annotations
 
 import os
-import uuid
 
 import numpy as np
 import pandas as pd
@@ -22,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assetlake.operators.images import png_bytes
+from assetlake.sinks import blob
 from assetlake.session import scratch_path
 from assetlake.sources.tables import read_table
 
@@ -44,14 +44,10 @@ def _write_pngs(root: str):
         for pdf in batches:
             out = []
             for key, idx, content in zip(pdf["source"], pdf["doc_id"], pdf["content"]):
-                target = os.path.join(root, str(key), f"{key}_idx_{int(idx):06d}.png")
+                target = blob.join(root, str(key), f"{key}_idx_{int(idx):06d}.png")
                 err = None
                 try:
-                    os.makedirs(os.path.dirname(target), exist_ok=True)
-                    tmp = f"{target}.{uuid.uuid4().hex}.tmp"
-                    with open(tmp, "wb") as f:
-                        f.write(png_bytes(text_image(bytes(content))))
-                    os.replace(tmp, target)
+                    blob.put(target, png_bytes(text_image(bytes(content))))
                 except Exception as e:  # noqa: BLE001 - reported per row
                     err = f"{type(e).__name__}: {e}"
                 out.append((target, err))
@@ -63,8 +59,8 @@ def document_images(spark: SparkSession, sf_dir: str) -> str:
     """Write (once per data folder) and return the root of the derived images."""
     tag = os.path.basename(os.path.normpath(sf_dir)) or "data"
     root = scratch_path(spark, f"document_images/{tag}")
-    marker = os.path.join(root, "_DONE")
-    if os.path.exists(marker):
+    marker = blob.join(root, "_DONE")
+    if blob.exists(marker):
         return root
     docs = read_table(spark, sf_dir, "documents").where(F.col("text").isNotNull()).select(
         "source", "doc_id", F.encode("text", "UTF-8").alias("content"))
@@ -72,8 +68,7 @@ def document_images(spark: SparkSession, sf_dir: str) -> str:
     failed = res.filter(F.col("error").isNotNull()).count()
     if failed:
         raise RuntimeError(f"{failed} derived images could not be written under {root}")
-    with open(marker, "w") as f:
-        f.write("ok\n")
+    blob.put(marker, b"ok\n")
     return root
 
 
