@@ -91,8 +91,10 @@ def path_parts(spark, d):
         "doc_id", "path",
         fn.alias("filename"),
         C.extension(fn).alias("file_format"),
-        C.dataset_index(fn).alias("dataset_index"),
-        C.dataset_index(fn, strict=True).alias("strict_index"),
+        # indexes as text: a nullable integer column has no common pandas
+        # form between engines (float64 + NaN vs Int64 + NA); text compares exactly
+        C.dataset_index(fn).cast("string").alias("dataset_index"),
+        C.dataset_index(fn, strict=True).cast("string").alias("strict_index"),
         fn.contains("_idx_").alias("has_marker"),
         C.parent_dir("path").alias("parent_dir"))
 
@@ -103,9 +105,9 @@ f AS (SELECT doc_id, path, regexp_extract(path, '([^/]+)$', 1) AS filename FROM
 s AS (SELECT *, split_part(split_part(filename, '_idx_', 2), '.', 1) AS part FROM f)
 SELECT doc_id, path, filename,
        regexp_extract(filename, '\\.(\\w+)$', 1) AS file_format,
-       CASE WHEN contains(filename, '_idx_') THEN TRY_CAST(regexp_extract(filename, '_idx_(\\d+)', 1) AS BIGINT) END AS dataset_index,
-       CASE WHEN contains(filename, '_idx_') AND regexp_matches(part, '^\\s*[+-]?[0-9]+(_[0-9]+)*\\s*$')
-            THEN TRY_CAST(replace(trim(part), '_', '') AS BIGINT) END AS strict_index,
+       CAST(CASE WHEN contains(filename, '_idx_') THEN TRY_CAST(regexp_extract(filename, '_idx_(\\d+)', 1) AS BIGINT) END AS VARCHAR) AS dataset_index,
+       CAST(CASE WHEN contains(filename, '_idx_') AND regexp_matches(part, '^\\s*[+-]?[0-9]+(_[0-9]+)*\\s*$')
+            THEN TRY_CAST(replace(trim(part), '_', '') AS BIGINT) END AS VARCHAR) AS strict_index,
        contains(filename, '_idx_') AS has_marker,
        CASE WHEN contains(path, '/') THEN regexp_replace(path, '/[^/]*$', '') ELSE '' END AS parent_dir
 FROM s
