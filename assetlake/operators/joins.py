@@ -1,0 +1,23 @@
+"""Broadcast only behind a size check.
+
+Lookup tables in this package (label lists, taxonomy, ingest status, wanted
+keys, per-key shortfalls) are bounded by configuration, not by data, but a
+bound that is assumed is not a bound that is checked. ``bounded`` counts
+the side (a job over a table of at most a few thousand rows) and hints a
+broadcast only when it is within ``max_rows``; beyond that the join is left
+to the planner (sort-merge or shuffle-hash, AQE may still broadcast once it
+has measured the side at run time).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def bounded(side: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(side)`` if it has at most ``max_rows`` rows, else ``side``."""
+    n = side.limit(max_rows + 1).count()
+    return F.broadcast(side) if n <= max_rows else side

@@ -30,7 +30,8 @@ def unit_hash(seed: int, *cols) -> Column:
     """
     parts = [F.lit(f"{seed}")]
     for c in cols:
-        parts += [F.lit(":"), (F.col(c) if isinstance(c, str) else c).cast("string")]
+        # a null id hashes as the text \N, so u is never null
+        parts += [F.lit(":"), F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("\\N"))]
     hexed = F.substring(F.md5(F.concat(*parts)), 1, 8)
     return F.conv(hexed, 16, 10).cast("bigint") / F.lit(4294967296.0)
 
@@ -106,6 +107,7 @@ def first_k(df: DataFrame, u: str, ties: list[str], k: int, out: str = "in_first
                  .withColumn("_q", F.greatest(F.lit(0), F.least(F.col("_n"), F.lit(need2) - F.col("_before"))))
                  .select("_pid", "_q"))
         wi = Window.partitionBy("_pid").orderBy("_mid")
+        # quota has one row per input partition: bounded by the partition count
         picked = (copies.join(F.broadcast(quota), "_pid")
                   .withColumn("_i", F.row_number().over(wi) - 1)
                   .withColumn(out, F.col("_i") < F.col("_q"))
@@ -140,5 +142,6 @@ def dense_ids(values: DataFrame, col: str, out: str = "id", partitions: int | No
     per = d.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     wp = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
     offs = per.withColumn("_off", F.sum("_n").over(wp) - F.col("_n")).select("_pid", "_off")
+    # offs has one row per range partition: bounded by the partition count
     return (d.join(F.broadcast(offs), "_pid")
             .select(F.col(col), (F.col("_off") + F.col("_pos")).cast("int").alias(out)))

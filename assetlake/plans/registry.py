@@ -40,7 +40,7 @@ def r6(expr: str) -> str:
 
 # SQL twin of ``unit_hash(seed, col)``.
 def uhash(seed: int, expr: str) -> str:
-    return (f"(CAST(CAST('0x' || substr(md5('{seed}:' || CAST({expr} AS VARCHAR)), 1, 8) AS UBIGINT) AS DOUBLE)"
+    return (f"(CAST(CAST('0x' || substr(md5('{seed}:' || coalesce(CAST({expr} AS VARCHAR), '\\N')), 1, 8) AS UBIGINT) AS DOUBLE)"
             f" / 4294967296.0::DOUBLE)")
 
 

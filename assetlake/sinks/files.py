@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assetlake.operators.ingest import merge_status, plan
+from assetlake.operators.joins import bounded
 from assetlake.sinks import blob
 from assetlake.session import checkpoint_dir
 
@@ -88,7 +89,7 @@ def ingest(examples: DataFrame, status: DataFrame, wanted: DataFrame, n: int, ro
     wanted2 = short.select("key")
     second_plan = plan(examples, tried, wanted2, n, key, idx)
     need = short.select(F.col("key").alias(key), (F.lit(n) - F.col("_ok")).alias("_need"))
-    second_plan = second_plan.join(F.broadcast(need), key).filter(F.col("rank") <= F.col("_need")).drop("_need")
+    second_plan = second_plan.join(bounded(need), key).filter(F.col("rank") <= F.col("_need")).drop("_need")
     second = write_assets(second_plan, root, key, idx, content)
     results = first.unionByName(second)
     ok = results.filter(F.col("error").isNull())

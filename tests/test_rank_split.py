@@ -85,3 +85,11 @@ def test_stratified_copies_share_split(spark):
     assert out.filter("id = '7'").select("dataset_split").distinct().count() == 1
     per = {r.c: r["count"] for r in out.filter("dataset_split = 'train'").groupBy("c").count().collect()}
     assert abs(per["0"] - 700) <= 1 and abs(per["2"] - 700) <= 1
+
+
+def test_null_ids_hash_and_rank(spark):
+    df = spark.createDataFrame([(None,), ("a",), (None,), ("b",)], "id string")
+    u = [r.u for r in df.select(unit_hash(42, "id").alias("u")).collect()]
+    assert all(x is not None for x in u) and u[0] == u[2]
+    out = first_k(df.withColumn("u", unit_hash(42, "id")), "u", ["id"], 3, "in")
+    assert out.filter("in").count() == 3
