@@ -24,7 +24,6 @@ from assetlake.sources.tables import document_assets, read_table, union_all
 # keys src0..src17 are known, src18/src19 encode to -1; 'es' is not a group.
 DOC_KEYS = [f"src{i}" for i in range(18)]
 DOC_GROUPS = ["de", "en", "fr"]
-DOC_LANGS = ["de", "en", "es", "fr"]
 SEED = 42
 
 _keys_sql = sql_list(E.sorted_names(DOC_KEYS))
@@ -192,16 +191,35 @@ FROM customer c
 
 
 def union_by_group(spark, d):
-    docs = read_table(spark, d, "documents").select("lang", "n_chars")
-    branches = [docs.filter(F.col("lang") == g).select(F.lit(g).alias("group_name"), "n_chars") for g in DOC_LANGS]
-    u = union_all(branches)
+    """UNION ALL by name of three asset tables with one schema -- web
+    pages (key = host, group 'web'), documents (key = source, group = lang)
+    and conversation turns (key = role, group 'chat') -- each scanned once,
+    then counted per group."""
+    docs = read_table(spark, d, "documents").select(
+        F.col("source").alias("key"), F.col("lang").alias("group_name"),
+        F.octet_length(F.encode("text", "UTF-8")).cast("bigint").alias("n_bytes"))
+    pages = read_table(spark, d, "pages").select(
+        F.regexp_extract("url", r"^[a-z]+://([^/?#]+)", 1).alias("key"), F.lit("web").alias("group_name"),
+        F.octet_length(F.encode("html", "UTF-8")).cast("bigint").alias("n_bytes"))
+    turns = read_table(spark, d, "conversations").select(
+        F.col("role").alias("key"), F.lit("chat").alias("group_name"),
+        F.octet_length(F.encode("text", "UTF-8")).cast("bigint").alias("n_bytes"))
+    u = union_all([docs, pages, turns])
     return u.groupBy("group_name").agg(F.count(F.lit(1)).cast("bigint").alias("n"),
-                                       F.sum("n_chars").cast("bigint").alias("chars"))
-
-
-register("union_by_group", f"""
-SELECT lang AS group_name, CAST(count(*) AS BIGINT) AS n, CAST(sum(n_chars) AS BIGINT) AS chars
-FROM documents WHERE lang IN ({", ".join(repr(x) for x in DOC_LANGS)}) GROUP BY lang
+                                       F.count_distinct("key").cast("bigint").alias("keys"),
+                                       F.sum("n_bytes").cast("bigint").alias("bytes"))
+
+
+register("union_by_group", """
+WITH u AS (
+  SELECT source AS key, lang AS group_name, CAST(octet_length(encode(text)) AS BIGINT) AS n_bytes FROM documents
+  UNION ALL
+  SELECT regexp_extract(url, '^[a-z]+://([^/?#]+)', 1), 'web', CAST(octet_length(encode(html)) AS BIGINT) FROM pages
+  UNION ALL
+  SELECT role, 'chat', CAST(octet_length(encode(text)) AS BIGINT) FROM conversations)
+SELECT group_name, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT key) AS BIGINT) AS keys,
+       CAST(sum(n_bytes) AS BIGINT) AS bytes
+FROM u GROUP BY group_name
 """)(union_by_group)
 
 
