@@ -17,7 +17,11 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 1_000_000
 
 
-def bounded(side: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(side)`` if it has at most ``max_rows`` rows, else ``side``."""
-    n = side.limit(max_rows + 1).count()
+def bounded(side: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, size_from: DataFrame | None = None) -> DataFrame:
+    """``broadcast(side)`` if it has at most ``max_rows`` rows, else ``side``.
+
+    ``size_from`` is a cheaper frame whose row count bounds the side's (e.g.
+    the unfiltered input with only a narrow column selected), counted instead.
+    """
+    n = (size_from if size_from is not None else side).limit(max_rows + 1).count()
     return F.broadcast(side) if n <= max_rows else side
