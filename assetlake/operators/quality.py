@@ -56,6 +56,29 @@ def apply_rules(df: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]:
     return kept(df, rules), report(df, rules)
 
 
+def apply_rules_observed(df: DataFrame, rules: Rules, name: str = "dq"):
+    """Q1-Q3 in the same pass as the write: returns (kept rows, observation).
+
+    The counts are gathered by ``DataFrame.observe`` while the kept rows are
+    produced by whatever action consumes them (a table write), so the input
+    -- e.g. the image job -- runs once. After that action,
+    ``observed_report(spark, observation, rules)`` gives the report rows."""
+    from pyspark.sql import Observation
+    obs = Observation(name)
+    aggs = [F.count(F.lit(1)).alias("_checked")]
+    for i, (n, e, a) in enumerate(rules.items()):
+        aggs.append(F.count_if(~passes(e)).alias(f"_f{i}"))
+    return kept(df.observe(obs, *aggs), rules), obs
+
+
+def observed_report(spark, obs, rules: Rules) -> DataFrame:
+    """The (rule, action, checked, failed) rows of an ``apply_rules_observed``
+    observation (one row per rule, built from a dict of counters)."""
+    m = obs.get
+    rows = [(n, a, int(m["_checked"]), int(m[f"_f{i}"])) for i, (n, e, a) in enumerate(rules.items())]
+    return spark.createDataFrame(rows, "rule string, action string, checked bigint, failed bigint")
+
+
 # Q4/Q6 fixed values of the surveyed diagnostics: (flag, expression over the
 # class-size summary columns total, min_n, max_n, ratio, accuracy).
 DATASET_FLAGS = [

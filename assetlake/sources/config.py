@@ -110,9 +110,14 @@ class Params:
     bronze_path: str
     bronze_schema: str = "bronze"
     silver_schema: str = "silver"
+    gold_schema: str = "gold"
     random_seed: int = 42
     images_per_key: int = 5
     max_files_per_trigger: int = 100
+    # where stream checkpoints and stream-written tables live; None = the
+    # session's shared spark.checkpoint.dir (kept across runs on purpose:
+    # an incremental stream resumes from it)
+    state_path: str | None = None
 
     @classmethod
     def from_conf(cls, spark: SparkSession, prefix: str = "assetlake.") -> "Params":
@@ -123,5 +128,7 @@ class Params:
             return v
         return cls(config_path=get("config_volume_path"), bronze_path=get("bronze_volume_path"),
                    bronze_schema=get("bronze_schema", "bronze"), silver_schema=get("silver_schema", "silver"),
+                   gold_schema=get("gold_schema", "gold"),
                    random_seed=int(get("random_seed", "42")), images_per_key=int(get("images_per_key", "5")),
-                   max_files_per_trigger=int(get("max_files_per_trigger", "100")))
+                   max_files_per_trigger=int(get("max_files_per_trigger", "100")),
+                   state_path=spark.conf.get(prefix + "state_path", None))
