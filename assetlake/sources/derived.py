@@ -57,12 +57,15 @@ def _write_pngs(root: str):
 
 def document_images(spark: SparkSession, sf_dir: str) -> str:
     """Write (once per data folder) and return the root of the derived images."""
-    tag = os.path.basename(os.path.normpath(sf_dir)) or "data"
+    docs_all = read_table(spark, sf_dir, "documents")
+    # key the cache by folder name and row count (a parquet-footer count, no
+    # data read), so another table under the same name gets its own images
+    tag = f"{os.path.basename(os.path.normpath(sf_dir)) or 'data'}-{docs_all.count()}"
     root = scratch_path(spark, f"document_images/{tag}")
     marker = blob.join(root, "_DONE")
     if blob.exists(marker):
         return root
-    docs = read_table(spark, sf_dir, "documents").where(F.col("text").isNotNull()).select(
+    docs = docs_all.where(F.col("text").isNotNull()).select(
         "source", "doc_id", F.encode("text", "UTF-8").alias("content"))
     res = docs.mapInPandas(_write_pngs(root), _OUT)
     failed = res.filter(F.col("error").isNotNull()).count()
