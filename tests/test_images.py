@@ -123,10 +123,11 @@ def test_jpeg_and_bronze_edge_rows(spark, tmp_path_factory):
     _jpeg_via_imageio(spark, f"{root}/ramen/ramen_idx_000001.jpg", 64, 48)
     _jpeg_via_imageio(spark, f"{root}/ramen/noindex.jpeg", 40, 40, split_color=False)
     _jpeg_via_imageio(spark, f"{root}/ramen/ramen_idx_000002.jpg", 40, 40)
-    b = bronze(binary_files(spark, root), key_from_dir=True)
-    # a bronze row whose content went missing is dropped before any pixel work
-    b = b.withColumn("content", F.when(F.col("filename") == "ramen_idx_000002.jpg", F.lit(None).cast("binary"))
-                     .otherwise(F.col("content")))
+    files = binary_files(spark, root)
+    # a file row whose content went missing is dropped before any pixel work
+    files = files.withColumn("content", F.when(F.col("path").endswith("ramen_idx_000002.jpg"),
+                                               F.lit(None).cast("binary")).otherwise(F.col("content")))
+    b = bronze(files, key_from_dir=True)
     tax = spark.createDataFrame([("ramen", "japanese")], "key string, group string")
     s, _ = silver(b, decoded_images(spark, root), tax)
     rows = {r.filename: r for r in s.collect()}

@@ -34,3 +34,22 @@ def test_pushdown_and_pruning(spark):
     text = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(text)]" in text
     assert "ReadSchema: struct<doc_id:bigint,text:string,lang:string,source:string>" in text
+
+
+def test_silver_does_not_read_bronze_content(spark, tmp_path):
+    import numpy as np
+    from assetlake.plans.medallion import bronze, silver_rows
+    from assetlake.sources.files import binary_files, decoded_images
+    from imgutil import png, write
+
+    root = tmp_path / "vol"
+    write(f"{root}/pizza/pizza_idx_000001.png", png(np.zeros((40, 40, 3), np.uint8), 2))
+    b = bronze(binary_files(spark, str(root)), key_from_dir=True)
+    b.write.mode("overwrite").parquet(str(tmp_path / "bronze"))
+    table = spark.read.parquet(str(tmp_path / "bronze"))
+    tax = spark.createDataFrame([("pizza", "italian")], "key string, group string")
+    rows = silver_rows(table, decoded_images(spark, str(root)), tax)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "ReadSchema" in line or "FileScan parquet" in line]
+    assert scans and all("content:binary" not in line for line in scans)
+    assert rows.count() == 1
