@@ -208,3 +208,25 @@ def test_normalise_chw(spark):
     assert v[0, 0, 0] == pytest.approx((1.0 - 0.485) / 0.229, rel=1e-5)
     assert v[1, 5, 5] == pytest.approx((0.0 - 0.456) / 0.224, rel=1e-5)
     assert out[1].pixel_values is None
+
+
+def test_ignore_case_option(spark, image_root):
+    b = bronze(binary_files(spark, image_root), key_from_dir=True)
+    tax = spark.createDataFrame([("pizza", "italian"), ("sushi", "japanese")], "key string, group string")
+    strict, _ = silver(b, decoded_images(spark, image_root), tax)
+    loose, _ = silver(b, decoded_images(spark, image_root), tax, ignore_case=True)
+    extra = {r.filename for r in loose.collect()} - {r.filename for r in strict.collect()}
+    assert extra == {"sushi_idx_000007.PNG"}
+
+
+def test_rerun_micro_batch_is_idempotent(spark, image_root, tmp_path_factory):
+    from assetlake.streaming.incremental import process_batch
+
+    out = str(tmp_path_factory.mktemp("rerun") / "out")
+    tax = spark.createDataFrame([("pizza", "italian"), ("sushi", "japanese")], "key string, group string")
+    batch = bronze(binary_files(spark, image_root), key_from_dir=True)
+    for _ in range(2):  # the same batch id twice, as after a failure and restart
+        process_batch(spark, batch, 7, out, tax, ["pizza", "sushi"], ["italian", "japanese"])
+    assert spark.read.parquet(f"{out}/bronze").count() == 11
+    assert spark.read.parquet(f"{out}/gold").count() == 4
+    assert spark.read.parquet(f"{out}/dq_report").count() == 5
