@@ -32,12 +32,16 @@ PNG_LEVEL = 1                # zlib level of the processed PNG (RLE strategy, Su
 
 # ---------------------------------------------------------------- SQL-side formulas
 
-def channel_stats(arr: Column) -> dict[str, Column]:
-    """Mean and population stddev of an array of pixel values."""
+def with_channel_stats(df: DataFrame, arr: str, mean_out: str = "mean", std_out: str = "std") -> DataFrame:
+    """Mean and population stddev of an array of pixel values.
+
+    Two passes over the array, the mean materialised as a column first: a
+    mean expression written inside the variance lambda would be re-evaluated
+    for every element (quadratic in the array length)."""
     n = F.size(arr)
-    mean = F.aggregate(arr, F.lit(0.0), lambda a, x: a + x.cast("double")) / n
-    var = F.aggregate(arr, F.lit(0.0), lambda a, x: a + (x.cast("double") - mean) * (x.cast("double") - mean)) / n
-    return {"mean": mean, "std": F.sqrt(var)}
+    df = df.withColumn(mean_out, F.aggregate(arr, F.lit(0.0), lambda a, x: a + x.cast("double")) / n)
+    dev = lambda a, x: a + (x.cast("double") - F.col(mean_out)) * (x.cast("double") - F.col(mean_out))
+    return df.withColumn(std_out, F.sqrt(F.aggregate(arr, F.lit(0.0), dev) / n))
 
 
 def quality_score(contrast: Column) -> Column:

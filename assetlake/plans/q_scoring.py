@@ -151,9 +151,9 @@ FROM parsed GROUP BY label
 
 def vector_stats(spark, d):
     e = read_table(spark, d, "embeddings").select("vec_id", "embedding")
-    st = IM.channel_stats(F.col("embedding"))
-    return e.select("vec_id", C.round6(st["mean"]).alias("mean"), C.round6(st["std"]).alias("std"),
-                    C.round6(IM.quality_score(st["std"])).alias("quality_score"))
+    st = IM.with_channel_stats(e, "embedding", "_m", "_sd")
+    return st.select("vec_id", C.round6("_m").alias("mean"), C.round6("_sd").alias("std"),
+                     C.round6(IM.quality_score(F.col("_sd"))).alias("quality_score"))
 
 
 _VS = """v AS (SELECT vec_id, embedding, list_sum(list_transform(embedding, lambda x: x::DOUBLE)) / len(embedding) AS m FROM embeddings),
