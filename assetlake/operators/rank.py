@@ -145,3 +145,29 @@ def dense_ids(values: DataFrame, col: str, out: str = "id", partitions: int | No
     # offs has one row per range partition: bounded by the partition count
     return (d.join(F.broadcast(offs), "_pid")
             .select(F.col(col), (F.col("_off") + F.col("_pos")).cast("int").alias(out)))
+
+
+def row_index(df: DataFrame, out: str = "idx") -> DataFrame:
+    """A contiguous 0-based position for every row, assigned once at
+    landing (what ``zipWithIndex`` does, on DataFrames).
+
+    Rows keep their partition; each partition's offset comes from a table
+    of one row per partition. The rows are pinned first (reliable
+    checkpoint) so partition ids and positions cannot change between the
+    counting and numbering passes, e.g. after an executor is lost.
+    """
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    staged = (df.withColumn("_pid", F.spark_partition_id())
+              .withColumn("_pos", F.monotonically_increasing_id()
+                          - (F.spark_partition_id().cast("bigint") * F.lit(1 << 33)))
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    pinned = staged.checkpoint(eager=True)
+    staged.unpersist()
+    per = pinned.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    wp = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
+    offs = per.withColumn("_off", F.sum("_n").over(wp) - F.col("_n")).select("_pid", "_off")
+    # offs has one row per partition: bounded by the partition count
+    return (pinned.join(F.broadcast(offs), "_pid")
+            .withColumn(out, (F.col("_off") + F.col("_pos")).cast("bigint"))
+            .drop("_pid", "_pos", "_off"))

@@ -93,3 +93,12 @@ def test_null_ids_hash_and_rank(spark):
     assert all(x is not None for x in u) and u[0] == u[2]
     out = first_k(df.withColumn("u", unit_hash(42, "id")), "u", ["id"], 3, "in")
     assert out.filter("in").count() == 3
+
+
+def test_row_index_contiguous(spark):
+    from assetlake.operators.rank import row_index
+    df = spark.range(0, 5000).repartition(7).select((F.col("id") * 3).alias("v"))
+    out = row_index(df, "idx")
+    got = sorted(r.idx for r in out.select("idx").collect())
+    assert got == list(range(5000))
+    assert out.select("v").distinct().count() == 5000
