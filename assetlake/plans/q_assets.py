@@ -16,7 +16,7 @@ from assetlake.operators.changes import snapshot_changes
 from assetlake.operators.diagnose import first_k_per_group
 from assetlake.operators.ingest import flag_known
 from assetlake.plans.medallion import ACCEPTED_FORMATS, bronze, documents_silver, gold
-from assetlake.plans.registry import r6, register, split_case, sql_list, uhash
+from assetlake.plans.registry import register, split_case, sql_list, uhash
 from assetlake.sources.config import invert, with_positions
 from assetlake.sources.tables import document_assets, read_table, union_all
 
