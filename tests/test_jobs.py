@@ -68,3 +68,14 @@ def test_jobs_end_to_end(spark, tmp_path_factory):
           for r in g.select("cuisine_category", "cuisine_category_encoded").distinct().collect()}
     assert cu == {"italian": 1, "japanese": 2}
     assert g.filter(F.col("processed_image_data").isNull()).count() == 0
+
+    # train on the gold statistics, score and evaluate the held-out rows (M1, M3, M7)
+    from assetlake.operators.evaluate import report
+    from assetlake.operators.train import STAT_FEATURES, feature_vector, fit, score
+    feats = feature_vector(g, STAT_FEATURES)
+    model = fit(feats.filter("dataset_split = 'train'"), "food_type", max_iter=10)
+    scored = score(model, feats.filter("dataset_split != 'train'"))
+    rep = report(scored, "food_type", "pred_label")
+    acc = rep["accuracy"].first()
+    assert acc.total == g.filter("dataset_split != 'train'").count()
+    assert set(scored.columns) >= {"pred_label", "pred_score"}
