@@ -52,16 +52,21 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+_OWN_DIR_KEY = "assetlake.checkpoint_dir"
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) a fresh folder is created
-    and set; on a cluster the configured shared location is always used.
+    The configured folder is always used when present. Only when it is
+    absent (local tests) a fresh folder is created for this session: it is
+    set on the SparkContext (``spark.checkpoint.dir`` itself cannot be
+    changed on a running session) and remembered under a package key.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_OWN_DIR_KEY, None)
     if not path:
         path = tempfile.mkdtemp(prefix="assetlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        spark.conf.set(_OWN_DIR_KEY, path)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
