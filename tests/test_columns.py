@@ -59,3 +59,44 @@ def test_parent_title_mask_b64(spark):
     b = spark.sql(f"SELECT encode('{long}', 'UTF-8') AS b").select(C.b64("b").alias("s")).first()["s"]
     assert "\n" not in b and "\r" not in b and len(b) == 668
     assert spark.range(1).select(C.byte_size(F.lit(None).cast("binary")).alias("n")).first()["n"] == 0
+
+
+def _py_lenient(fn):
+    import re
+    if "_idx_" not in fn:
+        return None
+    m = re.search(r"_idx_(\d+)", fn)
+    if not m:
+        return None
+    v = int(m.group(1))
+    return v if v < 2 ** 63 else None
+
+
+def _py_strict(fn):
+    import re
+    if "_idx_" not in fn:
+        return None
+    part = fn.split("_idx_")[1].split(".")[0]
+    if not re.fullmatch(r"\s*[+-]?[0-9]+(_[0-9]+)*\s*", part):
+        return None
+    v = int(part)
+    return v if -(2 ** 63) <= v < 2 ** 63 else None
+
+
+def test_index_parsers_match_python_reference(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    pieces = st.sampled_from(["_idx_", "pizza", "0", "7", "12", "000123", ".jpg", ".", "x", "-", "+", "_", "a.b"])
+    names = st.lists(st.lists(pieces, min_size=1, max_size=6).map("".join), min_size=20, max_size=40)
+
+    @settings(max_examples=15, deadline=None)
+    @given(names)
+    def check(batch):
+        df = spark.createDataFrame([(n,) for n in batch], "f string")
+        got = df.select("f", C.dataset_index("f").alias("l"), C.dataset_index("f", strict=True).alias("s")).collect()
+        for r in got:
+            assert r.l == _py_lenient(r.f), r.f
+            assert r.s == _py_strict(r.f), r.f
+
+    check()
