@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assetlake.llm import mixing, packing, pii, quality, toxicity
+from assetlake.llm import mixing, ngram_join, packing, pii, quality, toxicity
 from assetlake.llm.common import read
 
 QUERIES = {}
@@ -39,3 +39,8 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
+
+
+@query
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(read(spark, sf_dir, "documents"), n=3, percent=90)
