@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assetlake.llm import mixing, ngram_join, packing, pii, quality, toxicity
+from assetlake.llm import embedding_dups, fixity, mixing, ngram_join, packing, pii, quality, toxicity
 from assetlake.llm.common import read
 
 QUERIES = {}
@@ -44,3 +44,17 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(read(spark, sf_dir, "documents"), n=3, percent=90)
+
+
+@query
+def op4_embedding_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dups.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+@query
+def op8_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    return fixity.audit(pages, fixity.aged_copy(pages))
+
+
+ORACLES["op8_warc_fixity"] = fixity.SQL
