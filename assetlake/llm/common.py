@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,3 +43,13 @@ def word_count(text: Column) -> Column:
 def input_splits(df: DataFrame) -> int:
     """Number of read tasks: what shuffles of packed blocks are sized by, so that they grow with the input."""
     return max(1, df.rdd.getNumPartitions())
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of finished stages now.
+
+    It drops them when the driver collects its garbage, which an idle driver does too late for the
+    executors' disks. Called after a stage's table is written, when its shuffles aren't needed again.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

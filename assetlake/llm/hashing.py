@@ -17,8 +17,8 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _VALUE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
 _VALUE[65:91] = _VALUE[97:123]
-_STEP = np.uint64(0x9E3779B97F4A7C15)
-_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+STEP = np.uint64(0x9E3779B97F4A7C15)
+BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _POWERS: dict[str, np.ndarray] = {}
 
 
@@ -31,7 +31,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _powers(name: str, base: np.uint64, n: int) -> np.ndarray:
+def powers(name: str, base: np.uint64, n: int) -> np.ndarray:
     if len(_POWERS.get(name, ())) < n:
         p = np.full(n, base, np.uint64)
         p[0] = 1
@@ -39,6 +39,12 @@ def _powers(name: str, base: np.uint64, n: int) -> np.ndarray:
     return _POWERS[name][:n]
 
 
+def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First index of each run of equal values in a sorted array, and the runs' lengths."""
+    first = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else np.zeros(0, np.int64)
+    return first, np.diff(np.r_[first, len(values)])
+
+
 def _words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Hash and first byte of each word."""
     raw = np.frombuffer(data, np.uint8)
@@ -47,8 +53,8 @@ def _words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     edge = np.flatnonzero(word[1:] != word[:-1])
     start, end = edge[0::2], edge[1::2]
     total = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_VALUE[raw] * _powers("up", _STEP, len(raw)), out=total[1:])
-    hashed = (total[end] - total[start]) * _powers("down", _BACK, len(raw) + 1)[start]
+    np.cumsum(_VALUE[raw] * powers("up", STEP, len(raw)), out=total[1:])
+    hashed = (total[end] - total[start]) * powers("down", BACK, len(raw) + 1)[start]
     return mixed(hashed + (end - start).astype(np.uint64)), start
 
 
@@ -91,7 +97,7 @@ def shingles(words: np.ndarray, n: int) -> np.ndarray:
     size = min(n, len(words))
     h = np.full(len(words) - size + 1, np.uint64(size))
     for k in range(size):
-        h = mixed(h * _STEP + words[k:len(words) - size + 1 + k])
+        h = mixed(h * STEP + words[k:len(words) - size + 1 + k])
     return np.unique(h)
 
 

@@ -41,7 +41,7 @@ from pyspark.sql import Window
 
 from assetlake.llm.common import input_splits, stage
 from assetlake.llm.components import components
-from assetlake.llm.hashing import as_bytes, mixed, shingles, word_hashes
+from assetlake.llm.hashing import as_bytes, mixed, runs, shingles, word_hashes
 
 BAND = 1.6
 FEW = 64
@@ -80,12 +80,6 @@ def _keys(sketched: np.ndarray, layout: int) -> np.ndarray:
     return (mixed(sketched + mixed(place + np.uint64(77))) << _LAYOUT_BITS) | np.uint64(layout)
 
 
-def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First index of each run of equal values in a sorted array, and the runs' lengths."""
-    first = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else np.zeros(0, np.int64)
-    return first, np.diff(np.r_[first, len(values)])
-
-
 _READ = "doc_id long, hashed long, size long, node long, bucket int, side boolean, keys binary, nodes binary"
 
 
@@ -116,14 +110,14 @@ def _reader(n: int, percent: int, buckets: int):
             k, o = np.concatenate(keys), np.concatenate(owners)
             order = np.argsort(k, kind="stable")
             k, o = k[order], o[order]
-            first, length = _runs(k)
+            first, length = runs(k)
             many = np.repeat(length > 1, length)
             rows = []
             for side, pick in ((True, np.flatnonzero(many)), (False, first)):
                 kk, oo = k[pick], o[pick]
                 dealt = (mixed(kk) % np.uint64(buckets)).astype(np.int64)
                 by = np.argsort(dealt, kind="stable")
-                at, size = _runs(dealt[by])
+                at, size = runs(dealt[by])
                 rows += [(int(dealt[by[a]]), side, kk[by[a:a + m]].tobytes(), oo[by[a:a + m]].tobytes()) for a, m in zip(at, size)]
             yield pa.RecordBatch.from_arrays(
                 [*(pa.nulls(len(rows), f.type) for f in list(schema)[:4]),
@@ -143,7 +137,7 @@ def _shared(t: pa.Table) -> pa.Table:
     key, node = key[order], node[order]
     once = np.r_[True, (key[1:] != key[:-1]) | (node[1:] != node[:-1])] if len(key) else np.zeros(0, bool)
     key, node = key[once], node[once]
-    _, length = _runs(key)
+    _, length = runs(key)
     many = np.repeat(length > 1, length)
     key = np.concatenate([key[many], all_of(True, "keys", np.uint64)]).view(np.int64)
     node = np.concatenate([node[many], all_of(True, "nodes", np.int64)])
