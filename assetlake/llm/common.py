@@ -40,6 +40,12 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def with_text(docs: DataFrame, text: Column, prefix: str = "") -> list[Column]:
+    """The columns of ``docs`` with another text, and its length where they have ``n_chars``."""
+    put = {"text": text, "n_chars": F.length(text).cast("long")}
+    return [put[c].alias(c) if c in put else F.col(f"{prefix}`{c}`") for c in docs.columns]
+
+
 def input_splits(df: DataFrame) -> int:
     """Number of read tasks: what shuffles of packed blocks are sized by, so that they grow with the input."""
     return max(1, df.rdd.getNumPartitions())

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from assetlake.llm.common import stage, word_count
+from assetlake.llm.common import SPACES, stage, with_text, word_count
 
 #: Fixed values of the mix.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -91,11 +91,15 @@ def sainte_lague(claims: DataFrame, group: list[str], key: list[str], claim: str
             .select(*kept, (F.col("_q") + F.signum("_off").cast("bigint") * F.col("_m")).alias(out)))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """Per document: size, its source's size and target, and the words that the mix takes of it."""
+def _draw(id_col: str, text_col: str) -> Column:
+    return F.xxhash64(F.lit(SEED), F.col(id_col), F.col(text_col))
+
+
+def shares(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """Per document: size, its source's size and target, whole turns, and the runs of words taken besides."""
     sized = stage(docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col).cast("string")).alias("size"),
-        F.xxhash64(F.lit(SEED), F.col(id_col), F.col(text_col)).alias("draw")), "mix-sizes")
+        _draw(id_col, text_col).alias("draw")), "mix-sizes")
     per_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
     known = stage(targets(per_source.select("source", "source_size")), "mix-targets")
     counts = stage(per_source.select(F.col("source").alias("s"), F.ceil(F.col("n") / SHARD_DOCS).alias("shards")), "mix-counts")
@@ -120,5 +124,34 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         return F.greatest(F.least(F.col("end"), b) - F.greatest(F.col("begin"), a), F.lit(0))
 
     stop = F.col("run") + F.col("rest")
-    taken = F.col("turns") * F.col("size") + overlap(F.col("run"), stop) + overlap(F.lit(0), stop - F.col("stream"))
-    return placed.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return placed.select(
+        "doc_id", "source", "size", "source_size", "target", "draw", F.col("turns").cast("long").alias("turns"),
+        F.greatest(F.col("run") - F.col("begin"), F.lit(0)).cast("long").alias("first"), overlap(F.col("run"), stop).cast("long").alias("inner"),
+        overlap(F.lit(0), stop - F.col("stream")).cast("long").alias("wrapped"))
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """Per document: size, its source's size and target, and the words that the mix takes of it."""
+    taken = F.col("turns") * F.col("size") + F.col("inner") + F.col("wrapped")
+    return shares(docs, id_col, text_col, source_col).select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"))
+
+
+def mixed_texts(docs: DataFrame) -> DataFrame:
+    """The mix itself, with the columns of ``docs``: a row for each whole turn of a document and for each run of its words."""
+    whole = docs.select(F.struct("*").alias("d"), _draw("doc_id", "text").alias("draw")).withColumn(
+        "nth", F.row_number().over(Window.partitionBy("draw").orderBy("draw")))
+    dealt = shares(docs).select(F.col("draw").alias("at"), "size", "turns", "first", "inner", "wrapped").withColumn(
+        "n", F.row_number().over(Window.partitionBy("at").orderBy("turns", "first", "inner", "wrapped")))
+
+    def run(start, count):
+        return F.struct(start.cast("long").alias("start"), count.cast("long").alias("count"))
+
+    turns = F.array_repeat(run(F.lit(0), F.col("size")), F.col("turns").cast("int"))
+    parts = F.filter(F.array(run(F.col("first"), F.col("inner")), run(F.lit(0), F.col("wrapped"))), lambda x: x["count"] > 0)
+    rows = (whole.join(dealt, (F.col("draw") == F.col("at")) & (F.col("nth") == F.col("n")))
+            .select("d", "size", F.explode(F.concat(turns, parts)).alias("x")).where("x.count > 0"))
+    # words with the white space behind them, so that a run keeps its lines
+    pieces = F.split(F.regexp_replace("d.text", "^" + SPACES, ""), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
+    cut = F.array_join(F.slice(pieces, (F.col("x.start") + 1).cast("int"), F.col("x.count").cast("int")), "")
+    text = F.when(F.col("x.count") == F.col("size"), F.col("d.text")).otherwise(cut)
+    return rows.select("d", text.alias("t")).select(*with_text(docs, F.col("t"), "d."))

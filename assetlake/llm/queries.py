@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assetlake.llm import embedding_dups, fixity, mixing, ngram_join, packing, pii, quality, repeats, toxicity
+from assetlake.llm import embedding_dups, fixity, licenses, mixing, ngram_join, packing, pii, quality, repeats, toxicity
 from assetlake.llm.common import read
 
 QUERIES = {}
@@ -63,3 +63,8 @@ ORACLES["op8_warc_fixity"] = fixity.SQL
 @query
 def op6_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove(read(spark, sf_dir, "documents"))
+
+
+@query
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"))
