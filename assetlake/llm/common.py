@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,6 +57,9 @@ def release(spark: SparkSession) -> None:
 
     It drops them when the driver collects its garbage, which an idle driver does too late for the
     executors' disks. Called after a stage's table is written, when its shuffles aren't needed again.
+    Twice: the gateway lets go of what Python has dropped only between two collections.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
