@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from assetlake.llm.common import input_splits, stage
+from assetlake.llm.common import input_splits, release, stage
 from assetlake.llm.components import components
 from assetlake.llm.hashing import as_bytes, mixed, runs, shingles, word_hashes
 
@@ -222,15 +222,18 @@ def links(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     buckets = 2 * input_splits(d)
     rows = stage(d.withColumn("hashed", hashed).mapInArrow(_reader(n, percent, buckets), _READ), "join-read")
+    release(rows.sparkSession)
     info = rows.where("bucket IS NULL").select("doc_id", "hashed", "size", "node")
     packed = rows.where("bucket IS NOT NULL").select("bucket", "side", "keys", "nodes")
     shared = stage(packed.groupBy("bucket").applyInArrow(_shared, "key long, node long").distinct(), "join-shared")
+    release(rows.sparkSession)
 
     # texts of the nodes that share a block, one each
     one = (info.where("node IS NOT NULL").groupBy("node").agg(F.min(F.struct("hashed", "doc_id")).alias("x"))
            .join(shared.select("node").distinct(), "node", "left_semi").select("node", F.col("x.hashed").alias("h"), F.col("x.doc_id").alias("i")))
     texts = stage(d.join(one, (F.xxhash64("text") == F.col("h")) & F.col("doc_id").eqNullSafe(F.col("i"))).select("node", "text")
                   .dropDuplicates(["node"]), "join-texts")
+    release(rows.sparkSession)
 
     # round 1: each node against one centre
     degree = shared.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
@@ -240,6 +243,7 @@ def links(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
             .groupBy("node").agg(F.max(F.struct("n", "centre")).alias("x")))
     found = stage(_verified(best.select(F.col("node").alias("a"), F.col("x.centre").alias("b")), texts, n, percent), "join-links")
 
+    release(rows.sparkSession)
     sketches = None
     for last in (False, True):
         parts = components(found, "a", "b")
@@ -249,12 +253,16 @@ def links(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
                       .withColumn("layout", F.col("key").bitwiseAND(63).cast("int")), "join-apart")
         if apart.isEmpty():
             break
+        release(rows.sparkSession)
         if sketches is None:
             sketches = stage(_sketches(texts.join(apart.select("node").distinct(), "node", "left_semi"), n, percent), "join-sketches")
         new = _from_tiles(apart.where(F.col("members") > FEW), sketches, percent, forest=not last)
         if not last:
             new = new.unionAll(_from_pairs(apart.where(F.col("members") <= FEW), sketches, percent))
-        found = stage(found.unionAll(_verified(new.distinct(), texts, n, percent)), "join-links")
+        new = stage(new.distinct(), "join-candidates")
+        release(rows.sparkSession)
+        found = stage(found.unionAll(_verified(new, texts, n, percent)), "join-links")
+        release(rows.sparkSession)
     else:
         parts = components(found, "a", "b")
     return info, parts
