@@ -3,10 +3,14 @@
 1. A text's set is its distinct word shingles. Equal sets share a 64-bit signature, their *node*, so
    exact copies are one node from here on.
 2. Nodes fall into size bands. A band fixes a largest symmetric difference d that two linked sets of
-   its sizes can have, and a layout of d + 1 blocks of 64 bits: every shingle flips one bit of one
+   its sizes can have, and a layout of more than d blocks of 64 bits: every shingle flips one bit of one
    block. The Hamming distance of two sketches is at most the symmetric difference of the sets, so
-   linked sets differ in at most d blocks and agree in at least one: blocks are joined by their value
-   (pigeonhole). A set near its band's upper end also has a sketch in the next band's layout.
+   linked sets differ in at most d blocks and agree in the others: blocks are joined by their value,
+   the XOR of their shingles' hashes (pigeonhole). A layout has ``spare`` blocks more than d + 1, so
+   linked sets agree in spare + 1 blocks; blocks of ``WEAK`` shingles or fewer, which unrelated sets
+   share by chance, are joined only for sets that have more than ``spare`` of them: two sets that
+   agree in weak blocks alone both have that many, so no pair is lost. A set near its band's upper
+   end also has a sketch in the next band's layout.
 3. Blocks travel packed, many to a row. What one batch of texts shares is folded before the shuffle:
    a bucket gets one entry per batch of a value that a batch has many times, and the rest of the
    members beside it. What remains are the (value, node) rows of values with two nodes or more.
@@ -30,6 +34,7 @@ gives an empty table; other columns are ignored by ``join`` and kept by ``first_
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,16 +50,23 @@ from assetlake.llm.hashing import as_bytes, mixed, runs, shingles, word_hashes
 
 BAND = 1.6
 FEW = 64
-TILE = 256
+TILE = 2048
+WEAK = 2
 _LAYOUT_BITS = np.uint64(6)
 
 
+def spare(most: int) -> int:
+    """Blocks beyond ``most`` + 1: as many as a set of the band's lower sizes has weak ones, as a rule."""
+    return 1 + most // 8
+
+
 def bands(percent: int, largest: int = 1 << 40) -> list[tuple[int, int]]:
     """(largest size, blocks) of each band at a similarity of ``percent`` / 100 or more."""
     out, upper = [], 8
     while not out or out[-1][0] < largest:
-        # |A ^ B| <= (100 - percent) / (100 + percent) * (|A| + |B|)
-        out.append((upper, (100 - percent) * 2 * upper // (100 + percent) + 1))
+        # |A ^ B| <= (100 - percent) / (100 + percent) * (|A| + |B|); where it is 0, linked sets are equal
+        most = (100 - percent) * 2 * upper // (100 + percent)
+        out.append((upper, most + 1 + spare(most) if most else 1))
         upper = int(upper * BAND) + 1
     return out
 
@@ -67,17 +79,35 @@ def layouts(size: int, percent: int, table: list[tuple[int, int]]) -> list[int]:
     return [k for k in ([own, own + 1] if near else [own]) if table[k][1] > 1]
 
 
+def _blocks(hashed: np.ndarray, layout: int, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    h = mixed(hashed + np.uint64(layout + 1))
+    return h, ((h >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
+
+
 def sketch(hashed: np.ndarray, layout: int, blocks: int) -> np.ndarray:
     """The parity sketch of a set: ``blocks`` words of 64 bits."""
-    h = mixed(hashed + np.uint64(layout + 1))
-    block = ((h >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
+    h, block = _blocks(hashed, layout, blocks)
     bits = np.bincount((block * np.uint64(64) + (h & np.uint64(63))).astype(np.int64), minlength=64 * blocks) & 1
     return np.packbits(bits.astype(np.uint8), bitorder="little").view("<u8")
 
 
-def _keys(sketched: np.ndarray, layout: int) -> np.ndarray:
-    place = np.arange(len(sketched), dtype=np.uint64) * np.uint64(64) + np.uint64(layout)
-    return (mixed(sketched + mixed(place + np.uint64(77))) << _LAYOUT_BITS) | np.uint64(layout)
+def _keys(hashed: np.ndarray, layout: int, blocks: int) -> np.ndarray:
+    """What a set's blocks are joined by; the layout in the lowest bits."""
+    h, block = _blocks(hashed, layout, blocks)
+    order = np.argsort(block, kind="stable")
+    load = np.bincount(block.astype(np.int64), minlength=blocks)
+    value = np.zeros(blocks, np.uint64)
+    value[load > 0] = np.bitwise_xor.reduceat(mixed(h[order]), (np.cumsum(load) - load)[load > 0])
+    place = np.arange(blocks, dtype=np.uint64) * np.uint64(64) + np.uint64(layout)
+    keys = (mixed(value + mixed(place + np.uint64(77))) << _LAYOUT_BITS) | np.uint64(layout)
+    weak = load <= WEAK
+    # most + 1 + spare blocks: linked sets agree in spare + 1 of them
+    return keys if weak.sum() > _spare_of(blocks) else keys[~weak]
+
+
+@functools.cache
+def _spare_of(blocks: int) -> int:
+    return next(spare(m) for m in range(blocks) if m + 1 + spare(m) == blocks)
 
 
 _READ = "doc_id long, hashed long, size long, node long, bucket int, side boolean, keys binary, nodes binary"
@@ -100,7 +130,7 @@ def _reader(n: int, percent: int, buckets: int):
                     continue
                 seen.add(node)
                 for layout in layouts(len(s), percent, table):
-                    keys.append(_keys(sketch(s, layout, table[layout][1]), layout))
+                    keys.append(_keys(s, layout, table[layout][1]))
                     owners.append(np.full(len(keys[-1]), node, np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("hashed"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
