@@ -146,19 +146,39 @@ def _column(t: pa.Table, side: bool, name: str, kind) -> np.ndarray:
     return np.frombuffer(b"".join(t.filter(pc.equal(t.column("side"), side)).column(name).to_pylist()), kind)
 
 
-def _repeated(t: pa.Table) -> pa.Table:
-    """(document, packed positions) of the anchors that two documents have."""
+def _by_part(owner: np.ndarray, columns: list[np.ndarray], buckets: int) -> pa.Table:
+    """Columns packed into a row for each part that their owners fall into."""
+    rows = _packed((mixed(owner.view(np.uint64)) % np.uint64(buckets)).astype(np.int64), [owner, *columns], False)
+    cols = list(zip(*rows)) or [()] * (3 + len(columns))
+    return pa.table({"part": pa.array(cols[0], pa.int32()), "owner": pa.array(cols[2], pa.binary()),
+                     **{f"c{i}": pa.array(c, pa.binary()) for i, c in enumerate(cols[3:])}})
+
+
+def _unpacked(kinds: list, names: list[str]):
+    """From the packed rows of a part: a row for each owner, with its values packed."""
+    def run(t: pa.Table) -> pa.Table:
+        def all_of(name, kind):
+            return np.frombuffer(b"".join(t.column(name).to_pylist()), kind)
+
+        owner, columns = all_of("owner", np.int64), [all_of(f"c{i}", k) for i, k in enumerate(kinds)]
+        order = np.argsort(owner, kind="stable")
+        owner, columns = owner[order], [c[order] for c in columns]
+        first, size = runs(owner)
+        return pa.table({names[0]: pa.array(owner[first], pa.int64()),
+                         **{n: pa.array([c[a:a + m].tobytes() for a, m in zip(first, size)], pa.binary()) for n, c in zip(names[1:], columns)}})
+
+    return run
+
+
+def _repeated(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(document, position) of the anchors that two documents have."""
     doc, at, hashed = (_column(t, False, c, k) for c, k in (("docs", np.int64), ("at", np.uint32), ("hashes", np.uint64)))
     order = np.lexsort((doc, hashed))
     doc, at, hashed = doc[order], at[order], hashed[order]
     first, size = runs(hashed)
     many = np.repeat(doc[first] != doc[first + size - 1], size) if len(first) else np.zeros(0, bool)
     doc = np.concatenate([doc[many], _column(t, True, "docs", np.int64)])
-    at = np.concatenate([at[many], _column(t, True, "at", np.uint32)])
-    order = np.argsort(doc, kind="stable")
-    doc, at = doc[order], at[order]
-    first, size = runs(doc)
-    return pa.table({"d": pa.array(doc[first], pa.int64()), "at": pa.array([at[a:a + n].tobytes() for a, n in zip(first, size)], pa.binary())})
+    return doc, np.concatenate([at[many], _column(t, True, "at", np.uint32)])
 
 
 #: A surrounding: the byte before, REACH bytes, the anchor, REACH bytes; how many of the bytes before and after exist.
@@ -172,7 +192,7 @@ def _send_surroundings(buckets: int):
             doc_of, row_of = batch.column("d").to_numpy(), batch.column("row").to_numpy()
             parts = []
             for i, (text, packed) in enumerate(zip(as_bytes(batch.column("text")), batch.column("at").to_pylist())):
-                at = np.unique(np.concatenate([np.frombuffer(p, np.uint32) for p in packed])).astype(np.int64)
+                at = np.unique(np.frombuffer(packed, np.uint32)).astype(np.int64)
                 at = at[at + GRAM <= len(text)]
                 if not len(at):
                     continue
@@ -267,8 +287,8 @@ def _covered(doc: np.ndarray, around: np.ndarray, before: np.ndarray, after: np.
     return np.array(who, np.int64), np.array(starts, np.int64), np.array(stops, np.int64)
 
 
-def _maximal(t: pa.Table) -> pa.Table:
-    """(row, packed starts, packed stops) of the bytes that the repeats of a bucket's anchors remove."""
+def _maximal(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, stop) of the bytes that the repeats of a bucket's anchors remove."""
     doc, row, at = (_column(t, False, c, k) for c, k in (("docs", np.int64), ("rows", np.int64), ("at", np.uint32)))
     around = _column(t, False, "around", np.uint8).reshape(-1, _AROUND)
     before, after = (_column(t, False, c, np.uint8) for c in ("before", "after"))
@@ -299,20 +319,14 @@ def _maximal(t: pa.Table) -> pa.Table:
             out.append((row[own], at[own] + a, at[own] + b))
     row, start, stop = (np.concatenate(c) for c in zip(*out))
     some = stop > start
-    row, start, stop = row[some], start[some], stop[some]
-    order = np.argsort(row, kind="stable")
-    row, start, stop = row[order], start[order], stop[order]
-    first, size = runs(row)
-    return pa.table({"row": pa.array(row[first], pa.int64()),
-                     "start": pa.array([start[a:a + n].tobytes() for a, n in zip(first, size)], pa.binary()),
-                     "stop": pa.array([stop[a:a + n].tobytes() for a, n in zip(first, size)], pa.binary())})
+    return row[some], start[some], stop[some]
 
 
-def merged(starts: list[bytes] | None, stops: list[bytes] | None) -> list[tuple[int, int]]:
+def merged(starts: bytes | None, stops: bytes | None) -> list[tuple[int, int]]:
     """Spans as maximal runs."""
     out: list[tuple[int, int]] = []
     if starts:
-        a, b = (np.frombuffer(b"".join(x), np.int64) for x in (starts, stops))
+        a, b = (np.frombuffer(x, np.int64) for x in (starts, stops))
         for i in np.argsort(a, kind="stable").tolist():
             if out and a[i] <= out[-1][1]:
                 out[-1] = (out[-1][0], max(out[-1][1], int(b[i])))
@@ -331,14 +345,20 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     d = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("d"), _row(F.col(id_col), text).alias("row"), text.alias("text"))
     buckets = 2 * input_splits(d)
     sent = d.select("d", "text").mapInArrow(_send_anchors(buckets), "bucket int, side boolean, docs binary, at binary, hashes binary")
-    repeated = stage(sent.groupBy("bucket").applyInArrow(_repeated, "d long, at binary"), "repeats-anchors")
+    repeated = stage(sent.groupBy("bucket").applyInArrow(
+        lambda t: _by_part(*_with_list(_repeated(t)), buckets), "part int, owner binary, c0 binary"), "repeats-anchors")
     release(repeated.sparkSession)
-    at = repeated.groupBy("d").agg(F.collect_list("at").alias("at"))  # a document's own positions
+    at = repeated.groupBy("part").applyInArrow(_unpacked([np.uint32], ["d", "at"]), "d long, at binary")  # a document's own positions
     sent = d.join(at, "d").select("d", "row", "text", "at").mapInArrow(
         _send_surroundings(buckets), "bucket int, side boolean, docs binary, rows binary, at binary, around binary, before binary, after binary")
-    found = stage(sent.groupBy("bucket").applyInArrow(_maximal, "row long, start binary, stop binary"), "repeats-spans")
+    found = stage(sent.groupBy("bucket").applyInArrow(
+        lambda t: _by_part(*_with_list(_maximal(t)), buckets), "part int, owner binary, c0 binary, c1 binary"), "repeats-spans")
     release(found.sparkSession)
-    return found.groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("s")).select("row", F.col("s.start").alias("starts"), F.col("s.stop").alias("stops"))
+    return found.groupBy("part").applyInArrow(_unpacked([np.int64, np.int64], ["row", "starts", "stops"]), "row long, starts binary, stops binary")
+
+
+def _with_list(columns: tuple) -> tuple:
+    return columns[0], list(columns[1:])
 
 
 def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
