@@ -99,14 +99,13 @@ def b64(binary) -> Column:
 
 
 def title(text) -> Column:
-    """F16: title case that also capitalises after ``_`` (as Python does).
+    """F16: title case that capitalises every letter after a non-letter (as Python does).
 
-    ``initcap`` only starts words after a space, so a space is put after
-    each ``_`` and taken out again: plain string functions, kept in
-    whole-stage codegen (a ``transform`` lambda would not be).
+    ``initcap`` only starts words after a space, so a space is put after each non-letter and taken
+    out again: plain string functions, kept in whole-stage codegen (a ``transform`` lambda would not be).
     """
-    spaced = F.regexp_replace(_c(text), "_", "_ ")
-    return F.regexp_replace(F.initcap(spaced), "_ ", "_")
+    spaced = F.regexp_replace(_c(text), r"([^\p{L}])", "$1 ")
+    return F.regexp_replace(F.initcap(spaced), r"([^\p{L}]) ", "$1")
 
 
 def percent_text(ratio, places: int = 1) -> Column:

@@ -45,8 +45,8 @@ def flags(summ: DataFrame) -> DataFrame:
 
 
 def recommendations(summ: DataFrame, accuracy_col: str | None = None) -> DataFrame:
-    """Q6: rule table evaluated against the summary (and an accuracy, if given)."""
-    s = summ if accuracy_col else summ.withColumn("accuracy", F.lit(None).cast("double"))
+    """Q6: rule table evaluated against the summary and an accuracy (0 if none is given)."""
+    s = summ if accuracy_col else summ.withColumn("accuracy", F.lit(0.0))
     if accuracy_col and accuracy_col != "accuracy":
         s = s.withColumnRenamed(accuracy_col, "accuracy")
     parts = []

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assetlake.operators.joins import bounded
 from assetlake.operators.rank import dense_ids
 
 UNKNOWN_ID = -1
@@ -53,7 +52,7 @@ def encode(df: DataFrame, col: str, names, out: str, default: int = UNKNOWN_ID)
     """
     if isinstance(names, DataFrame):
         lut = names.select(F.col("name").alias("_lbl_name"), F.col("id").alias("_lbl_id"))
-        return (df.join(bounded(lut), df[col] == lut["_lbl_name"], "left")
+        return (df.join(lut, df[col] == lut["_lbl_name"], "left")
                 .withColumn(out, F.coalesce(F.col("_lbl_id"), F.lit(default)).cast("int"))
                 .drop("_lbl_name", "_lbl_id"))
     names = sorted_names(names)

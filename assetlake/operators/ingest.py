@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assetlake.functions.columns import asset_filename
-from assetlake.operators.joins import bounded
 
 STATUS_SCHEMA = T.StructType([
     T.StructField("key", T.StringType()),
@@ -53,7 +52,7 @@ def high_water(examples: DataFrame, status: DataFrame, key: str, idx: str) -> Da
     """Rows after each key's last ingested index (unknown/legacy -> -1)."""
     hwm = status.select(F.col("key").alias("_k"),
                         F.coalesce(F.col("last_index"), F.lit(-1)).alias("_hwm"))
-    j = examples.join(bounded(hwm), examples[key] == hwm["_k"], "left")
+    j = examples.join(hwm, examples[key] == hwm["_k"], "left")
     return j.filter(F.col(idx) > F.coalesce(F.col("_hwm"), F.lit(-1))).drop("_k", "_hwm")
 
 
@@ -62,10 +61,10 @@ def plan(examples: DataFrame, status: DataFrame, wanted: DataFrame, n: int,
     """The first ``n`` new rows per wanted key, in index order.
 
     ``wanted`` has one column ``key``; status and wanted are bounded by the
-    number of keys and are broadcast.
+    number of keys; the planner picks the join.
     """
     w = wanted.select(F.col("key").alias(key)).distinct()
-    ex = examples.join(bounded(w), key, "left_semi")
+    ex = examples.join(w, key, "left_semi")
     ex = high_water(ex, status, key, idx)
     win = Window.partitionBy(key).orderBy(idx)
     return (ex.withColumn("rank", F.row_number().over(win))

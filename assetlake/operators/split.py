@@ -62,10 +62,10 @@ def split_stratified(df: DataFrame, class_col: str, id_col: str, seed: int = DEF
     wc = Window.partitionBy(class_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     offs = (hist.withColumn("_before", F.sum("_n").over(wc) - F.col("_n"))
             .withColumn("_total", F.sum("_n").over(Window.partitionBy(class_col)))
-            .select(class_col, "_b", "_before", "_total"))
+            .select(F.col(class_col).alias("_oc"), F.col("_b").alias("_ob"), "_before", "_total"))
     wk = Window.partitionBy(class_col, "_b").orderBy("_u", id_col).rowsBetween(Window.unboundedPreceding, 0)
     ranked = (keys.withColumn("_in_cell", F.sum("_c").over(wk) - F.col("_c"))
-              .join(offs, [class_col, "_b"])
+              .join(offs, F.col(class_col).eqNullSafe(F.col("_oc")) & (F.col("_b") == F.col("_ob")))
               .withColumn("_q", (F.col("_before") + F.col("_in_cell")) / F.col("_total"))
               .select(F.col(class_col).alias("_kc"), F.col("_b").alias("_kb"), F.col("_u").alias("_ku"),
                       F.col(id_col).alias("_kid"), split_label(F.col("_q")).alias(out)))

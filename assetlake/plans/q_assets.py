@@ -317,12 +317,13 @@ FROM documents
 
 
 def split_stratified(spark, d):
-    docs = read_table(spark, d, "documents").select("doc_id", "lang")
+    # one language stands for documents without a class
+    docs = read_table(spark, d, "documents").select("doc_id", F.nullif("lang", F.lit("es")).alias("lang"))
     return S.split_stratified(docs, "lang", "doc_id", SEED)
 
 
 register("split_stratified", f"""
-WITH u AS (SELECT doc_id, lang, {uhash(SEED, 'doc_id')} AS u FROM documents),
+WITH u AS (SELECT doc_id, nullif(lang, 'es') AS lang, {uhash(SEED, 'doc_id')} AS u FROM documents),
 r AS (SELECT *, (rank() OVER (PARTITION BY lang ORDER BY u, doc_id) - 1)::DOUBLE
                 / count(*) OVER (PARTITION BY lang) AS q FROM u)
 SELECT doc_id, lang, {split_case('q')} AS dataset_split FROM r

@@ -101,7 +101,7 @@ def recommendations(spark, d):
 
 
 register("recommendations", f"""WITH {_SUMMARY_SQL},
-t AS (SELECT *, max_n::DOUBLE / min_n AS ratio, CAST(NULL AS DOUBLE) AS accuracy FROM s)
+t AS (SELECT *, max_n::DOUBLE / min_n AS ratio, CAST(0 AS DOUBLE) AS accuracy FROM s)
 """ + " UNION ALL ".join(
     f"SELECT {p} AS priority, '{r}' AS rule, coalesce(({c}), false) AS hit, '{txt}' AS action, "
     f"CAST(greatest(1000 - total, 0) AS BIGINT) AS need_more FROM t"

@@ -8,7 +8,9 @@ tests. It never overrides settings that are already present, so a cluster's
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -65,6 +67,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_OWN_DIR_KEY, None)
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="assetlake-ckpt-")
         spark.conf.set(_OWN_DIR_KEY, path)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -75,3 +79,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for intermediate tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, unless their PYTHONPATH has it. Once per application."""
+    here = os.path.dirname(os.path.abspath(__file__))
+    root, app = os.path.dirname(here), spark.sparkContext.applicationId
+    if app in _SHIPPED or root in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="assetlake-ship-"), "assetlake.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(here):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, root))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assetlake.operators.ingest import merge_status, plan
-from assetlake.operators.joins import bounded
 from assetlake.sinks import blob
 from assetlake.session import checkpoint_dir
 
@@ -72,26 +71,27 @@ def ingest(examples: DataFrame, status: DataFrame, wanted: DataFrame, n: int, ro
            key: str = "key", idx: str = "idx", content: str = "content"):
     """T4: one incremental run. Returns (new status, write results).
 
-    Pass 1 plans the first ``n`` new rows per key and writes them. Rows whose
-    write failed free their slot: pass 2 plans the shortfall per key after
-    the last attempted index and writes those. The status merges only rows
-    that were written, and is pinned before it is returned so the caller can
-    overwrite the status table it was read from (K8).
+    The first pass plans the first ``n`` new rows per key and writes them. Rows whose write failed
+    free their slot: each further pass plans the shortfall per key after the last attempted index,
+    until every key has its n files or no candidates are left. The status merges only rows that were
+    written, and is pinned before it is returned so the caller can overwrite the status table it was
+    read from (K8).
     """
-    spark = examples.sparkSession
-    checkpoint_dir(spark)
-    first = write_assets(plan(examples, status, wanted, n, key, idx), root, key, idx, content)
-    per = first.groupBy("key").agg(F.count_if(F.col("error").isNull()).alias("_ok"), F.max("idx").alias("_tried"))
-    short = per.filter(F.col("_ok") < n)
-    # status for pass 2: high-water mark = last attempted index
-    tried = short.select("key", F.lit(0).cast("bigint").alias("count"), F.col("_tried").alias("last_index"),
-                         F.lit(None).cast("string").alias("last_filename"))
-    wanted2 = short.select("key")
-    second_plan = plan(examples, tried, wanted2, n, key, idx)
-    need = short.select(F.col("key").alias(key), (F.lit(n) - F.col("_ok")).alias("_need"))
-    second_plan = second_plan.join(bounded(need), key).filter(F.col("rank") <= F.col("_need")).drop("_need")
-    second = write_assets(second_plan, root, key, idx, content)
-    results = first.unionByName(second)
+    checkpoint_dir(examples.sparkSession)
+    results = write_assets(plan(examples, status, wanted, n, key, idx), root, key, idx, content)
+    while True:
+        per = results.groupBy("key").agg(F.count_if(F.col("error").isNull()).alias("_ok"), F.max("idx").alias("_tried"))
+        short = per.filter(F.col("_ok") < n)
+        # the next pass starts after the last attempted index
+        tried = short.select("key", F.lit(0).cast("bigint").alias("count"), F.col("_tried").alias("last_index"),
+                             F.lit(None).cast("string").alias("last_filename"))
+        need = short.select(F.col("key").alias(key), (F.lit(n) - F.col("_ok")).alias("_need"))
+        refill = (plan(examples, tried, short.select("key"), n, key, idx)
+                  .join(need, key).filter(F.col("rank") <= F.col("_need")).drop("_need"))
+        written = write_assets(refill, root, key, idx, content)
+        if written.isEmpty():
+            break
+        results = results.unionByName(written)
     ok = results.filter(F.col("error").isNull())
     new_status = merge_status(status, ok, key="key", idx="idx").checkpoint(eager=True)
     return new_status, results

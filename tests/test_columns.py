@@ -54,6 +54,8 @@ def test_parent_title_mask_b64(spark):
     assert _one(spark, C.parent_dir("p"), p="c.json") == ""
     assert _one(spark, C.title("t"), t="spaghetti_bolognese") == "Spaghetti_Bolognese"
     assert _one(spark, C.title("t"), t="hot dog") == "Hot Dog"
+    for text, want in (("they.re", "They.Re"), ("a-b", "A-B"), ("pho2go", "Pho2Go"), ("x/y  z", "X/Y  Z"), ("ÉCLAIR au chocolat", "Éclair Au Chocolat")):
+        assert _one(spark, C.title("t"), t=text) == want
     assert _one(spark, C.mask("t"), t="dapi1234567890abcdef") == "dapi123456***"
     long = "x" * 500
     b = spark.sql(f"SELECT encode('{long}', 'UTF-8') AS b").select(C.b64("b").alias("s")).first()["s"]

@@ -53,18 +53,3 @@ def test_silver_does_not_read_bronze_content(spark, tmp_path):
     scans = [line for line in plan.splitlines() if "ReadSchema" in line or "FileScan parquet" in line]
     assert scans and all("content:binary" not in line for line in scans)
     assert rows.count() == 1
-
-
-def test_bounded_broadcast_falls_back_above_the_bound(spark):
-    from assetlake.operators.joins import bounded
-    big = spark.range(0, 1000).withColumnRenamed("id", "k")
-    small = spark.range(0, 10).withColumnRenamed("id", "k")
-    hinted = big.join(bounded(small, max_rows=100), "k")
-    assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plain = big.join(bounded(big.select("k"), max_rows=100), "k")
-        assert "BroadcastHashJoin" not in plain._jdf.queryExecution().executedPlan().toString()
-        assert plain.count() == 1000
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))

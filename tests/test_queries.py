@@ -33,13 +33,14 @@ def test_entry(spark):
     assert df.count() > 0 and "image_id" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+# the corpus operators have tests of their own
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.LLM_QUERIES)))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF001)
     got = [tuple(_norm(r[c]) for c in sorted(df.columns)) for r in df.collect()]
     sql = E.oracle_sql().get(name)
     if sql is None:
-        assert len(got) >= 0
+        assert got and len(set(df.columns)) == len(df.columns)
         return
     o = con.execute(sql)
     cols = [d[0] for d in o.description]

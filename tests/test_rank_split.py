@@ -102,3 +102,10 @@ def test_row_index_contiguous(spark):
     got = sorted(r.idx for r in out.select("idx").collect())
     assert got == list(range(5000))
     assert out.select("v").distinct().count() == 5000
+
+
+def test_split_stratified_keeps_rows_without_a_class(spark):
+    from assetlake.operators.split import split_stratified
+    rows = [(i, None if i % 4 == 0 else f"c{i % 3}") for i in range(40)] + [(None, None)]
+    out = split_stratified(spark.createDataFrame(rows, "id long, cls string"), "cls", "id").collect()
+    assert len(out) == 41 and all(r.dataset_split is not None for r in out)

@@ -84,3 +84,13 @@ def test_report_listing(spark):
     assert r["a"].complete and not r["b"].complete and r["c"].new == 0
     assert r["a"].total_saved == 3 and r["a"].completed_keys == 1 and not r["a"].all_complete
     assert r["a"].hidden_keys == 0
+
+
+def test_refill_goes_on_past_many_bad_rows(spark, tmp):
+    """Twice n unreadable rows first: the run still saves n files."""
+    ex = spark.createDataFrame([("k", i, None if i < 9 else bytearray(b"x")) for i in range(14)], "key string, idx long, content binary")
+    status = spark.createDataFrame([], "key string, count long, last_index long, last_filename string")
+    wanted = spark.createDataFrame([("k",)], "key string")
+    new_status, results = ingest(ex, status, wanted, 2, os.path.join(tmp, "files"))
+    assert results.where("error IS NULL").count() == 2
+    assert new_status.first()["last_index"] == 10
