@@ -120,19 +120,18 @@ def cutoffs(figs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: flo
               .agg(F.sum((F.col("holdout") & (F.col("good") == 1)).cast("long")).alias("good_held"),
                    F.sum((~F.col("holdout") & (F.col("good") == 1)).cast("long")).alias("good_design"),
                    F.sum((~F.col("holdout") & (F.col("good") != 1)).cast("long")).alias("bad_design")))
+    counts = stage(counts, "quality-counts")
     grid = counts.sparkSession.createDataFrame(
         [(r, i + 1, float(c)) for r, (_, g) in RULES.items() for i, c in enumerate(g)], "rule string, level int, cutoff double")
     # every cutoff is a test, also one that no document exceeds
     tests = counts.groupBy("stratum", "rule").agg(F.sum("good_held").alias("n")).join(grid, "rule")
-    n_tests = counts.select("stratum").distinct().agg((F.count(F.lit(1)) * sum(len(g) for _, g in RULES.values())).alias("m"))
+    made = counts.select("stratum").distinct().count() * sum(len(g) for _, g in RULES.values())
     above = (tests.alias("t").join(counts.alias("c"), F.col("t.stratum").eqNullSafe(F.col("c.stratum")) & (F.col("t.rule") == F.col("c.rule")) & (F.col("c.level") >= F.col("t.level")), "left")
              .groupBy("t.stratum", "t.rule", "t.level", "t.cutoff", "t.n")
              .agg(*[F.coalesce(F.sum(f"c.{x}"), F.lit(0)).alias(x) for x in ("good_held", "good_design", "bad_design")]))
     tail = binomial_tail(F.col("n"), F.col("good_held"), alpha / len(RULES))
     useful = (F.col("bad_design") > 0) & (F.col("bad_design") >= precision * (F.col("bad_design") + F.col("good_design")))
-    one = F.lit(1)
-    return (above.withColumn("one", one).join(n_tests.withColumn("one", one), "one")
-            .where((tail <= delta / F.col("m")) & useful)
+    return (above.where((tail <= delta / max(1, made)) & useful)
             .groupBy("stratum", "rule").agg(F.min("cutoff").alias("cutoff")))
 
 
