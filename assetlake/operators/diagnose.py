@@ -10,14 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from assetlake.operators.quality import DATASET_FLAGS, RECOMMENDATIONS
+from assetlake.operators.quality import DATASET_FLAGS, OUTLOOK, RECOMMENDATIONS
 
 
 def distribution(df: DataFrame, class_col: str) -> DataFrame:
     """A2: (class, n, pct) with pct = 100 n / total rounded to 1 place."""
     c = df.groupBy(F.col(class_col).alias("class")).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
-    tot = F.sum("n").over(Window.partitionBy())
-    pct = F.col("n") * F.lit(100.0) / tot
+    total = df.agg(F.count(F.lit(1)).cast("bigint").alias("total")).scalar()
+    pct = F.col("n") * F.lit(100.0) / total
     return c.withColumn("pct", F.floor(pct * F.lit(10.0) + F.lit(0.5)) / F.lit(10.0))
 
 
@@ -54,7 +54,18 @@ def recommendations(summ: DataFrame, accuracy_col: str | None = None) -> DataFra
         parts.append(f"{prio}, '{rule}', coalesce({cond}, false), '{text}'")
     stack = ", ".join(parts)
     return s.selectExpr(f"stack({len(RECOMMENDATIONS)}, {stack}) AS (priority, rule, hit, action)",
-                        "CAST(greatest(1000 - total, 0) AS BIGINT) AS need_more")
+                        "total").select(
+        "priority", "rule", "hit", "action",
+        F.when(F.col("hit") & (F.col("rule") == "collect_more_data"), 1000 - F.col("total")).cast("bigint").alias("need_more"))
+
+
+def outlook(summ: DataFrame, epochs: int = 3) -> DataFrame:
+    """Q6: expected improvements that apply and the realistic targets, one row each."""
+    s = summ.withColumn("epochs", F.lit(epochs))
+    parts = ", ".join(
+        f"'{sec}', '{item}', CASE WHEN {cond} THEN '{yes}' ELSE {'NULL' if no is None else repr(no)} END"
+        for sec, item, cond, yes, no in OUTLOOK)
+    return s.selectExpr(f"stack({len(OUTLOOK)}, {parts}) AS (section, item, outlook)").where(F.col("outlook").isNotNull())
 
 
 def first_k_per_group(df: DataFrame, group: str, item: str, k: int = 4) -> DataFrame:

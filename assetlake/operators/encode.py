@@ -3,8 +3,8 @@
 Label ids come from configuration (a sorted list of names -> 0..n-1) or,
 for D1b, from the distinct labels present in the data. Lookups never
 collect data: a config list becomes a literal map (constant-folded by
-Catalyst) while it is small, and a broadcast lookup table beyond that; ids
-from data are computed with the distributed ``dense_ids``.
+Catalyst), a DataFrame of names is joined; ids from data are computed with
+the distributed ``dense_ids``.
 """
 
 from __future__ import annotations
@@ -18,10 +18,6 @@ from pyspark.sql import types as T
 from assetlake.operators.rank import dense_ids
 
 UNKNOWN_ID = -1
-# Above this many names a literal map is replaced by a broadcast join; the
-# list comes from a config file read with a 1 MB cap, so either form is
-# bounded.
-MAP_LITERAL_MAX = 5000
 
 
 def sorted_names(names: Iterable[str]) -> list[str]:
@@ -55,9 +51,6 @@ def encode(df: DataFrame, col: str, names, out: str, default: int = UNKNOWN_ID)
         return (df.join(lut, df[col] == lut["_lbl_name"], "left")
                 .withColumn(out, F.coalesce(F.col("_lbl_id"), F.lit(default)).cast("int"))
                 .drop("_lbl_name", "_lbl_id"))
-    names = sorted_names(names)
-    if len(names) > MAP_LITERAL_MAX:
-        return encode(df, col, label_table(df.sparkSession, names), out, default)
     return df.withColumn(out, F.coalesce(F.try_element_at(label_map(names), F.col(col)),
                                          F.lit(default)).cast("int"))
 

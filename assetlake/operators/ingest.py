@@ -97,17 +97,19 @@ def run_report(picked: DataFrame, wanted: DataFrame, n: int, key: str = "key") -
     """Per wanted key: new rows, complete flag, run totals, listing rank.
 
     Joins the per-key counts (one row per key) with the wanted list; the run
-    totals are windows over that per-key table, which is bounded by the key
-    count.
+    totals are one aggregated row, and only the listed keys have a rank.
     """
     per = picked.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("new"))
     w = wanted.select("key").distinct()
     r = w.join(per, "key", "left").withColumn("new", F.coalesce(F.col("new"), F.lit(0)).cast("bigint"))
-    all_w = Window.partitionBy()
-    return (r.withColumn("complete", F.col("new") >= F.lit(n))
-            .withColumn("total_saved", F.sum("new").over(all_w).cast("bigint"))
-            .withColumn("completed_keys", F.count_if(F.col("complete")).over(all_w).cast("bigint"))
-            .withColumn("all_complete", F.bool_and(F.col("complete")).over(all_w))
-            .withColumn("listing_rank", F.row_number().over(Window.orderBy("key")))
-            .withColumn("shown", F.col("listing_rank") <= F.lit(LISTING_SIZE))
-            .withColumn("hidden_keys", F.greatest(F.count(F.lit(1)).over(all_w) - F.lit(LISTING_SIZE), F.lit(0)).cast("bigint")))
+    r = r.withColumn("complete", F.col("new") >= F.lit(n))
+    t = r.agg(F.sum("new").cast("bigint").alias("saved"), F.count_if("complete").cast("bigint").alias("done"),
+              F.bool_and("complete").alias("all"), F.count(F.lit(1)).cast("bigint").alias("keys"))
+    total = t.select(F.struct("*")).scalar()
+    # the listing: each task keeps its own first LISTING_SIZE keys
+    first = (r.select("key").orderBy("key").limit(LISTING_SIZE)
+             .withColumn("listing_rank", F.row_number().over(Window.orderBy("key"))))
+    return (r.join(first, "key", "left").withColumn("_t", total)
+            .select("key", "new", "complete", F.col("_t.saved").alias("total_saved"), F.col("_t.done").alias("completed_keys"),
+                    F.col("_t.all").alias("all_complete"), "listing_rank", F.col("listing_rank").isNotNull().alias("shown"),
+                    F.greatest(F.col("_t.keys") - F.lit(LISTING_SIZE), F.lit(0)).cast("bigint").alias("hidden_keys")))

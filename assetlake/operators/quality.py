@@ -96,6 +96,15 @@ RECOMMENDATIONS = [
     (3, "address_imbalance", "ratio > 3", "address class imbalance: class weights, stratified sampling"),
 ]
 
+# Q6 fixed values of the outlook: (section, item, condition, text if it holds, text otherwise; null: no row).
+OUTLOOK = [
+    ("improvement", "more data (2-3x)", "total < 500", "+15-25% accuracy", None),
+    ("improvement", "10 epochs", "epochs = 3", "+5-15% accuracy", None),
+    ("improvement", "balanced classes", "min_n < 50", "+10-20% accuracy", None),
+    ("target", "short term", "total < 500", "50-60% accuracy", "65-75% accuracy"),
+    ("target", "long term", "total < 500", "75-85% accuracy", "80-90% accuracy"),
+]
+
 
 def band(x: Column, edges: list[tuple[float, str]], otherwise: str) -> Column:
     """Q5/M5: first label whose upper edge ``x`` is below, else ``otherwise``."""

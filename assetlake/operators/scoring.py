@@ -16,6 +16,7 @@ GATE_LABEL = "Not a food / Unknown image data"
 UNKNOWN_LABEL = "Unknown"
 CONFIDENCE_BANDS = [(70.0, "high", "Excellent"), (50.0, "medium", "Good")]
 LOW_BAND = ("low", "Uncertain")
+ERROR_LABELS = {"timeout": "Timeout", "connection": "Connection Error", "request": "Request Error"}
 NOT_SHOWN = ["Error", "Timeout", "Connection Error"]
 
 
@@ -59,38 +60,48 @@ def request_json(payload_b64, column_name: str = "processed_image_data") -> Colu
 
 
 def parse_responses(df: DataFrame, status: str, body: str, label_out: str = "label",
-                    score_out: str = "score") -> DataFrame:
+                    score_out: str = "score", error_kind: str | None = None) -> DataFrame:
     """Add (label, score) parsed from stored responses.
 
-    Non-200 -> ('Error', 0.0); body that is not JSON -> ('JSON Error', 0.0);
-    else ``predictions[0]``, or the first list element, or the object, with
-    label default 'Unknown' and score default 0.0, then the gate. A chosen
-    prediction that is not an object (empty list, a number, ...) is an
-    error, as the surveyed code fails on ``.get`` there.
+    ``error_kind`` names a column that tells why no response came back (null:
+    one did); a non-200 status is ('Error', 0.0), a body that is not JSON
+    ('Request Error', 0.0): the client library counts it among its request
+    exceptions. Else ``predictions[0]``, or the first list element, or the
+    object. A missing label is 'Unknown' (a null one stays null), a missing
+    score 0.0; a prediction that is not an object, or a score that is null,
+    text, a list or an object, is an error, as comparing it with the gate fails.
 
     The JSON is parsed once into a VARIANT column and each later step reads
     that column: written as one nested expression, Catalyst inlines the
     prediction sub-expression into every use and parses it again.
     """
-    t = df.withColumn("_v", F.try_parse_json(F.col(body)))
-    t = t.withColumn("_vk", F.schema_of_variant("_v"))
-    has_preds = F.col("_vk").startswith("OBJECT") & F.try_variant_get("_v", "$.predictions", "variant").isNotNull()
+    first = F.substring(F.ltrim(F.col(body), F.lit(" \t\r\n")), 1, 1)
+    t = df.withColumn("_v", F.try_parse_json(F.col(body))).withColumn("_c", first)
+    has_preds = (F.col("_c") == "{") & F.try_variant_get("_v", "$.predictions", "variant").isNotNull()
     t = t.withColumn("_p", F.when(has_preds, F.try_variant_get("_v", "$.predictions[0]", "variant"))
-                     .when(F.col("_vk").startswith("ARRAY"), F.try_variant_get("_v", "$[0]", "variant"))
+                     .when(F.col("_c") == "[", F.try_variant_get("_v", "$[0]", "variant"))
                      .otherwise(F.col("_v")))
-    t = (t.withColumn("_pok", F.coalesce(F.schema_of_variant("_p").startswith("OBJECT"), F.lit(False)))
-         .withColumn("_lb", F.coalesce(F.try_variant_get("_p", "$.label", "string"), F.lit(UNKNOWN_LABEL)))
-         .withColumn("_sc", F.coalesce(F.try_variant_get("_p", "$.score", "double"), F.lit(0.0))))
+    t = (t.withColumn("_pok", F.try_variant_get("_p", "$", "map<string,variant>").isNotNull())
+         .withColumn("_has", F.try_variant_get("_p", "$.label", "variant").isNotNull())
+         .withColumn("_lb", F.try_variant_get("_p", "$.label", "string"))
+         .withColumn("_s", F.try_variant_get("_p", "$.score", "variant")))
+    kind = F.schema_of_variant("_s")
+    number = (kind == "BOOLEAN") | (kind == "BIGINT") | (kind == "DOUBLE") | kind.startswith("DECIMAL")
+    t = t.withColumn("_sc", F.when(F.col("_s").isNull(), F.lit(0.0))
+                     .when(number, F.try_variant_get("_s", "$", "double")))
     ok = F.coalesce(F.col(status) == F.lit(200), F.lit(False))
-    parsed = F.col("_v").isNotNull()
-    t = t.withColumn(label_out, F.when(~ok, F.lit("Error"))
-                     .when(~parsed, F.lit("JSON Error"))
-                     .when(~F.col("_pok"), F.lit("Error"))
-                     .otherwise(gate(F.col("_lb"), F.col("_sc"))))
-    t = t.withColumn(score_out, F.when(ok & parsed & F.col("_pok"), F.col("_sc")).otherwise(F.lit(0.0)))
-    return t.drop("_v", "_vk", "_p", "_pok", "_lb", "_sc")
+    good = ok & F.col("_pok") & F.col("_sc").isNotNull()
+    if error_kind is not None:
+        good = good & F.col(error_kind).isNull()
+    named = F.when(F.col("_has"), F.col("_lb")).otherwise(F.lit(UNKNOWN_LABEL))
+    label = F.when(good, gate(named, F.col("_sc"))).when(ok & F.col("_v").isNull(), F.lit(ERROR_LABELS["request"])).otherwise(F.lit("Error"))
+    if error_kind is not None:
+        failed = F.create_map(*[F.lit(x) for pair in ERROR_LABELS.items() for x in pair])
+        label = F.when(F.col(error_kind).isNotNull(), F.coalesce(F.try_element_at(failed, F.col(error_kind)), F.lit("Error"))).otherwise(label)
+    t = t.withColumn(label_out, label).withColumn(score_out, F.when(good, F.col("_sc")).otherwise(F.lit(0.0)))
+    return t.drop("_v", "_c", "_p", "_pok", "_has", "_lb", "_s", "_sc")
 
 
 def shown(label) -> Column:
     """M6: results the app displays (three error labels are not)."""
-    return ~_c(label).isin(NOT_SHOWN)
+    return F.coalesce(~_c(label).isin(NOT_SHOWN), F.lit(True))

@@ -90,7 +90,7 @@ SELECT key, new, new >= {PER_KEY} AS complete,
        CAST(sum(new) OVER () AS BIGINT) AS total_saved,
        CAST(count(*) FILTER (WHERE new >= {PER_KEY}) OVER () AS BIGINT) AS completed_keys,
        bool_and(new >= {PER_KEY}) OVER () AS all_complete,
-       CAST(row_number() OVER (ORDER BY key) AS INTEGER) AS listing_rank,
+       CAST(CASE WHEN row_number() OVER (ORDER BY key) <= 20 THEN row_number() OVER (ORDER BY key) END AS INTEGER) AS listing_rank,
        row_number() OVER (ORDER BY key) <= 20 AS shown,
        CAST(greatest(count(*) OVER () - 20, 0) AS BIGINT) AS hidden_keys
 FROM rep

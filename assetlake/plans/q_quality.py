@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from assetlake.functions.columns import round6
 from assetlake.operators import diagnose as D
-from assetlake.operators.quality import DATASET_FLAGS, RECOMMENDATIONS, Rules, apply_rules
+from assetlake.operators.quality import DATASET_FLAGS, OUTLOOK, RECOMMENDATIONS, Rules, apply_rules
 from assetlake.plans.registry import r6, register
 from assetlake.sources.tables import read_table
 
@@ -104,5 +104,27 @@ register("recommendations", f"""WITH {_SUMMARY_SQL},
 t AS (SELECT *, max_n::DOUBLE / min_n AS ratio, CAST(0 AS DOUBLE) AS accuracy FROM s)
 """ + " UNION ALL ".join(
     f"SELECT {p} AS priority, '{r}' AS rule, coalesce(({c}), false) AS hit, '{txt}' AS action, "
-    f"CAST(greatest(1000 - total, 0) AS BIGINT) AS need_more FROM t"
+    f"CAST({'CASE WHEN total < 1000 THEN 1000 - total END' if r == 'collect_more_data' else 'NULL'} AS BIGINT) AS need_more FROM t"
     for p, r, c, txt in RECOMMENDATIONS))(recommendations)
+
+
+# ---------------------------------------------------------------- outlook, by language and by rare label classes
+
+def improvement_outlook(spark, d):
+    by_lang = D.outlook(D.summary(_dist(spark, d))).withColumn("of", F.lit("lang"))
+    regions = D.distribution(read_table(spark, d, "supplier").select("s_nationkey"), "s_nationkey")
+    return by_lang.unionByName(D.outlook(D.summary(regions), epochs=10).withColumn("of", F.lit("nation")))
+
+
+def _outlook_sql(of: str, source: str, col: str, epochs: int) -> str:
+    rows = " UNION ALL ".join(
+        f"SELECT '{sec}' AS section, '{item}' AS item, CASE WHEN {cond} THEN '{yes}' ELSE {'NULL' if no is None else repr(no)} END AS outlook FROM t"
+        for sec, item, cond, yes, no in OUTLOOK)
+    return f"""SELECT section, item, outlook, '{of}' AS of FROM (
+WITH c AS (SELECT count(*) AS n FROM {source} GROUP BY {col}),
+t AS (SELECT sum(n) AS total, min(n) AS min_n, {epochs} AS epochs FROM c)
+{rows}) o WHERE outlook IS NOT NULL"""
+
+
+register("improvement_outlook", " UNION ALL ".join(
+    [_outlook_sql("lang", "documents", "lang", 3), _outlook_sql("nation", "supplier", "s_nationkey", 10)]))(improvement_outlook)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from assetlake.operators import evaluate as V
 from assetlake.operators import scoring as SC
+from assetlake.operators.train import choose, class_profiles, profile_scores
 from assetlake.operators.diagnose import distribution, flags, summary
 
 
@@ -50,7 +51,13 @@ def test_parse_response_shapes(spark):
         (200, '{"score":0.6}', "Unknown", 0.6),
         (200, '{"label":"x"}', SC.GATE_LABEL, 0.0),
         (200, '{"label":"x","score":0.3}', SC.GATE_LABEL, 0.3),
-        (200, "not json", "JSON Error", 0.0),
+        (200, "not json", "Request Error", 0.0),
+        (200, '{"label":"x","score":null}', "Error", 0.0),
+        (200, '{"label":"x","score":"0.9"}', "Error", 0.0),
+        (200, '{"label":null,"score":0.9}', None, 0.9),
+        (200, '{"label":"x","score":true}', "x", 1.0),
+        (200, '{"predictions":null}', "Error", 0.0),
+        (200, '"text"', "Error", 0.0),
         (500, '{"label":"x","score":0.9}', "Error", 0.0),
         (None, None, "Error", 0.0),
         (200, '{"predictions":[]}', "Error", 0.0),
@@ -60,6 +67,23 @@ def test_parse_response_shapes(spark):
     assert got == [(lbl, sc) for _, _, lbl, sc in rows]
 
 
+def test_error_kinds(spark):
+    rows = [("timeout", "Timeout"), ("connection", "Connection Error"), ("request", "Request Error"), ("odd", "Error"), (None, "x")]
+    df = spark.createDataFrame([(200, '{"label":"x","score":0.9}', k) for k, _ in rows], "status int, body string, kind string")
+    got = SC.parse_responses(df, "status", "body", error_kind="kind").collect()
+    assert [r.label for r in got] == [label for _, label in rows]
+
+
+def test_profiles_choose_the_better_variant(spark):
+    # equal means, different spread: only the likelihood tells the classes apart
+    rows = [(i, "wide" if i % 2 else "tight", [(-1.0) ** (i // 2) * (3.0 if i % 2 else 0.1)], i < 40) for i in range(80)]
+    df = spark.createDataFrame(rows, "id int, label string, v array<double>, train boolean")
+    scored = profile_scores(df, class_profiles(df.where("train"), "label", "v"), "v")
+    out = choose(scored, "label", F.col("train")).collect()
+    assert len(out) == 40 and {r.variant for r in out} == {"gaussian"}
+    assert all(r.pred_label == r.label and 0.5 < r.pred_score <= 1.0 for r in out)
+
+
 def test_request_json(spark):
     df = spark.createDataFrame([("QUJD",)], "b string")
     assert df.select(SC.request_json("b")).first()[0] == (
