@@ -74,7 +74,8 @@ def mode_from_channels(ch: Column, png_color_type: Column | None = None) -> Colu
     m = (F.when(ch == 1, F.lit("L")).when(ch == 3, F.lit("RGB")).when(ch == 4, F.lit("RGBA"))
          .otherwise(F.lit("other")))
     if png_color_type is not None:
-        m = (F.when(png_color_type == 3, F.lit("P")).when(png_color_type == 4, F.lit("LA")).otherwise(m))
+        m = (F.when(png_color_type == 3, F.lit("P")).when(png_color_type == 4, F.lit("LA"))
+             .when(png_color_type == ODD_GRAY, F.lit("other")).otherwise(m))
     return m
 
 
@@ -83,10 +84,18 @@ def valid_image(w: Column, h: Column, mode: Column) -> Column:
     return F.coalesce(valid_size(w, h) & mode.isin(ACCEPTED_MODES), F.lit(False))
 
 
+# What ``png_color_type`` gives for gray of 1 or 16 bits: modes of their own, not accepted.
+ODD_GRAY = -1
+# Colour types that the decoder reports as an accepted channel count.
+REJECTED_TYPES = [3, 4, ODD_GRAY]
+
+
 def png_color_type(content: Column) -> Column:
-    """Colour-type byte of a PNG header (null for other formats)."""
+    """Colour-type byte of a PNG header (null for other formats); ``ODD_GRAY`` for gray of 1 or 16 bits a sample."""
     is_png = F.substring(content, 1, 8) == F.unhex(F.lit("89504E470D0A1A0A"))
-    return F.when(is_png, F.conv(F.hex(F.substring(content, 26, 1)), 16, 10).cast("int"))
+    header = F.hex(F.substring(content, 25, 2))
+    return F.when(is_png, F.when(header.isin("0100", "1000"), F.lit(ODD_GRAY))
+                  .otherwise(F.conv(F.substring(header, 3, 2), 16, 10).cast("int")))
 
 
 # ---------------------------------------------------------------- pixel kernels (numpy, per image)

@@ -16,6 +16,15 @@ from pyspark.sql import types as T
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
+def _text(value) -> str:
+    """A SQL string literal."""
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def write_partitioned(df: DataFrame, table: str, partition_by: list[str], mode: str = "overwrite",
                       comment: str | None = None, properties: dict | None = None, path: str | None = None) -> None:
     """K2/K5: batch table write, partitioned, with comment and properties."""
@@ -25,9 +34,9 @@ def write_partitioned(df: DataFrame, table: str, partition_by: list[str], mode:
     w.saveAsTable(table)
     spark = df.sparkSession
     if comment:
-        spark.sql(f"COMMENT ON TABLE {table} IS '{comment.replace(chr(39), chr(39) * 2)}'")
+        spark.sql(f"COMMENT ON TABLE {table} IS {_text(comment)}")
     if properties:
-        props = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
+        props = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in properties.items())
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({props})")
 
 
@@ -48,7 +57,7 @@ def views_by(spark: SparkSession, table: str, column: str, values: list[str], pr
     names = []
     for v in values:
         name = f"{prefix}{v}"
-        spark.sql(f"CREATE OR REPLACE TEMP VIEW {name} AS SELECT * FROM {table} WHERE {column} = '{v}'")
+        spark.sql(f"CREATE OR REPLACE TEMP VIEW {_name(name)} AS SELECT * FROM {table} WHERE {_name(column)} = {_text(v)}")
         names.append(name)
     return names
 

@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from assetlake.plans.medallion import gold, silver
+from assetlake.operators.quality import apply_rules_observed, observed_report
+from assetlake.plans.medallion import gold, silver_rows, silver_rules
 from assetlake.sources.files import MAX_FILES_PER_TRIGGER
 from assetlake.streaming.bronze import bronze_stream
 
@@ -56,12 +57,16 @@ def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, out_root
         images = (spark.read.format("image").option("dropInvalid", "false")
                   .load([_escape_glob(p) for p in paths])
                   .select(F.col("_metadata.file_path").alias("source_file"), F.col("image")))
-        kept, report = silver(b, images, key_to_group)
+        rules = silver_rules()
+        # the counts come from the pass that fills the cache: one decode a file
+        kept, counts = apply_rules_observed(silver_rows(b, images, key_to_group), rules)
         kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
-        _write(kept, f"{out_root}/silver", batch_id, ["cuisine_category"])
-        _write(report, f"{out_root}/dq_report", batch_id, [])
-        _write(gold(kept, keys, groups, seed), f"{out_root}/gold", batch_id, ["dataset_split"])
-        kept.unpersist()
+        try:
+            _write(kept, f"{out_root}/silver", batch_id, ["cuisine_category"])
+            _write(observed_report(spark, counts, rules), f"{out_root}/dq_report", batch_id, [])
+            _write(gold(kept, keys, groups, seed), f"{out_root}/gold", batch_id, ["dataset_split"])
+        finally:
+            kept.unpersist()
     finally:
         b.unpersist()
 

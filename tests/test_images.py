@@ -230,3 +230,10 @@ def test_rerun_micro_batch_is_idempotent(spark, image_root, tmp_path_factory):
     assert spark.read.parquet(f"{out}/bronze").count() == 11
     assert spark.read.parquet(f"{out}/gold").count() == 4
     assert spark.read.parquet(f"{out}/dq_report").count() == 5
+
+
+def test_png_color_type_reads_the_bit_depth(spark):
+    head = bytes.fromhex("89504E470D0A1A0A") + bytes(8) + bytes(8)
+    cases = [(8, 0, 0), (1, 0, IM.ODD_GRAY), (16, 0, IM.ODD_GRAY), (4, 0, 0), (8, 2, 2), (16, 2, 2), (8, 3, 3), (16, 4, 4)]
+    df = spark.createDataFrame([(bytearray(head + bytes([d, t])),) for d, t, _ in cases] + [(bytearray(b"GIF89a"),)], "content binary")
+    assert [r[0] for r in df.select(IM.png_color_type(F.col("content"))).collect()] == [w for *_, w in cases] + [None]

@@ -22,6 +22,10 @@ def test_partitioned_write_views_and_props(spark, tmp):
                       path=f"{tmp}/bronze_assets")
     names = views_by(spark, "bronze_assets", "key", ["a", "b"], "food_")
     assert names == ["food_a", "food_b"] and spark.table("food_a").count() == 2
+    odd = "it's \\ a-b"
+    spark.createDataFrame([(odd, 1), ("a", 2)], "key string, v int").createOrReplaceTempView("odd_assets")
+    views_by(spark, "odd_assets", "key", [odd], "food_")
+    assert [r.v for r in spark.table("`food_" + odd + "`").collect()] == [1]
     props = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES bronze_assets").collect()}
     assert props.get("layer") == "bronze"
 
