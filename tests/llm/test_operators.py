@@ -291,6 +291,32 @@ def test_licenses(spark):
     assert got == [(0, 1, "MIT", True), (0, 1, "MIT", True), (1, 0, "MIT", False)]
 
 
+def test_licenses_in_paragraphs_and_wrapped_lines(spark):
+    import textwrap
+    rng = np.random.default_rng(8)
+    chat = lambda n: " ".join(f"chat{i}" for i in rng.integers(0, 900, n))
+    texts, want = [], []
+    for name, notice in licenses.TEMPLATES.items():
+        body = "\n".join(" * " + x for x in textwrap.wrap(notice, 34))
+        for text in (f"{chat(400)} {notice} {chat(400)}", f"{chat(9)}\n/*\n{body}\n */\n{chat(9)}", "\n".join(textwrap.wrap(notice, 78))):
+            want.append((len(texts), name, 0))
+            texts.append(text)
+    both = f"{licenses.TEMPLATES['MIT']} {licenses.TEMPLATES['Apache-2.0']} {chat(50)} {licenses.TEMPLATES['MIT']}"
+    want += [(len(texts), n, 0) for n in ("Apache-2.0", "MIT", "MIT")]
+    texts.append(both)
+    # a lost cue word, and words put between
+    want += [(len(texts), "MPL-2.0", 1), (len(texts) + 1, "Apache-2.0", 0)]
+    texts += [licenses.TEMPLATES["MPL-2.0"].replace("License", "Licence"), "Licensed under the widely used and old Apache License, Version 2.0."]
+    texts += [f"{chat(30)} the license of this work is held by the public, version two, {chat(30)}"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = licenses.scan(frame).collect()
+    assert sorted((r.doc_id, r.license, r.lacking) for r in rows) == sorted(want)
+    for r in rows:
+        if r.lacking == 0 and r.besides == 0:
+            assert licenses.words(texts[r.doc_id][r.start:r.end]) == licenses.words(licenses.TEMPLATES[r.license])
+    assert sum(r.exact for r in rows) == 2 * len(licenses.TEMPLATES)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
