@@ -1,12 +1,16 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained on labelled text: one on ordinary text, one on the words of
-toxic documents that ordinary documents hardly use. A text is cut into windows of about ``WINDOW``
-bytes at spaces; each window is compressed after the ordinary dictionary alone and after the toxic
-one followed by the ordinary one. What the toxic dictionary saves on a window is its evidence: both
-compressors know ordinary text equally well, so an ordinary window saves nothing. The savings of a
+Zstandard dictionaries come from labelled text: one is trained on ordinary text, ``ORDINARY_BYTES``
+long; the toxic one holds every marked word, however many there are, the more frequent nearer its end;
+the core, ``CORE_BYTES`` long, is trained on the marked words of each toxic document, and so holds the
+commonest parts of them. A word is marked if its share of toxic documents is ``TOXIC_RATIO`` times that
+of ordinary ones and Fisher's exact test, corrected for the number of words tested, finds it above
+chance. A text is cut into windows of about ``WINDOW`` bytes at spaces; each window is compressed after
+the ordinary dictionary alone, after the core followed by the ordinary one, and after the toxic one
+followed by the ordinary one. What the core and the toxic dictionary save on a window is its evidence:
+all compressors know ordinary text equally well, so an ordinary window saves nothing. The savings of a
 document's windows (largest, sum, shares above fixed bytes) are calibrated to a probability by a
-logistic regression on labelled documents that neither dictionary has seen.
+logistic regression on labelled documents that no dictionary has seen.
 
 Bounded sample (documented parameters): the dictionaries are fitted on at most ``SAMPLE`` toxic and
 ordinary labelled documents, chosen by hash of their id, of each at most ``SAMPLE_BYTES`` in evenly
@@ -23,6 +27,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import exp, lgamma
 
 import numpy as np
 import pandas as pd
@@ -33,10 +38,12 @@ from pyspark.sql import functions as F
 WINDOW = 128
 SAMPLE = {1: 4000, 0: 14000}
 SAMPLE_BYTES = 8192
-ORDINARY_BYTES, TOXIC_BYTES = 100_000, 1024
+ORDINARY_BYTES, CORE_BYTES = 100_000, 1024
 LEVEL = 6
 #: A word goes to the toxic dictionary if its share of toxic documents is so many times that of ordinary ones.
-TOXIC_RATIO, TOXIC_SHARE = 20, 0.003
+TOXIC_RATIO = 20
+#: Chance that any unmarked word is marked (Bonferroni).
+ALPHA = 0.01
 #: Savings in bytes above which windows are counted.
 STEPS = (0, 1, 2, 3, 4, 5, 6)
 
@@ -44,6 +51,7 @@ STEPS = (0, 1, 2, 3, 4, 5, 6)
 @dataclass
 class Model:
     ordinary: bytes
+    core: bytes
     toxic: bytes
     mean: np.ndarray
     scale: np.ndarray
@@ -51,8 +59,7 @@ class Model:
     base: float
 
     def compressors(self):
-        both = self.toxic + self.ordinary
-        return _compressor(self.ordinary), _compressor(both)
+        return [_compressor(before + self.ordinary) for before in (b"", self.core, self.toxic)]
 
 
 def _compressor(content: bytes) -> zstandard.ZstdCompressor:
@@ -77,17 +84,23 @@ def windows(text: str, size: int = WINDOW) -> Iterator[bytes]:
         at = end
 
 
-def evidence(text: str | None, ordinary, both) -> list[float]:
-    saved, size = [], 0
-    for w in windows(text or ""):
-        saved.append(len(ordinary.compress(w)) - len(both.compress(w)))
-        size += len(w)
-    if not saved:
-        return [0.0] * (5 + len(STEPS))
+def _figures(saved: list[int], size: int) -> list[float]:
     saved.sort(reverse=True)
     n = len(saved)
     return [saved[0], sum(saved) / size, sum(saved[:3]), sum(s for s in saved if s > 1) / size,
-            *(sum(s > k for s in saved) / n for k in STEPS), float(np.log(size))]
+            *(sum(s > k for s in saved) / n for k in STEPS)]
+
+
+def evidence(text: str | None, ordinary, *toxic) -> list[float]:
+    saved, size = [[] for _ in toxic], 0
+    for w in windows(text or ""):
+        alone = len(ordinary.compress(w))
+        for own, c in zip(saved, toxic):
+            own.append(alone - len(c.compress(w)))
+        size += len(w)
+    if not size:
+        return [0.0] * (len(toxic) * (4 + len(STEPS)) + 1)
+    return [x for own in saved for x in _figures(own, size)] + [float(np.log(size))]
 
 
 def _trained(size: int, samples: list[bytes], k: int, d: int) -> bytes:
@@ -101,21 +114,41 @@ def _trained(size: int, samples: list[bytes], k: int, d: int) -> bytes:
 _EDGE = ".,;:!?\"'()"
 
 
-def _dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
+def chance(a: int, b: int, toxic: int, ordinary: int) -> float:
+    """Probability that of ``a + b`` documents drawn at random ``a`` or more are toxic; for ``a`` above its mean."""
+    def ways(n, k):
+        return lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1)
+
+    n = a + b
+    total = term = exp(ways(toxic, a) + ways(ordinary, b) - ways(toxic + ordinary, n))
+    for x in range(a, min(n, toxic)):
+        term *= (toxic - x) * (n - x) / ((x + 1) * (ordinary - n + x + 1))
+        total += term
+        if term < 1e-12 * total:
+            break
+    return total
+
+
+def _marked(seen: Counter, usual: Counter, toxic: int, ordinary: int) -> list[str]:
+    """Words of toxic documents that ordinary ones hardly use, the most frequent last."""
+    found = [(n, w) for w, n in seen.items()
+             if n / toxic >= TOXIC_RATIO * (usual[w] + 0.5) / ordinary and chance(n, usual[w], toxic, ordinary) * len(seen) <= ALPHA]
+    return [w for _, w in sorted(found)]
+
+
+def _dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes, bytes]:
     def terms(text):
-        return dict.fromkeys(w.strip(_EDGE) for w in text.lower().split())
-
-    bags = [terms(t) for t in toxic]
-    seen, usual = Counter(w for b in bags for w in b), Counter(w for t in ordinary for w in terms(t))
-    least = max(2, TOXIC_SHARE * len(toxic))
-    marked = {w for w, n in seen.items()
-              if w and n >= least and n / len(toxic) >= TOXIC_RATIO * (usual[w] + 0.5) / len(ordinary)}
-    samples = [" " + " ".join(w for w in b if w in marked) + " " for b in bags]
-    samples = [s.encode() for s in samples if len(s) > 8]
-    known = _trained(TOXIC_BYTES, samples, 16, 6) if samples else b""
+        return [w for w in dict.fromkeys(w.strip(_EDGE) for w in text.lower().split()) if w]
+
+    def count(texts):
+        return Counter(w for t in texts for w in terms(t))
+
+    marked = dict.fromkeys(_marked(count(toxic), count(ordinary), len(toxic), len(ordinary)))
+    samples = [f" {' '.join(own)} ".encode() for t in toxic if (own := [w for w in terms(t) if w in marked])]
     chunks = [w for t in ordinary for w in windows(t, 400)]
     step = max(1, len(chunks) // 20_000)
-    return _trained(ORDINARY_BYTES, chunks[::step], 48, 6), known
+    return (_trained(ORDINARY_BYTES, chunks[::step], 48, 6), _trained(CORE_BYTES, samples, 16, 6) if samples else b"",
+            f" {' '.join(marked)} ".encode() if marked else b"")
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -> tuple:
@@ -161,15 +194,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     # at most 27,000 rows of (id, label, flag), about 0.5 MB, whatever the corpus: safe to broadcast
     rows = (docs.select("doc_id", text.alias("text")).join(F.broadcast(chosen), "doc_id"))
-    empty = Model(b"", b"", np.zeros(0), np.ones(0), np.zeros(0), base)
+    empty = Model(b"", b"", b"", np.zeros(0), np.ones(0), np.zeros(0), base)
     texts = {0: {}, 1: {}}
     for r in (rows.where(~F.col("calibrate")).select("toxic", _evenly(F.col("text")).alias("text"))
               .groupBy("toxic", "text").count().select("toxic", "text").collect()):
         texts[r["toxic"]][r["text"]] = None  # copies count once
     if not texts[0] or not texts[1]:
         return empty
-    ordinary, toxic = _dictionaries(sorted(texts[1]), sorted(texts[0]))
-    model = Model(ordinary, toxic, np.zeros(0), np.ones(0), np.zeros(0), base)
+    model = Model(*_dictionaries(sorted(texts[1]), sorted(texts[0])), np.zeros(0), np.ones(0), np.zeros(0), base)
     held = (rows.where("calibrate").select("toxic", _evidence(model)(F.col("text")).alias("x"))
             .toPandas())  # a bounded number of short vectors
     if held.empty or held.toxic.nunique() < 2:
@@ -182,9 +214,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
 def _evidence(model: Model):
     def udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        pair = model.compressors()
+        compressors = model.compressors()
         for texts in batches:
-            yield pd.Series([evidence(t, *pair) for t in texts], dtype=object)
+            yield pd.Series([evidence(t, *compressors) for t in texts], dtype=object)
 
     udf.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return F.pandas_udf(udf, "array<double>")

@@ -273,6 +273,24 @@ def test_toxicity_learns_and_takes_any_text(spark):
     assert {r.score for r in toxicity.classify(d, labels.limit(0)).collect()} == {0.0}
 
 
+def test_toxic_dictionary_holds_every_marked_word():
+    rng = np.random.default_rng(9)
+    rude = [f"{'jerk boor lout brute'.split()[i % 4]}{i}x" for i in range(400)]
+    text = lambda own: " ".join([f"calm{k}" for k in rng.integers(0, 40_000, 60)] + list(own))
+    toxic = [text(rng.choice(rude, 25, replace=False)) for _ in range(400)]
+    ordinary = [text([]) for _ in range(2000)]
+    known = toxicity._dictionaries(toxic, ordinary)[-1]
+    assert set(known.decode("utf-8", "replace").split()) == set(rude)
+
+
+def test_chance_is_the_hypergeometric_tail():
+    from math import comb
+    for a, b, t, o in ((3, 0, 5, 40), (4, 2, 20, 300), (12, 1, 253, 2037), (70, 0, 253, 2037)):
+        n = a + b
+        want = sum(comb(t, x) * comb(o, n - x) for x in range(a, min(n, t) + 1)) / comb(t + o, n)
+        assert toxicity.chance(a, b, t, o) == pytest.approx(want, rel=1e-8)
+
+
 def test_fixity(spark):
     pages = spark.createDataFrame([(i, f"u{i}", "h" * (i % 50)) for i in range(600)] + [(7, "u7", "again"), (None, None, None), (-3, "n", "neg")], "page_id long, url string, html string")
     rows = {r.page_id: r.status for r in fixity.audit(pages, pages.where("page_id IS NULL OR page_id <> 44").replace("h" * 20, "broken")).collect()}
