@@ -12,9 +12,11 @@ all compressors know ordinary text equally well, so an ordinary window saves not
 document's windows (largest, sum, shares above fixed bytes) are calibrated to a probability by a
 logistic regression on labelled documents that no dictionary has seen.
 
-Bounded sample (documented parameters): the dictionaries are fitted on at most ``SAMPLE`` toxic and
-ordinary labelled documents, chosen by hash of their id, of each at most ``SAMPLE_BYTES`` in evenly
-spaced windows; the calibration on as many more, whole. Scoring reads every whole text.
+Bounded sample (documented parameters): learning uses at most ``SAMPLE`` different toxic and ordinary
+labelled (id, text) rows, chosen by hash of both, and the calibration half as many more. Words are
+counted, and documents calibrated, on whole texts. The core and the ordinary dictionary are trained on
+at most ``SAMPLE_BYTES`` characters of a row in evenly spaced slices; of the 400-byte windows of ordinary
+slices every k-th is taken, which leaves ``ORDINARY_WINDOWS`` to twice as many of more. Scoring reads every whole text.
 
 Defined results: a null or empty text gets the score that calibration gives to no evidence at all;
 a null id is scored and never learnt from; where labels of an id disagree the larger one counts;
@@ -37,7 +39,7 @@ from pyspark.sql import functions as F
 
 WINDOW = 128
 SAMPLE = {1: 4000, 0: 14000}
-SAMPLE_BYTES = 8192
+SAMPLE_BYTES, ORDINARY_WINDOWS = 8192, 20_000
 ORDINARY_BYTES, CORE_BYTES = 100_000, 1024
 LEVEL = 6
 #: A word goes to the toxic dictionary if its share of toxic documents is so many times that of ordinary ones.
@@ -129,24 +131,41 @@ def chance(a: int, b: int, toxic: int, ordinary: int) -> float:
     return total
 
 
-def _marked(seen: Counter, usual: Counter, toxic: int, ordinary: int) -> list[str]:
+def _marked(seen: Counter, usual: Counter, toxic: int, ordinary: int, tested: int) -> list[str]:
     """Words of toxic documents that ordinary ones hardly use, the most frequent last."""
     found = [(n, w) for w, n in seen.items()
-             if n / toxic >= TOXIC_RATIO * (usual[w] + 0.5) / ordinary and chance(n, usual[w], toxic, ordinary) * len(seen) <= ALPHA]
+             if n / toxic >= TOXIC_RATIO * (usual[w] + 0.5) / ordinary and chance(n, usual[w], toxic, ordinary) * tested <= ALPHA]
     return [w for _, w in sorted(found)]
 
 
-def _dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes, bytes]:
+def _marked_of(texts: DataFrame) -> list[str]:
+    """The marked words of whole texts, counted by Spark; texts has toxic (0 or 1) and text."""
+    size = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
+    if len(size) < 2:
+        return []
+    own = F.transform(F.split(F.lower("text"), r"(?U)\s+"), lambda w: F.btrim(w, F.lit(_EDGE)))
+    words = (texts.select("toxic", F.explode(F.array_distinct(own)).alias("w")).where("w <> ''")
+             .groupBy("w").agg(F.sum("toxic").alias("n"), F.sum(1 - F.col("toxic")).alias("usual")).where("n > 0"))
+    tested = words.count()
+    # fewer documents can't pass the test, even if no ordinary one has the word
+    least = next((n for n in range(1, size[1] + 1) if chance(n, 0, size[1], size[0]) * tested <= ALPHA), size[1] + 1)
+    ratio = F.col("n") / size[1] >= TOXIC_RATIO * (F.col("usual") + 0.5) / size[0]
+    rows = words.where((F.col("n") >= least) & ratio).collect()
+    return _marked(Counter({r["w"]: r["n"] for r in rows}), Counter({r["w"]: r["usual"] for r in rows}), size[1], size[0], tested)
+
+
+def _dictionaries(toxic: list[str], ordinary: list[str], marked: list[str] | None = None) -> tuple[bytes, bytes, bytes]:
+    """The ordinary, core and toxic dictionaries; the words of these texts are marked if none are given."""
     def terms(text):
         return [w for w in dict.fromkeys(w.strip(_EDGE) for w in text.lower().split()) if w]
 
-    def count(texts):
-        return Counter(w for t in texts for w in terms(t))
-
-    marked = dict.fromkeys(_marked(count(toxic), count(ordinary), len(toxic), len(ordinary)))
-    samples = [f" {' '.join(own)} ".encode() for t in toxic if (own := [w for w in terms(t) if w in marked])]
+    if marked is None:
+        seen, usual = (Counter(w for t in texts for w in terms(t)) for texts in (toxic, ordinary))
+        marked = _marked(seen, usual, len(toxic), len(ordinary), len(seen))
+    known = set(marked)
+    samples = [f" {' '.join(own)} ".encode() for t in toxic if (own := [w for w in terms(t) if w in known])]
     chunks = [w for t in ordinary for w in windows(t, 400)]
-    step = max(1, len(chunks) // 20_000)
+    step = max(1, len(chunks) // ORDINARY_WINDOWS)
     return (_trained(ORDINARY_BYTES, chunks[::step], 48, 6), _trained(CORE_BYTES, samples, 16, 6) if samples else b"",
             f" {' '.join(marked)} ".encode() if marked else b"")
 
@@ -177,6 +196,21 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5
 
 
+def _chosen(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """The sample's rows: toxic, calibrate, doc_id and text, each different (doc_id, text) once."""
+    keyed = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    keys = keyed.select("doc_id", "h").distinct().join(known, "doc_id")
+    chosen = None
+    for label, most in SAMPLE.items():
+        for calibrate in (False, True):
+            part = (keys.where((F.col("toxic") == label) & (F.col("calibrate") == calibrate))
+                    .orderBy(F.xxhash64("doc_id", "h"), "doc_id", "h").limit(most // (2 if calibrate else 1)))
+            chosen = part if chosen is None else chosen.unionAll(part)
+    # at most 27,000 rows of ids and hashes, about 1 MB, whatever the corpus: collected once, and safe to broadcast
+    few = docs.sparkSession.createDataFrame(chosen.collect(), chosen.schema)
+    return keyed.join(F.broadcast(few), ["doc_id", "h"]).select("toxic", "calibrate", "doc_id", "text").distinct()
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Learn from labelled rows outside fold 0: folds 1 to 3 train the dictionaries, fold 4 calibrates."""
     known = (labels.select("doc_id", "toxic").where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
@@ -185,23 +219,17 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
              .withColumn("calibrate", fold(F.col("doc_id")) == 4))
     share = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     base = share.get(1, 0) / max(1, sum(share.values()))
-    chosen = None
-    for label, most in SAMPLE.items():
-        for calibrate in (False, True):
-            part = (known.where((F.col("toxic") == label) & (F.col("calibrate") == calibrate))
-                    .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most // (2 if calibrate else 1)))
-            chosen = part if chosen is None else chosen.unionAll(part)
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    # at most 27,000 rows of (id, label, flag), about 0.5 MB, whatever the corpus: safe to broadcast
-    rows = (docs.select("doc_id", text.alias("text")).join(F.broadcast(chosen), "doc_id"))
+    rows = _chosen(docs, known)
     empty = Model(b"", b"", b"", np.zeros(0), np.ones(0), np.zeros(0), base)
     texts = {0: {}, 1: {}}
-    for r in (rows.where(~F.col("calibrate")).select("toxic", _evenly(F.col("text")).alias("text"))
+    learnt = rows.where(~F.col("calibrate"))
+    for r in (learnt.select("toxic", _evenly(F.col("text")).alias("text"))
               .groupBy("toxic", "text").count().select("toxic", "text").collect()):
         texts[r["toxic"]][r["text"]] = None  # copies count once
     if not texts[0] or not texts[1]:
         return empty
-    model = Model(*_dictionaries(sorted(texts[1]), sorted(texts[0])), np.zeros(0), np.ones(0), np.zeros(0), base)
+    marked = _marked_of(learnt.select("toxic", "text").distinct())  # copies count once
+    model = Model(*_dictionaries(sorted(texts[1]), sorted(texts[0]), marked), np.zeros(0), np.ones(0), np.zeros(0), base)
     held = (rows.where("calibrate").select("toxic", _evidence(model)(F.col("text")).alias("x"))
             .toPandas())  # a bounded number of short vectors
     if held.empty or held.toxic.nunique() < 2:

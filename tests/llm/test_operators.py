@@ -283,6 +283,20 @@ def test_toxic_dictionary_holds_every_marked_word():
     assert set(known.decode("utf-8", "replace").split()) == set(rude)
 
 
+def test_toxicity_learns_from_whole_texts_and_bounded_rows(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    calm = lambda n: " ".join(f"calm{k}" for k in rng.integers(0, 300, n))
+    # the word is at about 4,000 of 60,000 characters, between the first two slices
+    texts = [f"{calm(550)}{' blockhead' if i % 4 == 0 else ''} {calm(7500)}" for i in range(120)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(120)], "doc_id long, toxic int")
+    assert b" blockhead " in toxicity.fit(docs(spark, texts), labels).toxic
+    monkeypatch.setattr(toxicity, "SAMPLE", {1: 8, 0: 20})
+    hot = spark.createDataFrame([(1, f"text {i % 200}") for i in range(600)] + [(i, f"other {i}") for i in range(2, 90)], "doc_id long, text string")
+    known = spark.createDataFrame([(i, 0, i % 3 == 0) for i in range(1, 90)], "doc_id long, toxic int, calibrate boolean")
+    rows = toxicity._chosen(hot, known).collect()
+    assert len(rows) == 20 + 10 and len({(r.doc_id, r.text) for r in rows}) == len(rows)
+
+
 def test_chance_is_the_hypergeometric_tail():
     from math import comb
     for a, b, t, o in ((3, 0, 5, 40), (4, 2, 20, 300), (12, 1, 253, 2037), (70, 0, 253, 2037)):
