@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assetlake.llm import embedding_dups, fixity, licenses, mixing, ngram_join, packing, pii, quality, repeats, toxicity
+from assetlake.llm import (embedding_dups, fixity, hard_negatives, licenses, mixing, ngram_join, packing, pii, quality, records,
+                           repeats, toxicity)
 from assetlake.llm.common import read
 
 QUERIES = {}
@@ -68,3 +69,16 @@ def op6_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read(spark, sf_dir, "documents"))
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(read(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op11_hard_negatives"] = hard_negatives.SQL
+
+
+@query
+def op13_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.encode(read(spark, sf_dir, "documents"))
