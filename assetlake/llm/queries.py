@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from assetlake.llm import (embedding_dups, fixity, hard_negatives, licenses, mixing, ngram_join, packing, pii, quality, records,
-                           repeats, toxicity)
+                           repeats, resampling, toxicity)
 from assetlake.llm.common import read
 
 QUERIES = {}
@@ -82,3 +82,8 @@ ORACLES["op11_hard_negatives"] = hard_negatives.SQL
 @query
 def op13_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.encode(read(spark, sf_dir, "documents"))
+
+
+@query
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
