@@ -17,7 +17,7 @@ and checksums and gives the offset index, a separate table (shard, record, place
 with which records can be read in any order: ``read_at`` loads the records of any part of the index,
 ``read_shuffled`` all in a seeded order.
 
-Words repeat, so a worker remembers the ids of up to ``MEMO`` chunks between ASCII white space, which
+Words repeat, so a worker remembers the ids of about ``MEMO`` chunks between ASCII white space or letters and a last stop, which
 the vocabulary's splitting rule never crosses; texts that may hold a special token are encoded whole.
 
 Defined results: a null or empty text is the end id alone; null ids come first; rows of one id go by
@@ -42,15 +42,22 @@ from assetlake.llm.common import stage
 from assetlake.session import checkpoint_dir
 
 END_ID = 1
-MEMO = 300_000
-SHARD_BYTES = 64 << 20
+MEMO = 600_000
+LINE = 200  # letter runs that are encoded together
+SHARD_BYTES = 16 << 20
 LEAST_BYTES = 4 << 20  # of a shard, where there are too few for all cores
 #: Fixed value: the constant of the masked checksum.
 MASK = 0xA282EAD8
 _HEAD = struct.Struct("<QI")
 _TAIL = struct.Struct("<I")
 _DOCUMENT = struct.Struct("<BqB")
-_SPACES = str.maketrans("\t\n\r", "   ")
+#: What ends a word's last token in the vocabulary; stops, which are words of their own behind letters.
+_WORD_END = "</w>"
+_STOPS = b".,;:!?"
+#: ASCII letters in lower case, which the vocabulary has anyway, and ASCII white space that separates words as a space.
+_PLAIN = np.frombuffer(bytes(range(256)).lower().translate(bytes.maketrans(b"\t\n\r", b"   ")), np.uint8)
+_IS_STOP, _IS_SPACE = (np.isin(np.arange(256), list(x)) for x in (_STOPS, b" \t\n\r"))
+_IS_LETTER = np.isin(np.arange(256) | 32, np.arange(97, 123)) & (np.arange(256) < 128)
 
 
 def masked(data: bytes) -> int:
@@ -93,8 +100,23 @@ def record_at(data: bytes, offset: int, where: str = "") -> tuple[bytes, int]:
 
 
 # --- tokens -------------------------------------------------------------------------------------
+def _chunks(text: bytes) -> list[bytes]:
+    """Parts of a text that the vocabulary's splitting rule never joins: at white space and between letters and a last stop."""
+    raw = np.frombuffer(text, np.uint8)
+    stop = _IS_STOP[raw]
+    stop[0] = False
+    stop[1:] &= _IS_LETTER[raw[:-1]]
+    stop[:-1] &= _IS_SPACE[raw[1:]]
+    at = np.flatnonzero(stop)
+    return np.insert(_PLAIN[raw], at, 32).tobytes().split(b" ")
+
+
 class _Encoder:
-    """Token ids of many texts by a file of the tokenizers library."""
+    """Token ids of many texts by a file of the tokenizers library.
+
+    New letter runs are encoded a line at a time: a run's last token, and no other, is one that ends
+    a word in the vocabulary.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -102,27 +124,43 @@ class _Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memo: dict[str, bytes] = {"": b""}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(_WORD_END)]] = True
+        self.memo: dict[bytes, bytes] = {b"": b""}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, f"<u{self.width}").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(e.ids, f"<u{self.width}").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, new: list[bytes]) -> None:
+        texts = b"\n".join(new).decode().split("\n")  # chunks hold no white space
+        letters = [c.isalpha() and (c.isascii() or c.lower().isalpha()) for c in texts]
+        others = [k for k, x in enumerate(letters) if not x]
+        self.memo.update(zip((new[k] for k in others), self._whole([texts[k] for k in others])))
+        runs = [k for k, x in enumerate(letters) if x]
+        lines = [runs[s:s + LINE] for s in range(0, len(runs), LINE)]
+        for line, found in zip(lines, self.tokenizer.encode_batch_fast([" ".join([texts[k] for k in x]) for x in lines], add_special_tokens=False)):
+            ids = np.array(found.ids, f"<u{self.width}")
+            cut = ((np.flatnonzero(self.ends[ids]) + 1) * self.width).tolist()
+            if len(cut) == len(line):
+                data = ids.tobytes()
+                known = [data[a:b] for a, b in zip([0, *cut], cut)]
+            else:  # a letter that the library splits at
+                known = self._whole([texts[k] for k in line])
+            self.memo.update(zip([new[k] for k in line], known))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        memo, out, chunked = self.memo, [b""] * len(texts), {}
+        out, chunked = [b""] * len(texts), {}
         for i, text in enumerate(texts):
             if any(s in text for s in self.special):
                 out[i] = self._whole([text])[0]
             elif text:
-                chunked[i] = text.translate(_SPACES).split(" ")
-        new = list(set().union(*chunked.values()) - memo.keys())
-        if len(memo) + len(new) > MEMO:
-            memo.clear()
-            memo[""] = b""
-            new = list(set().union(*chunked.values()) - {""})
-        for s in range(0, len(new), 4096):
-            memo.update(zip(new[s:s + 4096], self._whole(new[s:s + 4096])))
+                chunked[i] = _chunks(text.encode())
+        if len(self.memo) > MEMO:
+            self.memo = {b"": b""}
+        self._learn(list(set().union(*chunked.values()) - self.memo.keys()))
         for i, chunks in chunked.items():
-            out[i] = b"".join(map(memo.__getitem__, chunks))
+            out[i] = b"".join(map(self.memo.__getitem__, chunks))
         return out
 
 
