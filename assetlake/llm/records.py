@@ -133,6 +133,8 @@ class _Encoder:
         return [np.array(e.ids, f"<u{self.width}").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, new: list[bytes]) -> None:
+        if not new:
+            return
         texts = b"\n".join(new).decode().split("\n")  # chunks hold no white space
         letters = [c.isalpha() and (c.isascii() or c.lower().isalpha()) for c in texts]
         others = [k for k, x in enumerate(letters) if not x]
