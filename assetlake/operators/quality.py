@@ -65,10 +65,13 @@ def apply_rules_observed(df: DataFrame, rules: Rules, name: str = "dq"):
     ``observed_report(spark, observation, rules)`` gives the report rows."""
     from pyspark.sql import Observation
     obs = Observation(name)
-    aggs = [F.count(F.lit(1)).alias("_checked")]
-    for i, (n, e, a) in enumerate(rules.items()):
-        aggs.append(F.count_if(~passes(e)).alias(f"_f{i}"))
-    return kept(df.observe(obs, *aggs), rules), obs
+    return kept(df.observe(obs, *rule_counts(rules)), rules), obs
+
+
+def rule_counts(rules: Rules) -> list[Column]:
+    """The counters that an observation gathers: rows seen and failures of each rule."""
+    failed = [F.count_if(~passes(e)).alias(f"_f{i}") for i, (_, e, _) in enumerate(rules.items())]
+    return [F.count(F.lit(1)).alias("_checked"), *failed]
 
 
 def observed_report(spark, obs, rules: Rules) -> DataFrame:

@@ -19,6 +19,10 @@ from assetlake.session import checkpoint_dir
 # has at most this many rows whatever the data size, and a bucket holds about
 # rows/65536 rows when ordering keys are distinct.
 FINE_BUCKETS = 1 << 16
+# Digits of 16 bits that a double in [0, 1) has.
+LEVELS = 3
+# Distinct keys that are ranked in one task.
+SMALL = 100_000
 
 
 def unit_hash(seed: int, *cols) -> Column:
@@ -36,96 +40,115 @@ def unit_hash(seed: int, *cols) -> Column:
     return F.conv(hexed, 16, 10).cast("bigint") / F.lit(4294967296.0)
 
 
+def _digits(u: Column, level: int) -> Column:
+    """The first ``level`` digits of 16 bits of a number in [0, 1), as one whole number."""
+    return F.floor(u * float(FINE_BUCKETS ** level)).cast("bigint")
+
+
+def _radix_boundary(df: DataFrame, u: str, k: int) -> tuple[int, int, int, int] | None:
+    """Where the k-th value lies: (level, its leading digits, rows still wanted among them, rows that have them).
+
+    One histogram of at most 65,536 cells for each digit; the next digit is looked at only inside the
+    boundary cell, and only while that holds many rows. None: fewer than k rows.
+    """
+    cell, need, rows = 0, k, df
+    for level in range(1, LEVELS + 1):
+        hist = rows.groupBy((_digits(F.col(u), level) - cell * FINE_BUCKETS).alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+        before = 0
+        for r in hist.orderBy("_b").collect():  # at most 65,536 rows
+            if before + r["_n"] >= need:
+                break
+            before += r["_n"]
+        else:
+            return None
+        cell, need = cell * FINE_BUCKETS + r["_b"], need - before
+        if r["_n"] <= SMALL:
+            break
+        rows = df.where(_digits(F.col(u), level) == cell)
+    return level, cell, need, r["_n"]
+
+
+def _kth_key(keys: DataFrame, order: list[Column], k: int, partitions: int):
+    """The row of distinct ``keys`` (with counts ``_n``) that holds the k-th row, and how many rows are before it.
+
+    Keys are sorted by range, so each range is ranked in a task of its own; a range's total is one row.
+    """
+    checkpoint_dir(keys.sparkSession)
+    placed = (keys.repartitionByRange(partitions, *order) if partitions > 1 else keys.coalesce(1)).withColumn("_pid", F.spark_partition_id())
+    placed = placed.checkpoint(eager=True)
+    before = 0
+    for r in placed.groupBy("_pid").agg(F.sum("_n").alias("_n")).orderBy("_pid").collect():
+        if before + r["_n"] >= k:
+            break
+        before += r["_n"]
+    running = F.sum("_n").over(Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    row = (placed.where(F.col("_pid") == r["_pid"]).withColumn("_cum", running + before)
+           .where(F.col("_cum") >= k).orderBy("_cum").first())
+    return row, row["_cum"] - row["_n"]
+
+
 def first_k(df: DataFrame, u: str, ties: list[str], k: int, out: str = "in_first_k") -> DataFrame:
     """Flag exactly the ``k`` first rows in the order (u, *ties), u in [0, 1).
 
-    Three small scalar look-ups are made on the driver (the boundary bucket,
-    the boundary key inside it, and per-input-partition quotas when that key
-    is held by copies); each is bounded by a constant or by the number of
-    partitions, never by the data. Copies of one key are split by input
-    partition, so a key holding a third of all rows is still spread over
-    many tasks.
+    The boundary is found by radix selection on ``u`` (a histogram a digit, inside the boundary cell
+    only), then among the keys that share its digits by ranges; what reaches the driver is bounded by
+    a histogram or by the number of ranges, never by the data, and no task ranks more than about
+    ``SMALL`` keys. Copies of the boundary key are split by input partition, so a key holding a third
+    of all rows is still spread over many tasks.
     """
-    spark = df.sparkSession
-    b = F.floor(F.col(u) * FINE_BUCKETS).cast("int")
-    tagged = df.withColumn("_b", b)
     if k <= 0:
         return df.withColumn(out, F.lit(False))
-    hist = tagged.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    # hist has at most FINE_BUCKETS rows: a bounded, single-partition window.
-    cum = hist.withColumn("_cum", F.sum("_n").over(w))
-    row = cum.filter(F.col("_cum") >= k).orderBy("_b").select("_b", "_cum", "_n").first()
-    if row is None:  # fewer than k rows: all are in
+    found = _radix_boundary(df, u, k)
+    if found is None:  # fewer than k rows: all are in
         return df.withColumn(out, F.lit(True))
-    b_star, need = row["_b"], k - (row["_cum"] - row["_n"])
-
+    level, cell, need, crowd = found
+    digits = _digits(F.col(u), level)
     order_key = [F.col(u)] + [F.col(t) for t in ties]
-    bnd = tagged.filter(F.col("_b") == b_star)
-    keys = bnd.groupBy(u, *ties).agg(F.count(F.lit(1)).alias("_n"))
-    wk = Window.orderBy(*order_key).rowsBetween(Window.unboundedPreceding, 0)
-    kcum = keys.withColumn("_cum", F.sum("_n").over(wk))
-    krow = kcum.filter(F.col("_cum") >= need).orderBy(*order_key).first()
+    keys = df.where(digits == cell).groupBy(u, *ties).agg(F.count(F.lit(1)).alias("_n"))
+    krow, before = _kth_key(keys, order_key, need, max(1, -(-crowd // SMALL)))
     key_vals = [krow[u]] + [krow[t] for t in ties]
-    need2 = need - (krow["_cum"] - krow["_n"])
-
-    def key_cmp(op):
-        # lexicographic (u, ties) compared with the boundary key
-        conds = []
-        for i, (c, v) in enumerate(zip(order_key, key_vals)):
-            eq_prefix = [order_key[j].eqNullSafe(F.lit(key_vals[j])) for j in range(i)]
-            term = (c < F.lit(v)) if op == "lt" else (c > F.lit(v))
-            for e in eq_prefix:
-                term = term & e
-            conds.append(term)
-        res = conds[0]
-        for cnd in conds[1:]:
-            res = res | cnd
-        return F.coalesce(res, F.lit(False))
-
-    is_key = None
-    for c, v in zip(order_key, key_vals):
-        e = c.eqNullSafe(F.lit(v))
-        is_key = e if is_key is None else (is_key & e)
+    need2 = need - before
 
+    less, is_key = F.lit(False), F.lit(True)
+    for c, v in zip(order_key, key_vals):
+        below = F.lit(False) if v is None else F.coalesce(c < F.lit(v), F.lit(True))  # nulls come first
+        less = less | (is_key & below)
+        is_key = is_key & c.eqNullSafe(F.lit(v))
+    flag = (digits < cell) | ((digits == cell) & less)
     if krow["_n"] == need2:
-        chosen_key = is_key
-    else:
-        # The boundary key has copies and only some are taken: split them by
-        # input partition. Pin the copies first so partition ids and row
-        # positions are identical in the counting and selecting passes.
-        checkpoint_dir(spark)
-        staged = (tagged.filter((F.col("_b") == b_star) & is_key)
-                  .withColumn("_pid", F.spark_partition_id())
-                  .withColumn("_mid", F.monotonically_increasing_id())
-                  .persist(StorageLevel.MEMORY_AND_DISK))
-        copies = staged.checkpoint(eager=True)
-        staged.unpersist()
-        per = copies.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-        wp = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
-        quota = (per.withColumn("_before", F.sum("_n").over(wp) - F.col("_n"))
-                 .withColumn("_q", F.greatest(F.lit(0), F.least(F.col("_n"), F.lit(need2) - F.col("_before"))))
-                 .select("_pid", "_q"))
-        wi = Window.partitionBy("_pid").orderBy("_mid")
-        # quota has one row per input partition: bounded by the partition count
-        picked = (copies.join(F.broadcast(quota), "_pid")
-                  .withColumn("_i", F.row_number().over(wi) - 1)
-                  .withColumn(out, F.col("_i") < F.col("_q"))
-                  .drop("_pid", "_mid", "_q", "_i", "_b"))
-        rest = tagged.filter(~((F.col("_b") == b_star) & is_key))
-        rest = rest.withColumn(out, (F.col("_b") < b_star) | ((F.col("_b") == b_star) & key_cmp("lt"))).drop("_b")
-        return rest.unionByName(picked)
-
-    flag = (F.col("_b") < b_star) | ((F.col("_b") == b_star) & (key_cmp("lt") | chosen_key))
-    return tagged.withColumn(out, flag).drop("_b")
-
-
-def dense_ids(values: DataFrame, col: str, out: str = "id", partitions: int | None = None) -> DataFrame:
+        return df.withColumn(out, flag | is_key)
+
+    # The boundary key has copies and only some are taken: split them by
+    # input partition. Pin the copies first so partition ids and row
+    # positions are identical in the counting and selecting passes.
+    checkpoint_dir(df.sparkSession)
+    staged = (df.filter(is_key)
+              .withColumn("_pid", F.spark_partition_id())
+              .withColumn("_mid", F.monotonically_increasing_id())
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    copies = staged.checkpoint(eager=True)
+    staged.unpersist()
+    per = copies.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    wp = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
+    quota = (per.withColumn("_before", F.sum("_n").over(wp) - F.col("_n"))
+             .withColumn("_q", F.greatest(F.lit(0), F.least(F.col("_n"), F.lit(need2) - F.col("_before"))))
+             .select("_pid", "_q"))
+    wi = Window.partitionBy("_pid").orderBy("_mid")
+    # quota has one row per input partition: bounded by the partition count
+    picked = (copies.join(F.broadcast(quota), "_pid")
+              .withColumn("_i", F.row_number().over(wi) - 1)
+              .withColumn(out, F.col("_i") < F.col("_q"))
+              .drop("_pid", "_mid", "_q", "_i"))
+    return df.filter(~is_key).withColumn(out, flag).unionByName(picked)
+
+
+def dense_ids(values: DataFrame, col: str, out: str = "id", partitions: int | None = None, kind: str = "int") -> DataFrame:
     """0-based dense ids of the distinct values of ``col`` in ascending order.
 
     Range-partitions the distinct values, pins them with a reliable
     checkpoint (so partition contents are fixed), and adds each partition's
     offset (a table of one row per partition) to the position inside it.
+    ``kind`` is the type of the ids; more than 2^31 names need ``bigint``.
     """
     spark = values.sparkSession
     checkpoint_dir(spark)
@@ -144,7 +167,7 @@ def dense_ids(values: DataFrame, col: str, out: str = "id", partitions: int | No
     offs = per.withColumn("_off", F.sum("_n").over(wp) - F.col("_n")).select("_pid", "_off")
     # offs has one row per range partition: bounded by the partition count
     return (d.join(F.broadcast(offs), "_pid")
-            .select(F.col(col), (F.col("_off") + F.col("_pos")).cast("int").alias(out)))
+            .select(F.col(col), (F.col("_off") + F.col("_pos")).cast(kind).alias(out)))
 
 
 def row_index(df: DataFrame, out: str = "idx") -> DataFrame:

@@ -21,17 +21,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assetlake.operators.encode import names_lookup, sorted_names
+from assetlake.operators.headers import passes
 from assetlake.operators.ingest import STATUS_SCHEMA
 from assetlake.operators.quality import apply_rules_observed, observed_report
 from assetlake.plans.medallion import gold, silver_rows, silver_rules
 from assetlake.session import checkpoint_dir
 from assetlake.sinks.files import ingest
-from assetlake.sinks.tables import save_status, write_partitioned
+from assetlake.sinks.tables import append_status, current_status, write_partitioned
 from assetlake.sources.config import ConfigError, Params, invert, key_list, taxonomy
 from assetlake.sources.files import decoded_images
 from assetlake.streaming.bronze import start_bronze
 from assetlake.streaming.incremental import start_incremental
 
+NAMED = 10_000
 TAXONOMY_FILE = "taxonomy.json"
 KEYS_FILE = "keys.json"
 
@@ -65,15 +67,15 @@ def config(spark: SparkSession, p: Params) -> tuple[DataFrame, list[str], list[s
 def ingest_job(spark: SparkSession, p: Params, examples: DataFrame, label_names: list[str],
                wanted: list[str], n: int | None = None):
     """Examples ``(idx, label, content)`` -> the next ``n`` files per wanted
-    key under ``bronze_path``; the status table is replaced afterwards."""
+    key under ``bronze_path``; the run's status is appended afterwards."""
     _db(spark, p.bronze_schema)
     table = f"{p.bronze_schema}.ingest_status"
-    status = (spark.table(table) if spark.catalog.tableExists(table)
+    status = (current_status(spark, table) if spark.catalog.tableExists(table)
               else spark.createDataFrame([], STATUS_SCHEMA))
     ex = names_lookup(examples, "label", label_names, "key").where(F.col("key").isNotNull())
     wanted_df = spark.createDataFrame([(k,) for k in wanted], "key string")
     new_status, results = ingest(ex, status, wanted_df, n or p.images_per_key, p.bronze_path)
-    save_status(new_status, table)  # new_status is pinned: safe to overwrite its source
+    append_status(new_status, table)
     return new_status, results
 
 
@@ -86,12 +88,24 @@ def bronze_job(spark: SparkSession, p: Params, available_now: bool = True):
                         table=f"{p.bronze_schema}.bronze_assets", available_now=available_now)
 
 
+def decodable(spark: SparkSession, root: str, bronze_df: DataFrame) -> DataFrame:
+    """Decoded images without the files that their header refuses, as far as a scan's filter can name them.
+
+    Refused files are few as a rule: up to ``NAMED`` of them are taken out of the scan's file list;
+    the others are decoded in vain and meet no bronze row. The rows that come out are the same.
+    """
+    refused = bronze_df.where(F.col("content_present") & F.col("header").isNotNull() & ~passes(F.col("header")))
+    names = [r["source_file"] for r in refused.select("source_file").limit(NAMED).collect()]
+    images = decoded_images(spark, root)
+    return images.where(~F.col("source_file").isin(names)) if names else images
+
+
 def silver_job(spark: SparkSession, p: Params) -> DataFrame:
     """Batch silver: one image pass; the rule report is observed during the write."""
     _db(spark, p.silver_schema)
     key_to_group, _, _ = config(spark, p)
     bronze_df = spark.table(f"{p.bronze_schema}.bronze_assets")
-    rows = silver_rows(bronze_df, decoded_images(spark, p.bronze_path), key_to_group)
+    rows = silver_rows(bronze_df, decodable(spark, p.bronze_path, bronze_df), key_to_group)
     rules = silver_rules()
     kept, obs = apply_rules_observed(rows, rules, name="silver_dq")
     write_partitioned(kept, f"{p.silver_schema}.silver_assets", ["cuisine_category"],

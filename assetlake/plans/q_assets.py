@@ -15,6 +15,8 @@ from assetlake.operators import split as S
 from assetlake.operators.changes import snapshot_changes
 from assetlake.operators.diagnose import first_k_per_group
 from assetlake.operators.ingest import flag_known
+from assetlake.operators.rank import first_k as exact_first_k
+from assetlake.operators.rank import unit_hash
 from assetlake.plans.medallion import ACCEPTED_FORMATS, bronze, documents_silver, gold
 from assetlake.plans.registry import register, split_case, sql_list, uhash
 from assetlake.sources.config import invert, with_positions
@@ -342,6 +344,22 @@ SELECT doc_id, CASE WHEN rn <= ceil(n * 0.2) THEN 'test' ELSE 'train' END AS spl
 """)(split_exact)
 
 
+def split_crowded(spark, d):
+    """The exact first 30 % where a third of all rows share one place in the order and ties decide."""
+    li = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
+    u = F.when(F.col("l_orderkey") % 3 == 0, F.lit(0.25)).otherwise(unit_hash(SEED, "l_orderkey", "l_linenumber"))
+    flagged = exact_first_k(li.withColumn("_u", u), "_u", ["l_orderkey", "l_linenumber"], li.count() * 3 // 10, "chosen")
+    return flagged.drop("_u")
+
+
+register("split_crowded", f"""
+WITH u AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 3 = 0 THEN 0.25 ELSE
+             {uhash(SEED, "(l_orderkey || ':' || l_linenumber)")} END AS u FROM lineitem),
+r AS (SELECT *, row_number() OVER (ORDER BY u, l_orderkey, l_linenumber) AS rn, count(*) OVER () AS n FROM u)
+SELECT l_orderkey, l_linenumber, rn <= n * 3 // 10 AS chosen FROM r
+""")(split_crowded)
+
+
 def sample_n(spark, d):
     docs = read_table(spark, d, "documents").select("doc_id", "lang")
     return S.sample_n(docs, "doc_id", 50, SEED)

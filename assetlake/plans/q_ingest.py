@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from assetlake.functions.columns import asset_filename
 from assetlake.operators import ingest as I
 from assetlake.plans.registry import register
 from assetlake.sources.tables import read_table
@@ -90,7 +91,7 @@ SELECT key, new, new >= {PER_KEY} AS complete,
        CAST(sum(new) OVER () AS BIGINT) AS total_saved,
        CAST(count(*) FILTER (WHERE new >= {PER_KEY}) OVER () AS BIGINT) AS completed_keys,
        bool_and(new >= {PER_KEY}) OVER () AS all_complete,
-       CAST(CASE WHEN row_number() OVER (ORDER BY key) <= 20 THEN row_number() OVER (ORDER BY key) END AS INTEGER) AS listing_rank,
+       CAST(row_number() OVER (ORDER BY key) AS INTEGER) AS listing_rank,
        row_number() OVER (ORDER BY key) <= 20 AS shown,
        CAST(greatest(count(*) OVER () - 20, 0) AS BIGINT) AS hidden_keys
 FROM rep
@@ -107,3 +108,31 @@ register("ingest_missing_keys", f"""
 WITH wanted(key) AS (VALUES {_wanted_sql})
 SELECT key FROM wanted WHERE key NOT IN (SELECT event_type FROM events WHERE event_type IS NOT NULL)
 """)(ingest_missing_keys)
+
+
+# A stored status with many keys, from the orders: a key is a customer's label, some rows are legacy ones.
+LEGACY_EVERY = 7
+
+
+def _stored_status(spark, d):
+    o = read_table(spark, d, "orders").where(F.col("o_custkey").isNotNull())
+    per = o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("count"), F.max("o_orderkey").alias("last"))
+    key = F.format_string("customer_%d", F.col("o_custkey"))
+    legacy = F.col("o_custkey") % LEGACY_EVERY == 0
+    return per.select(key.alias("key"), "count", F.when(~legacy, F.col("last")).alias("last_index"), asset_filename(key, F.col("last")).alias("last_filename"))
+
+
+def ingest_listing(spark, d):
+    return I.status_listing(_stored_status(spark, d))
+
+
+register("ingest_listing", f"""
+WITH s AS (SELECT printf('customer_%d', o_custkey) AS key, count(*) AS n, max(o_orderkey) AS last, o_custkey % {LEGACY_EVERY} = 0 AS legacy
+           FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey)
+SELECT key, n AS count, CASE WHEN NOT legacy THEN last END AS last_index, legacy,
+       CASE WHEN legacy THEN printf('%s_idx_%06d.jpg (old format)', key, last)
+            ELSE n || ' images | last_index: ' || last END AS line,
+       row_number() OVER (ORDER BY key) AS listing_rank, row_number() OVER (ORDER BY key) <= 20 AS shown,
+       CAST(greatest(count(*) OVER () - 20, 0) AS BIGINT) AS hidden_keys
+FROM s
+""")(ingest_listing)

@@ -9,17 +9,37 @@ rewrites the same object and a reader never sees a partial one.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyarrow import fs as pafs
 
 
 def _resolve(uri: str):
+    if re.match("file:", uri):
+        uri = re.sub("^file:/*", "/", uri)
     if "://" not in uri:
         return pafs.LocalFileSystem(), os.path.abspath(uri)
     return pafs.FileSystem.from_uri(uri)
 
 
+def shared_root(spark, root: str) -> str:
+    """``root`` as a path that every executor reaches.
+
+    On a cluster a path without a scheme belongs to the default file system of the session; where
+    that is the machine's own disk, only a folder under ``spark.checkpoint.dir`` is known to be shared.
+    """
+    if re.match(r"[a-z][a-z0-9+.-]+:", root) or re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        return root
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    if not default.startswith("file:"):
+        return default.rstrip("/") + "/" + root.lstrip("/")
+    shared = re.sub("^file:/*", "/", spark.conf.get("spark.checkpoint.dir", ""))
+    if shared and os.path.abspath(root).startswith(shared.rstrip("/") + "/"):
+        return root
+    raise ValueError(f"{root}: name a store that all executors share")
+
+
 def join(root: str, *parts: str) -> str:
     return "/".join([root.rstrip("/")] + [p.strip("/") for p in parts])
 

@@ -5,8 +5,11 @@ deterministic target ``{root}/{key}/{key}_idx_{idx:06d}.jpg`` as one atomic
 object (``sinks.blob``): a retried task rewrites the same file and a reader
 never sees a half-written one. The writer returns one
 ``(key, idx, path, error)`` row per input row, so failures are data, not
-log lines. ``root`` is any URI pyarrow can write (local, s3://, gs://,
-hdfs://) that every executor reaches.
+log lines. ``root`` is any URI that every executor reaches; a path without a
+scheme belongs to the session's default file system (``blob.shared_root``).
+
+Bytes move late: planning reads keys, indexes and places of rows, and only
+the rows that were picked are read again with their content.
 """
 
 from __future__ import annotations
@@ -17,7 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assetlake.operators.ingest import merge_status, plan
+from assetlake.operators.ingest import after_marks, fetch, first_rows, located, marks, merge_attempts
+from assetlake.functions.columns import asset_filename
 from assetlake.sinks import blob
 from assetlake.session import checkpoint_dir
 
@@ -31,16 +35,22 @@ WRITE_SCHEMA = T.StructType([
 
 
 def _writer(root: str):
+    """Writes rows in the order given. With a column ``need``, a key is left once it has that many files."""
     def run(batches):
+        done: dict = {}
         for pdf in batches:
             out = []
-            for key, idx, name, content in zip(pdf["key"], pdf["idx"], pdf["filename"], pdf["content"]):
+            need = pdf["need"] if "need" in pdf else [None] * len(pdf)
+            for key, idx, name, content, most in zip(pdf["key"], pdf["idx"], pdf["filename"], pdf["content"], need):
+                if most is not None and done.get(key, 0) >= most:
+                    continue
                 target = blob.join(root, str(key), str(name))
                 err = None
                 try:
                     if content is None:
                         raise ValueError("no content")
                     blob.put(target, bytes(content))
+                    done[key] = done.get(key, 0) + 1
                 except Exception as e:  # noqa: BLE001 - recorded per row
                     err = f"{type(e).__name__}: {e}"
                 out.append((key, int(idx), name, target, err))
@@ -48,50 +58,61 @@ def _writer(root: str):
     return run
 
 
-def write_assets(picked: DataFrame, root: str, key: str = "key", idx: str = "idx",
-                 content: str = "content") -> DataFrame:
-    """K7: write each row's bytes as a file; one result row per input row.
-
-    The result is checkpointed (reliable storage in ``spark.checkpoint.dir``)
-    so the writes run once and later steps read their outcome instead of
-    re-running the side effect.
-    """
-    checkpoint_dir(picked.sparkSession)
-    rows = picked.select(F.col(key).alias("key"), F.col(idx).cast("bigint").alias("idx"),
-                         F.col("filename"), F.col(content).alias("content"))
+def _pinned(rows: DataFrame, root: str) -> DataFrame:
+    """Run the writes once; later steps read their outcome from the reliable checkpoint."""
+    checkpoint_dir(rows.sparkSession)
     # persisted first, so the checkpoint write reads the results instead of
     # running the writes a second time
-    staged = rows.mapInPandas(_writer(root), WRITE_SCHEMA).persist(StorageLevel.MEMORY_AND_DISK)
+    staged = rows.mapInPandas(_writer(blob.shared_root(rows.sparkSession, root)), WRITE_SCHEMA).persist(StorageLevel.MEMORY_AND_DISK)
     pinned = staged.checkpoint(eager=True)
     staged.unpersist()
     return pinned
 
 
+def write_assets(picked: DataFrame, root: str, key: str = "key", idx: str = "idx",
+                 content: str = "content") -> DataFrame:
+    """K7: write each row's bytes as a file; one result row per input row."""
+    return _pinned(picked.select(F.col(key).alias("key"), F.col(idx).cast("bigint").alias("idx"),
+                                 F.col("filename"), F.col(content).alias("content")), root)
+
+
 def ingest(examples: DataFrame, status: DataFrame, wanted: DataFrame, n: int, root: str,
            key: str = "key", idx: str = "idx", content: str = "content"):
     """T4: one incremental run. Returns (new status, write results).
 
-    The first pass plans the first ``n`` new rows per key and writes them. Rows whose write failed
-    free their slot: each further pass plans the shortfall per key after the last attempted index,
-    until every key has its n files or no candidates are left. The status merges only rows that were
-    written, and is pinned before it is returned so the caller can overwrite the status table it was
-    read from (K8).
+    The first pass plans the first ``n`` new rows per key and writes them where they are read. Rows
+    whose write failed free their slot: each further pass takes, after the last index tried, twice as
+    many candidates for a missing file as the pass before, so b bad rows in front cost about log2(b)
+    passes; a key's candidates are streamed in order through one task, which stops at the key's last
+    missing file. It ends when no key is short or a short key has no rows left.
+
+    The status keeps the last index tried beside the last one saved, so the next run starts behind
+    the bad rows. It is pinned before it is returned.
     """
     checkpoint_dir(examples.sparkSession)
-    results = write_assets(plan(examples, status, wanted, n, key, idx), root, key, idx, content)
+    rows = located(examples, key, idx)
+    last = marks(status, wanted)
+
+    def candidates(new: DataFrame, most, at_most=None) -> DataFrame:
+        picked = first_rows(new, most, at_most=at_most).withColumn("filename", asset_filename(F.col("key"), F.col("idx")))
+        return picked.checkpoint(eager=True)  # a few rows for each key
+
+    results = _pinned(fetch(examples, candidates(after_marks(rows, last), n), content, key, idx).select("key", "idx", "filename", "content"), root)
+    window = 1
     while True:
         per = results.groupBy("key").agg(F.count_if(F.col("error").isNull()).alias("_ok"), F.max("idx").alias("_tried"))
-        short = per.filter(F.col("_ok") < n)
-        # the next pass starts after the last attempted index
-        tried = short.select("key", F.lit(0).cast("bigint").alias("count"), F.col("_tried").alias("last_index"),
-                             F.lit(None).cast("string").alias("last_filename"))
-        need = short.select(F.col("key").alias(key), (F.lit(n) - F.col("_ok")).alias("_need"))
-        refill = (plan(examples, tried, short.select("key"), n, key, idx)
-                  .join(need, key).filter(F.col("rank") <= F.col("_need")).drop("_need"))
-        written = write_assets(refill, root, key, idx, content)
-        if written.isEmpty():
+        short = per.filter(F.col("_ok") < n).select("key", (F.lit(n) - F.col("_ok")).alias("need"), "_tried").checkpoint(eager=True)
+        if short.isEmpty():
+            break
+        window *= 2
+        entries = short.agg(F.map_from_entries(F.collect_list(F.struct("key", "_tried"))).alias("tried"),
+                            F.map_from_entries(F.collect_list(F.struct("key", "need"))).alias("need"))
+        tried, need = entries.select("tried").scalar(), entries.select("need").scalar()
+        picked = candidates(after_marks(rows, tried), F.try_element_at(need, F.col("key")) * window, at_most=n * window)
+        if picked.isEmpty():
             break
-        results = results.unionByName(written)
-    ok = results.filter(F.col("error").isNull())
-    new_status = merge_status(status, ok, key="key", idx="idx").checkpoint(eager=True)
+        full = (fetch(examples, picked, content, key, idx).withColumn("need", F.try_element_at(need, F.col("key")))
+                .repartition("key").sortWithinPartitions("key", "idx"))
+        results = results.unionByName(_pinned(full.select("key", "idx", "filename", "content", "need"), root))
+    new_status = merge_attempts(status, results).checkpoint(eager=True)
     return new_status, results

@@ -85,13 +85,31 @@ def log_run(df_rows: DataFrame, table: str, run_id: str) -> None:
      .write.mode("append").format("parquet").saveAsTable(table))
 
 
-def save_status(status: DataFrame, table: str) -> None:
-    """K8: replace the ingest-status table once the asset writes committed.
+def append_status(status: DataFrame, table: str) -> int:
+    """K8: append this run's status rows, then a row that marks the run complete. Returns the run's number.
 
-    The new status must already be pinned (``ingest`` checkpoints it): a
-    table cannot be overwritten by a plan that still reads it.
+    Nothing is dropped or overwritten: until the mark is there, readers see the runs before. The
+    status must not read ``table`` lazily in a way that sees its own rows: ``ingest`` pins it.
     """
-    status.write.mode("overwrite").format("parquet").saveAsTable(table)
+    spark = status.sparkSession
+    run = 1
+    if spark.catalog.tableExists(table):
+        run += spark.table(table).agg(F.coalesce(F.max("run"), F.lit(0))).first()[0]  # runs that were cut short too
+    rows = status.withColumn("run", F.lit(run).cast("bigint")).withColumn("complete", F.lit(False))
+    rows.write.mode("append").format("parquet").saveAsTable(table)
+    mark = rows.limit(0).unionByName(spark.createDataFrame([(run, True)], "run long, complete boolean"), allowMissingColumns=True)
+    mark.coalesce(1).write.mode("append").format("parquet").saveAsTable(table)
+    return run
+
+
+def current_status(spark: SparkSession, table: str) -> DataFrame:
+    """K8: the latest row of each key over the runs that were completed."""
+    log = spark.table(table)
+    fields = [c for c in log.columns if c not in ("key", "run", "complete")]
+    done = log.where("complete").select(F.col("run").alias("_done"))  # a row for each run
+    rows = log.where(~F.col("complete")).join(done, F.col("run") == F.col("_done"), "left_semi")
+    latest = rows.groupBy("key").agg(F.max_by(F.struct(*fields), "run").alias("s"))
+    return latest.select("key", *(F.col(f"s.{c}").alias(c) for c in fields))
 
 
 def register_model(spark: SparkSession, table: str, name: str, path: str, alias: str | None = None,

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from assetlake.operators.quality import apply_rules_observed, observed_report
-from assetlake.plans.medallion import gold, silver_rows, silver_rules
+from assetlake.plans.medallion import gold, silver_rows, silver_rules, wanted_files
 from assetlake.sources.files import MAX_FILES_PER_TRIGGER
 from assetlake.streaming.bronze import bronze_stream
 
@@ -50,8 +50,8 @@ def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, out_root
     b = batch.persist(StorageLevel.MEMORY_AND_DISK)  # at most max_files rows
     try:
         _write(b, f"{out_root}/bronze", batch_id, ["food_type"])
-        # the batch's own file names: bounded by max_files, never the table
-        paths = [r.path for r in b.select("path").collect()]
+        # the batch's own file names: bounded by max_files, never the table. What a header refuses isn't decoded.
+        paths = [r.path for r in wanted_files(b).select("path").collect()]
         if not paths:
             return
         images = (spark.read.format("image").option("dropInvalid", "false")

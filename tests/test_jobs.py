@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from assetlake.plans import jobs as J
 from assetlake.plans.medallion import GOLD_COLUMNS, SILVER_COLUMNS
+from assetlake.sinks.tables import current_status
 from assetlake.sources.config import Params
 from imgutil import png
 
@@ -39,13 +40,13 @@ def test_jobs_end_to_end(spark, tmp_path_factory):
 
     status, results = J.ingest_job(spark, p, ex, NAMES, ["pizza", "ramen", "sushi"])
     assert results.filter("error IS NULL").count() == 6
-    st = {r.key: (r["count"], r.last_index) for r in spark.table("jb.ingest_status").collect()}
+    st = {r.key: (r["count"], r.last_index) for r in current_status(spark, "jb.ingest_status").collect()}
     assert st == {"pizza": (2, 4), "ramen": (2, 5), "sushi": (2, 6)}
     assert sorted(os.listdir(vol / "pizza")) == ["pizza_idx_000000.jpg", "pizza_idx_000004.jpg"]
 
     # second run continues after the high-water mark (idx 9 is junk bytes, still a file)
     J.ingest_job(spark, p, ex, NAMES, ["pizza", "ramen", "sushi"])
-    st = {r.key: (r["count"], r.last_index) for r in spark.table("jb.ingest_status").collect()}
+    st = {r.key: (r["count"], r.last_index) for r in current_status(spark, "jb.ingest_status").collect()}
     assert st == {"pizza": (4, 12), "ramen": (4, 13), "sushi": (4, 14)}
 
     J.bronze_job(spark, p).awaitTermination()
