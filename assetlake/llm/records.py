@@ -17,8 +17,9 @@ and checksums and gives the offset index, a separate table (shard, record, place
 with which records can be read in any order: ``read_at`` loads the records of any part of the index,
 ``read_shuffled`` all in a seeded order.
 
-Words repeat, so a worker remembers the ids of about ``MEMO`` chunks between ASCII white space or letters and a last stop, which
-the vocabulary's splitting rule never crosses; texts that may hold a special token are encoded whole.
+Words repeat, so a worker looks up the distinct chunks of a block of texts among about ``MEMO`` that it
+remembers. A chunk lies between ASCII white space, or a letter and a last stop, where the vocabulary's
+splitting rule always splits; texts that may hold a special token are encoded whole.
 
 Defined results: a null or empty text is the end id alone; null ids come first; rows of one id go by
 their text's hash, and repeated rows are a record each; an empty table gives no record; other
@@ -27,6 +28,7 @@ columns are ignored. A damaged shard raises an error that names the shard and th
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -39,11 +41,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assetlake.llm.common import stage
+from assetlake.llm.hashing import mixed, powers
 from assetlake.session import checkpoint_dir
 
 END_ID = 1
-MEMO = 600_000
+MEMO = 300_000
 LINE = 200  # letter runs that are encoded together
+BLOCK = 2 << 20  # bytes of texts whose chunks are looked up together
 SHARD_BYTES = 16 << 20
 LEAST_BYTES = 4 << 20  # of a shard, where there are too few for all cores
 #: Fixed value: the constant of the masked checksum.
@@ -57,6 +61,11 @@ _STOPS = b".,;:!?"
 #: ASCII letters in lower case, which the vocabulary has anyway, and ASCII white space that separates words as a space.
 _PLAIN = np.frombuffer(bytes(range(256)).lower().translate(bytes.maketrans(b"\t\n\r", b"   ")), np.uint8)
 _IS_STOP, _IS_SPACE = (np.isin(np.arange(256), list(x)) for x in (_STOPS, b" \t\n\r"))
+#: Fixed value: the vocabulary's splitting rule for ASCII in lower case.
+_PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+_SPACE = np.array([32], np.uint8)
+_VALUES = np.random.default_rng(20240301).integers(1, 1 << 63, (2, 256), dtype=np.uint64)
+_STEPS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95))
 _IS_LETTER = np.isin(np.arange(256) | 32, np.arange(97, 123)) & (np.arange(256) < 128)
 
 
@@ -100,69 +109,132 @@ def record_at(data: bytes, offset: int, where: str = "") -> tuple[bytes, int]:
 
 
 # --- tokens -------------------------------------------------------------------------------------
-def _chunks(text: bytes) -> list[bytes]:
-    """Parts of a text that the vocabulary's splitting rule never joins: at white space and between letters and a last stop."""
+def _clean(text: bytes) -> np.ndarray:
+    """A text's bytes with ASCII letters in lower case and a space wherever the vocabulary's splitting rule always splits.
+
+    That is at ASCII white space, and between an ASCII letter and a stop before white space.
+    """
     raw = np.frombuffer(text, np.uint8)
     stop = _IS_STOP[raw]
     stop[0] = False
     stop[1:] &= _IS_LETTER[raw[:-1]]
     stop[:-1] &= _IS_SPACE[raw[1:]]
-    at = np.flatnonzero(stop)
-    return np.insert(_PLAIN[raw], at, 32).tobytes().split(b" ")
+    return np.insert(_PLAIN[raw], np.flatnonzero(stop), 32)
+
+
+def _distinct(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Where the space-separated chunks start and end, one of each distinct chunk, and which of these each chunk is.
+
+    Chunks count as equal by 128 bits of two hashes.
+    """
+    inside = np.zeros(len(raw) + 2, bool)
+    inside[1:-1] = raw != 32
+    edge = np.flatnonzero(inside[1:] != inside[:-1])
+    start, end = edge[0::2], edge[1::2]
+    hashes = []
+    for values, step in zip(_VALUES, _STEPS):
+        total = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum(values[raw] * powers(f"up{step}", step, len(raw)), out=total[1:])
+        back = np.uint64(pow(int(step), -1, 1 << 64))
+        hashes.append(mixed((total[end] - total[start]) * powers(f"down{step}", back, len(raw) + 1)[start] + (end - start).astype(np.uint64)))
+    order = np.argsort(hashes[0], kind="stable")
+    h1, h2 = hashes[0][order], hashes[1][order]
+    if ((h1[1:] == h1[:-1]) & (h2[1:] != h2[:-1])).any():  # one hash isn't enough here
+        order = np.lexsort((hashes[1], hashes[0]))
+        h1, h2 = hashes[0][order], hashes[1][order]
+    first = np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])] if len(h1) else np.zeros(0, bool)
+    which = np.empty(len(order), np.int64)
+    which[order] = np.cumsum(first) - 1
+    return start, end, order[first], which
 
 
 class _Encoder:
     """Token ids of many texts by a file of the tokenizers library.
 
-    New letter runs are encoded a line at a time: a run's last token, and no other, is one that ends
-    a word in the vocabulary.
+    The distinct chunks of a block of texts are looked up among those known. New runs of letters are
+    encoded a line at a time: a run's last token, and no other, is one that ends a word in the
+    vocabulary. Lines of ASCII letters in lower case, which no normalisation changes, need only be
+    split at spaces; other ASCII chunks are cut by the same rule as the library does.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.plain.normalizer, self.plain.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.CharDelimiterSplit(" ")
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith(_WORD_END)]] = True
-        self.memo: dict[bytes, bytes] = {b"": b""}
+        self.memo: dict[bytes, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, f"<u{self.width}").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: list[bytes]) -> None:
-        if not new:
-            return
-        texts = b"\n".join(new).decode().split("\n")  # chunks hold no white space
-        letters = [c.isalpha() and (c.isascii() or c.lower().isalpha()) for c in texts]
-        others = [k for k, x in enumerate(letters) if not x]
-        self.memo.update(zip((new[k] for k in others), self._whole([texts[k] for k in others])))
-        runs = [k for k, x in enumerate(letters) if x]
-        lines = [runs[s:s + LINE] for s in range(0, len(runs), LINE)]
-        for line, found in zip(lines, self.tokenizer.encode_batch_fast([" ".join([texts[k] for k in x]) for x in lines], add_special_tokens=False)):
+    def _learn_runs(self, new: list[bytes], by) -> None:
+        lines = [new[s:s + LINE] for s in range(0, len(new), LINE)]
+        for line, found in zip(lines, by.encode_batch_fast([b" ".join(x).decode() for x in lines], add_special_tokens=False)):
             ids = np.array(found.ids, f"<u{self.width}")
             cut = ((np.flatnonzero(self.ends[ids]) + 1) * self.width).tolist()
             if len(cut) == len(line):
                 data = ids.tobytes()
-                known = [data[a:b] for a, b in zip([0, *cut], cut)]
+                self.memo.update(zip(line, [data[a:b] for a, b in zip([0, *cut], cut)]))
             else:  # a letter that the library splits at
-                known = self._whole([texts[k] for k in line])
-            self.memo.update(zip([new[k] for k in line], known))
+                self.memo.update(zip(line, self._whole([x.decode() for x in line])))
+
+    def _learn(self, new: list[bytes]) -> None:
+        plain, letters, others, cut = [], [], [], {}
+        for chunk in new:
+            if chunk.isalpha():  # of ASCII
+                plain.append(chunk)
+            elif chunk.isascii():
+                cut[chunk] = _PIECES.findall(chunk)
+            elif (text := chunk.decode()).isalpha() and text.lower().isalpha():
+                letters.append(chunk)
+            else:
+                others.append(chunk)
+        pieces = set().union(*cut.values()).difference(self.memo, plain)
+        self._learn_runs([*plain, *pieces], self.plain)
+        self._learn_runs(letters, self.tokenizer)
+        known = self.memo.__getitem__
+        self.memo.update([(chunk, b"".join(map(known, own))) for chunk, own in cut.items()])
+        self.memo.update(zip(others, self._whole([x.decode() for x in others])))
+
+    def _block(self, texts: list[bytes]) -> list[bytes]:
+        cleaned = [_clean(t) for t in texts]
+        raw = np.concatenate([x for t in cleaned for x in (t, _SPACE)])
+        start, end, some, which = _distinct(raw)
+        data = raw.tobytes()
+        chunks = [data[a:b] for a, b in zip(start[some].tolist(), end[some].tolist())]
+        if len(self.memo) > MEMO:
+            self.memo = {}
+        known = list(map(self.memo.get, chunks))
+        if None in known:
+            self._learn([c for c, ids in zip(chunks, known) if ids is None])
+            known = list(map(self.memo.__getitem__, chunks))
+        ids = np.frombuffer(b"".join(known), f"<u{self.width}")
+        many = np.fromiter(map(len, known), np.int64, len(known)) // self.width
+        at = np.cumsum(many) - many
+        size = many[which]
+        before = np.cumsum(size) - size
+        every = ids[np.arange(size.sum()) + np.repeat(at[which] - before, size)]
+        # the first chunk of each text, and so its first id
+        firsts = np.searchsorted(start, np.cumsum([len(t) + 1 for t in cleaned])[:-1])
+        return [x.tobytes() for x in np.split(every, np.r_[before, len(every)][firsts])]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        out, chunked = [b""] * len(texts), {}
+        out, block, size = [b""] * len(texts), [], 0
         for i, text in enumerate(texts):
             if any(s in text for s in self.special):
                 out[i] = self._whole([text])[0]
             elif text:
-                chunked[i] = _chunks(text.encode())
-        if len(self.memo) > MEMO:
-            self.memo = {b"": b""}
-        self._learn(list(set().union(*chunked.values()) - self.memo.keys()))
-        for i, chunks in chunked.items():
-            out[i] = b"".join(map(self.memo.__getitem__, chunks))
+                block.append((i, text.encode()))
+                size += len(block[-1][1])
+            if block and (size > BLOCK or i == len(texts) - 1):
+                for (k, _), ids in zip(block, self._block([t for _, t in block])):
+                    out[k] = ids
+                block, size = [], 0
         return out
 
 
@@ -179,7 +251,7 @@ def _framed(tokenizer: str):
         end = np.array([END_ID], f"<u{encode.width}").tobytes()
         for batch in batches:
             names, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-            size = max(1, min(64, (4 << 20) * batch.num_rows // max(1, texts.nbytes)))
+            size = max(1, min(1024, 4 * BLOCK * batch.num_rows // max(1, texts.nbytes)))
             for s in range(0, len(names), size):
                 ids = encode([t or "" for t in texts[s:s + size].to_pylist()])
                 frames = [frame(payload_of(n, x + end, encode.width)) for n, x in zip(names[s:s + size], ids)]
