@@ -45,9 +45,9 @@ from assetlake.llm.hashing import mixed, powers
 from assetlake.session import checkpoint_dir
 
 END_ID = 1
-MEMO = 300_000
+MEMO = 400_000
 LINE = 200  # letter runs that are encoded together
-BLOCK = 2 << 20  # bytes of texts whose chunks are looked up together
+BLOCK = 1 << 19  # bytes of texts whose chunks are looked up together
 SHARD_BYTES = 16 << 20
 LEAST_BYTES = 4 << 20  # of a shard, where there are too few for all cores
 #: Fixed value: the constant of the masked checksum.
@@ -158,10 +158,11 @@ class _Encoder:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        self.plain.normalizer, self.plain.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.CharDelimiterSplit(" ")
+        self.tokenizer = Tokenizer.from_file(path)
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
