@@ -41,11 +41,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assetlake.llm.common import stage
-from assetlake.llm.hashing import mixed, powers
+from assetlake.llm.hashing import mixed
 from assetlake.session import checkpoint_dir
 
 END_ID = 1
-MEMO = 400_000
+MEMO = 250_000
 LINE = 200  # letter runs that are encoded together
 BLOCK = 1 << 19  # bytes of texts whose chunks are looked up together
 SHARD_BYTES = 16 << 20
@@ -63,9 +63,6 @@ _PLAIN = np.frombuffer(bytes(range(256)).lower().translate(bytes.maketrans(b"\t\
 _IS_STOP, _IS_SPACE = (np.isin(np.arange(256), list(x)) for x in (_STOPS, b" \t\n\r"))
 #: Fixed value: the vocabulary's splitting rule for ASCII in lower case.
 _PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
-_SPACE = np.array([32], np.uint8)
-_VALUES = np.random.default_rng(20240301).integers(1, 1 << 63, (2, 256), dtype=np.uint64)
-_STEPS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95))
 _IS_LETTER = np.isin(np.arange(256) | 32, np.arange(97, 123)) & (np.arange(256) < 128)
 
 
@@ -110,39 +107,37 @@ def record_at(data: bytes, offset: int, where: str = "") -> tuple[bytes, int]:
 
 # --- tokens -------------------------------------------------------------------------------------
 def _clean(text: bytes) -> np.ndarray:
-    """A text's bytes with ASCII letters in lower case and a space wherever the vocabulary's splitting rule always splits.
+    """Bytes with ASCII letters in lower case and a space wherever the vocabulary's splitting rule always splits.
 
     That is at ASCII white space, and between an ASCII letter and a stop before white space.
     """
     raw = np.frombuffer(text, np.uint8)
-    stop = _IS_STOP[raw]
-    stop[0] = False
-    stop[1:] &= _IS_LETTER[raw[:-1]]
-    stop[:-1] &= _IS_SPACE[raw[1:]]
-    return np.insert(_PLAIN[raw], np.flatnonzero(stop), 32)
+    stop = np.flatnonzero(_IS_STOP[raw])
+    stop = stop[(stop > 0) & (stop < len(raw) - 1)]
+    return np.insert(_PLAIN[raw], stop[_IS_LETTER[raw[stop - 1]] & _IS_SPACE[raw[stop + 1]]], 32)
 
 
 def _distinct(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Where the space-separated chunks start and end, one of each distinct chunk, and which of these each chunk is.
 
-    Chunks count as equal by 128 bits of two hashes.
+    Chunks of up to 16 bytes are compared by their first and last eight; longer ones count as distinct.
     """
     inside = np.zeros(len(raw) + 2, bool)
     inside[1:-1] = raw != 32
     edge = np.flatnonzero(inside[1:] != inside[:-1])
     start, end = edge[0::2], edge[1::2]
-    hashes = []
-    for values, step in zip(_VALUES, _STEPS):
-        total = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(values[raw] * powers(f"up{step}", step, len(raw)), out=total[1:])
-        back = np.uint64(pow(int(step), -1, 1 << 64))
-        hashes.append(mixed((total[end] - total[start]) * powers(f"down{step}", back, len(raw) + 1)[start] + (end - start).astype(np.uint64)))
-    order = np.argsort(hashes[0], kind="stable")
-    h1, h2 = hashes[0][order], hashes[1][order]
-    if ((h1[1:] == h1[:-1]) & (h2[1:] != h2[:-1])).any():  # one hash isn't enough here
-        order = np.lexsort((hashes[1], hashes[0]))
-        h1, h2 = hashes[0][order], hashes[1][order]
-    first = np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])] if len(h1) else np.zeros(0, bool)
+    size = (end - start).astype(np.uint64)
+    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(raw) + 1, "<u8", padded, 0, (1,))  # the eight bytes from every place on
+    beyond = np.uint64(8) * (np.uint64(8) - np.minimum(size, np.uint64(8)))
+    head = (eight[start] << beyond) >> beyond
+    tail = np.where(size > 8, eight[np.maximum(end - 8, 0)], np.uint64(0))
+    long = size > 16
+    head[long], tail[long] = start[long], ~np.uint64(0)
+    order = np.argsort(mixed(head + mixed(tail + size * np.uint64(0x9E3779B97F4A7C15))), kind="stable")
+    parts = [x[order] for x in (head, tail, size)]
+    first = np.ones(len(order), bool)
+    first[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in parts])  # equal hashes of others only split a chunk's rows
     which = np.empty(len(order), np.int64)
     which[order] = np.cumsum(first) - 1
     return start, end, order[first], which
@@ -203,8 +198,9 @@ class _Encoder:
         self.memo.update(zip(others, self._whole([x.decode() for x in others])))
 
     def _block(self, texts: list[bytes]) -> list[bytes]:
-        cleaned = [_clean(t) for t in texts]
-        raw = np.concatenate([x for t in cleaned for x in (t, _SPACE)])
+        # a text ends with a newline, which no chunk holds, and is marked by another byte that none holds
+        joined = _clean(b"".join([x for t in texts for x in (t, b"\n\xff\n")]))
+        raw = np.where(joined == 255, np.uint8(32), joined)
         start, end, some, which = _distinct(raw)
         data = raw.tobytes()
         chunks = [data[a:b] for a, b in zip(start[some].tolist(), end[some].tolist())]
@@ -220,8 +216,8 @@ class _Encoder:
         size = many[which]
         before = np.cumsum(size) - size
         every = ids[np.arange(size.sum()) + np.repeat(at[which] - before, size)]
-        # the first chunk of each text, and so its first id
-        firsts = np.searchsorted(start, np.cumsum([len(t) + 1 for t in cleaned])[:-1])
+        # the first chunk behind each text's mark, and so the next text's first id
+        firsts = np.searchsorted(start, np.flatnonzero(joined == 255)[:-1])
         return [x.tobytes() for x in np.split(every, np.r_[before, len(every)][firsts])]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
