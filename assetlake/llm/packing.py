@@ -6,9 +6,10 @@
    configuration program: cover every length's count with as few sequences as possible, a
    configuration being a multiset of lengths that fits a sequence. It is solved by multiplicative
    weights: lengths that are covered less get higher prices, a knapsack dynamic program finds the
-   configurations of most price, and these are used a step each.
-3. Rounding: configurations, fullest first, are used the whole number of times that the program says
-   and the counts allow; the remaining counts are packed best fit, longest first, over the histogram.
+   configurations of most price, and these are used a share each. Every length is covered at the end,
+   and the prices give a lower bound, which tells how far the solution is from the best one.
+3. Rounding: configurations are used the whole number of times that the program says and the counts
+   allow; what is left of the fractions is packed best fit, longest first, over the histogram.
 4. Every piece gets its rank among the pieces of its length (per bucket, plus the bucket's offset),
    and the rank finds its sequence and place in a table of the chosen configurations.
 
@@ -31,6 +32,7 @@ import base64
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -43,7 +45,12 @@ from assetlake.llm.common import stage
 CAP = 1024
 END_ID = 2
 MEMO = 300_000
-ROUNDS = 60
+#: Of the program: phases, passes a phase and how far a length's coverage may be ahead, tried until the gap is small enough.
+TRIES = [(20, 6, 0.15), (10, 8, 0.2), (40, 6, 0.1)]
+GAP = 0.01
+RATE = 0.1
+NEAR = 0.98
+UP = 0.25
 RANK_BUCKET = 1 << 18
 
 
@@ -152,35 +159,84 @@ def _fill(room: int, take: np.ndarray, lengths: np.ndarray, out: Counter) -> Non
             room -= int(lengths[i])
 
 
-def program(count: np.ndarray, lengths: np.ndarray, cap: int = CAP, rounds: int = ROUNDS) -> dict[tuple, float]:
-    """An approximate solution of the configuration program: configuration -> fractional uses.
+class Solution(NamedTuple):
+    """Fractional uses of configurations ((place of a length, times), ..), the coverage that they give each length, and a lower bound."""
 
-    A round prices the lengths by how far they lag in coverage and takes, for each length, the best
-    configuration that holds it if it is worth nearly the best of all.
+    uses: dict[tuple, float]
+    covered: np.ndarray
+    bound: float
+
+    @property
+    def gap(self) -> float:
+        return sum(self.uses.values()) / self.bound - 1
+
+
+def solve(count: np.ndarray, lengths: np.ndarray, cap: int, phases: int, passes: int, ahead: float) -> Solution:
+    """The covering program by multiplicative weights: every phase covers the next share of each count.
+
+    A length's price is its size, times a weight that grows with the exponential of how far its coverage
+    lags behind the phase and falls where it is ahead; beyond ``ahead`` it is 0. A knapsack over the
+    prices gives the best configuration, and the best one that holds a length, for all lengths at once;
+    those worth nearly the best of all are used until the length has its share. Any prices divided by
+    the best configuration's worth are a dual solution: the largest of their values is the bound.
     """
+    n = count.astype(float)
     covered = np.zeros(len(lengths))
     uses: dict[tuple, float] = {}
-    eta = 8.0
-    for _ in range(rounds):
-        weight = np.exp(-eta * (covered - covered.min()))
-        # a length's price: what a sequence's room is worth, more where it lags
-        price = lengths * (0.5 + 0.5 * weight / weight.max())
-        best, take = _knapsack(lengths, price, cap)
-        value = price + best[cap - lengths]
-        for i in np.flatnonzero(value >= 0.98 * value.max()):
-            if covered[i] > covered.min() + 2.0 / rounds:
-                continue
-            c = Counter({int(i): 1})
-            _fill(cap - int(lengths[i]), take, lengths, c)
-            step = min(count[j] / a for j, a in c.items()) / rounds
-            key = tuple(sorted(c.items()))
-            uses[key] = uses.get(key, 0.0) + step
-            for j, a in c.items():
-                covered[j] += a * step / count[j]
-        if covered.min() >= 1:
+    bound = float((n * lengths).sum() / cap)
+    longest_first = np.argsort(-lengths)
+
+    def use(held: Counter, i: int, limit: float) -> bool:
+        share = max(goal - covered[i], 0.0) * n[i] / held[i]
+        step = min([share, *(max(limit - covered[j], 0.0) * n[j] / a for j, a in held.items() if j != i)])
+        if step <= 1e-12:
+            return False
+        key = tuple(sorted(held.items()))
+        uses[key] = uses.get(key, 0.0) + step
+        for j, a in held.items():
+            covered[j] += a * step / n[j]
+        return True
+
+    for phase in range(1, phases + 1):
+        goal, limit = phase / phases, min(1.0, phase / phases + ahead)
+        for last in [False] * (passes - 1) + [True]:
+            price = lengths * np.exp(RATE * np.clip((goal - covered) * phases, -1.0, 1.0))
+            price[covered >= limit - 1e-9] = 0.0
+            best, take = _knapsack(lengths, price, cap)
+            if best[cap] > 0:
+                bound = max(bound, float((n * price).sum() / best[cap]))
+            value = price + best[cap - lengths]
+            for i in longest_first[(covered < goal - 1e-12)[longest_first]].tolist():
+                if covered[i] >= goal - 1e-12 or (value[i] < NEAR * best[cap] and not last):
+                    continue
+                held, room = Counter({i: 1}), cap - int(lengths[i])
+                _fill(room, take, lengths, held)
+                if use(held, i, limit) or not last:
+                    continue
+                held = Counter({i: 1})  # what the knapsack took is used up: the longest that are left
+                for j in longest_first.tolist():
+                    if j != i and lengths[j] <= room and covered[j] < limit - 1e-9:
+                        held[j] += 1
+                        room -= int(lengths[j])
+                use(held, i, limit)
+            if (covered >= goal - 1e-9).all():
+                break
+    goal = 1.0
+    for i in np.flatnonzero(covered < 1.0).tolist():  # what no pass could place goes in sequences of its own
+        use(Counter({i: int(cap // lengths[i])}), i, 1.0)
+    return Solution(uses, covered, bound)
+
+
+def program(count: np.ndarray, lengths: np.ndarray, cap: int = CAP) -> Solution:
+    """The configuration program to a gap of ``GAP`` between its value and the bound, or the best of ``TRIES``."""
+    best = None
+    for phases, passes, ahead in TRIES:
+        found = solve(count, lengths, cap, phases, passes, ahead)
+        if best is None or found.gap < best.gap:
+            best = found
+        if best.gap <= GAP:
             break
-    top = covered.max()
-    return {c: x / max(top, 1.0) for c, x in uses.items()}
+    return best
 
 
 def best_fit(count: dict[int, int], cap: int = CAP) -> list[tuple[tuple, int]]:
@@ -213,25 +269,35 @@ def best_fit(count: dict[int, int], cap: int = CAP) -> list[tuple[tuple, int]]:
     return done + [tuple(g) for groups in by_room.values() for g in groups]
 
 
-def configurations(histogram: dict[int, int], cap: int = CAP) -> list[tuple[tuple, int]]:
-    """Whole numbers of sequences by configuration that hold exactly the pieces of a histogram."""
-    left = {n: c for n, c in histogram.items() if c > 0}
-    if not left:
-        return []
-    lengths = np.array(sorted(left))
-    count = np.array([left[n] for n in lengths], float)
-    chosen: list[tuple[tuple, int]] = []
-    solved = program(count, lengths, cap)
-    # the fullest first: what doesn't fill its sequence is left to best fit
-    for c, x in sorted(solved.items(), key=lambda cx: (-sum(int(lengths[i]) * a for i, a in cx[0]), cx[0])):
+def rounded(solution: Solution, left: dict[int, int], lengths: np.ndarray, cap: int) -> list[tuple[tuple, int]]:
+    """Whole uses of the solution's configurations; ``left`` loses what they hold.
+
+    A configuration that fills its sequence is used as often as the solution says, a fraction of
+    ``1 - UP`` or more counting as one, but no more than there are pieces: the next one is trimmed by
+    what the ones before took. Those used most come first.
+    """
+    chosen = []
+    for c, x in sorted(solution.uses.items(), key=lambda cx: (-cx[1], cx[0])):
         items = [(int(lengths[i]), a) for i, a in c]
-        if sum(n * a for n, a in items) < cap:
-            break
-        whole = min(int(x), *(left[n] // a for n, a in items))
-        if whole:
+        whole = min(int(x + UP), *(left[n] // a for n, a in items))
+        if whole and sum(n * a for n, a in items) == cap:
             chosen.append((tuple(sorted((n for n, a in items for _ in range(a)), reverse=True)), whole))
             for n, a in items:
                 left[n] -= a * whole
+    return chosen
+
+
+def configurations(histogram: dict[int, int], cap: int = CAP) -> list[tuple[tuple, int]]:
+    """Whole numbers of sequences by configuration that hold exactly the pieces of a histogram.
+
+    Pieces that fill a sequence are one each; the program's rounded solution packs most of the others,
+    and the rest, which is fractions of configurations, goes best fit.
+    """
+    left = {n: c for n, c in histogram.items() if 0 < n < cap and c > 0}
+    chosen = [((cap,), histogram[cap])] if histogram.get(cap) else []
+    if left:
+        lengths = np.array(sorted(left))
+        chosen += rounded(program(np.array([left[n] for n in lengths]), lengths, cap), left, lengths, cap)
     return chosen + best_fit({n: c for n, c in left.items() if c}, cap)
 
 
