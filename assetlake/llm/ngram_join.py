@@ -3,25 +3,27 @@
 1. A text's set is its distinct word shingles. Equal sets share a 64-bit signature, their *node*, so
    exact copies are one node from here on.
 2. Nodes fall into size bands. A band fixes a largest symmetric difference d that two linked sets of
-   its sizes can have, and a layout of more than d blocks of 64 bits: every shingle flips one bit of one
-   block. The Hamming distance of two sketches is at most the symmetric difference of the sets, so
-   linked sets differ in at most d blocks and agree in the others: blocks are joined by their value,
-   the XOR of their shingles' hashes (pigeonhole). A layout has ``spare`` blocks more than d + 1, so
-   linked sets agree in spare + 1 blocks; blocks of ``WEAK`` shingles or fewer, which unrelated sets
-   share by chance, are joined only for sets that have more than ``spare`` of them: two sets that
-   agree in weak blocks alone both have that many, so no pair is lost. A set near its band's upper
-   end also has a sketch in the next band's layout.
+   its sizes can have, and a layout of d + 1 + ``spare`` blocks of 64 bits: every shingle flips one
+   bit of one block. The Hamming distance of two sketches is at most the symmetric difference of the
+   sets, so linked sets differ in at most d blocks and agree in ``spare`` + 1 or more: blocks are
+   joined by their value, the XOR of their shingles' hashes (pigeonhole). Empty blocks, which
+   unrelated sets share, aren't joined unless a set has more than ``spare`` of them. Where d is 1, one
+   of two linked sets has one shingle more: such sets are joined by the XOR of all their shingles and
+   of all but one. A set near its band's upper end also has a sketch in the next band's layout.
 3. Blocks travel packed, many to a row. What one batch of texts shares is folded before the shuffle:
-   a bucket gets one entry per batch of a value that a batch has many times, and the rest of the
-   members beside it. What remains are the (value, node) rows of values with two nodes or more.
-4. Links are looked for in three rounds, each verified on the full shingle sets. First every node is
+   a bucket gets one entry per batch of a value that a batch has many times, and the members beside it
+   are dealt by node. What remains are the (value, node) rows of values with two nodes or more.
+4. A node that shares fewer blocks with others than linked sets must is dropped, and with it values
+   that only one node has then, until few go: what chance and common passages share is gone before
+   any text or sketch moves.
+5. Links are looked for in three rounds, each verified on the full shingle sets. First every node is
    compared with one centre: of the nodes that it shares blocks with, one that shares most with
    others (the original of a family, as a rule). Then, within values whose nodes aren't one component
    yet, all pairs of different components are compared by sketch: pair by pair for values with few
-   nodes, in tiles of ``TILE`` nodes for those with many, where a tile first reports a spanning
-   forest and, in the third round, every pair that is still apart. So no pair of a value stays
-   untested unless its ends are connected already: no link between components is lost, and no
-   group's pairs are ever listed in full.
+   nodes, where a pair must agree in as many blocks as linked sets must, in tiles of ``TILE`` nodes
+   for those with many, where a tile first reports a spanning forest and, in the third round, every
+   pair that is still apart. So no pair of a value stays untested unless its ends are connected
+   already: no link between components is lost, and no group's pairs are ever listed in full.
 
 Node ids and shingles are 64-bit hashes: two different sets meet with a probability of about
 pairs / 2^64.
@@ -48,35 +50,38 @@ from assetlake.llm.common import input_splits, release, stage
 from assetlake.llm.components import components
 from assetlake.llm.hashing import as_bytes, mixed, runs, shingles, word_hashes
 
-BAND = 1.6
+BAND = 1.3
 FEW = 64
 TILE = 2048
-WEAK = 2
-_LAYOUT_BITS = np.uint64(6)
+PRUNINGS = 4
+ONE_OFF = 2  # what stands for the number of blocks where linked sets differ in one shingle at most
+_LAYOUT_BITS = np.uint64(7)
 
 
 def spare(most: int) -> int:
-    """Blocks beyond ``most`` + 1: as many as a set of the band's lower sizes has weak ones, as a rule."""
+    """Blocks beyond ``most`` + 1: one more is what linked sets agree in at least."""
     return 1 + most // 8
 
 
+@functools.cache
 def bands(percent: int, largest: int = 1 << 40) -> list[tuple[int, int]]:
     """(largest size, blocks) of each band at a similarity of ``percent`` / 100 or more."""
     out, upper = [], 8
     while not out or out[-1][0] < largest:
         # |A ^ B| <= (100 - percent) / (100 + percent) * (|A| + |B|); where it is 0, linked sets are equal
         most = (100 - percent) * 2 * upper // (100 + percent)
-        out.append((upper, most + 1 + spare(most) if most else 1))
+        out.append((upper, most + 1 + spare(most) if most > 1 else 1 + most))
         upper = int(upper * BAND) + 1
     return out
 
 
 def layouts(size: int, percent: int, table: list[tuple[int, int]]) -> list[int]:
     """The bands whose layout a set of ``size`` is sketched in."""
-    own = next(k for k, (upper, _) in enumerate(table) if size <= upper)
+    own = last = next(k for k, (upper, _) in enumerate(table) if size <= upper)
     # a partner of the next band has more than this band's upper size
-    near = 100 * size >= percent * (table[own][0] + 1)
-    return [k for k in ([own, own + 1] if near else [own]) if table[k][1] > 1]
+    while 100 * size >= percent * (table[last][0] + 1):
+        last += 1
+    return [k for k in range(own, last + 1) if table[k][1] > 1]
 
 
 def _blocks(hashed: np.ndarray, layout: int, blocks: int) -> tuple[np.ndarray, np.ndarray]:
@@ -91,18 +96,33 @@ def sketch(hashed: np.ndarray, layout: int, blocks: int) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8), bitorder="little").view("<u8")
 
 
-def _keys(hashed: np.ndarray, layout: int, blocks: int) -> np.ndarray:
-    """What a set's blocks are joined by; the layout in the lowest bits."""
+def keys_of(hashed: np.ndarray, layout: int, blocks: int) -> np.ndarray:
+    """What a set's blocks are joined by, the layout in the lowest bits."""
+    mark = np.uint64(layout)
+    if blocks == ONE_OFF:
+        h = mixed(hashed + np.uint64(layout + 1))
+        every = np.bitwise_xor.reduce(h)
+        return (mixed(np.append(every ^ h, every)) << _LAYOUT_BITS) | mark
     h, block = _blocks(hashed, layout, blocks)
     order = np.argsort(block, kind="stable")
     load = np.bincount(block.astype(np.int64), minlength=blocks)
     value = np.zeros(blocks, np.uint64)
     value[load > 0] = np.bitwise_xor.reduceat(mixed(h[order]), (np.cumsum(load) - load)[load > 0])
-    place = np.arange(blocks, dtype=np.uint64) * np.uint64(64) + np.uint64(layout)
-    keys = (mixed(value + mixed(place + np.uint64(77))) << _LAYOUT_BITS) | np.uint64(layout)
-    weak = load <= WEAK
-    # most + 1 + spare blocks: linked sets agree in spare + 1 of them
-    return keys if weak.sum() > _spare_of(blocks) else keys[~weak]
+    place = np.arange(blocks, dtype=np.uint64) * np.uint64(128) + mark
+    keys = (mixed(value + mixed(place + np.uint64(77))) << _LAYOUT_BITS) | mark
+    return keys[load > 0] if (load == 0).sum() <= _spare_of(blocks) else keys
+
+
+def least_shared(hashed: np.ndarray, layout: int, blocks: int) -> int:
+    """How many of its keys a set shares with a linked one at least.
+
+    Linked sets agree in spare + 1 blocks, and the set's empty ones are among these at most. Where
+    these were joined too, a partner may have left out its own.
+    """
+    if blocks == ONE_OFF:
+        return 1
+    empty = blocks - int(np.count_nonzero(np.bincount(_blocks(hashed, layout, blocks)[1].astype(np.int64), minlength=blocks)))
+    return max(1, _spare_of(blocks) + 1 - empty)
 
 
 @functools.cache
@@ -110,31 +130,48 @@ def _spare_of(blocks: int) -> int:
     return next(spare(m) for m in range(blocks) if m + 1 + spare(m) == blocks)
 
 
-_READ = "doc_id long, hashed long, size long, node long, bucket int, side boolean, keys binary, nodes binary"
+_FACTS = "doc_id long, hashed long, size long, node long, needs array<int>"
+_PACKED = "bucket int, side boolean, keys binary, nodes binary"
 
 
-def _reader(n: int, percent: int, buckets: int):
-    table = bands(percent)
+def _sets(batch: pa.RecordBatch, n: int) -> Iterator[tuple[np.ndarray, int | None]]:
+    """Each text's set and node."""
+    for words in word_hashes(as_bytes(batch.column("text"))):
+        s = shingles(words, n)
+        node = int(mixed(np.array([s.sum(dtype=np.uint64) ^ np.bitwise_xor.reduce(mixed(s))]) + np.uint64(len(s))).view(np.int64)[0]) if len(s) else None
+        yield s, node
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc_id", pa.int64()), ("hashed", pa.int64()), ("size", pa.int64()), ("node", pa.int64()),
-                            ("bucket", pa.int32()), ("side", pa.bool_()), ("keys", pa.binary()), ("nodes", pa.binary())])
+
+def _facts(n: int, percent: int):
+    """Rows of _FACTS; ``needs`` holds layout, least shared blocks, layout, .. of the set's layouts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = bands(percent)
         for batch in batches:
-            sizes, nodes, keys, owners, seen = [], [], [], [], set()
-            for words in word_hashes(as_bytes(batch.column("text"))):
-                s = shingles(words, n)
-                node = int(mixed(np.array([s.sum(dtype=np.uint64) ^ np.bitwise_xor.reduce(mixed(s))]) + np.uint64(len(s))).view(np.int64)[0]) if len(s) else None
+            sizes, nodes, needs = [], [], []
+            for s, node in _sets(batch, n):
                 sizes.append(len(s))
                 nodes.append(node)
+                needs.append([x for k in layouts(len(s), percent, table) for x in (k, least_shared(s, k, table[k][1]))] if node is not None else None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("hashed"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(needs, pa.list_(pa.int32()))],
+                names=["doc_id", "hashed", "size", "node", "needs"])
+
+    return run
+
+
+def _packer(n: int, percent: int, buckets: int):
+    """Rows of _PACKED: the keys of a batch's sets, by bucket."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = bands(percent)
+        for batch in batches:
+            keys, owners, seen = [], [], set()
+            for s, node in _sets(batch, n):
                 if node is None or node in seen:
                     continue
                 seen.add(node)
                 for layout in layouts(len(s), percent, table):
-                    keys.append(_keys(s, layout, table[layout][1]))
+                    keys.append(keys_of(s, layout, table[layout][1]))
                     owners.append(np.full(len(keys[-1]), node, np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("hashed"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
-                 *(pa.nulls(len(sizes), f.type) for f in list(schema)[4:])], schema=schema)
             if not keys:
                 continue
             k, o = np.concatenate(keys), np.concatenate(owners)
@@ -143,17 +180,17 @@ def _reader(n: int, percent: int, buckets: int):
             first, length = runs(k)
             many = np.repeat(length > 1, length)
             rows = []
+            # members of a value that the batch repeats need no meeting: they are dealt by node
             for side, pick in ((True, np.flatnonzero(many)), (False, first)):
                 kk, oo = k[pick], o[pick]
-                dealt = (mixed(kk) % np.uint64(buckets)).astype(np.int64)
+                dealt = (mixed(oo.view(np.uint64) if side else kk) % np.uint64(buckets)).astype(np.int64)
                 by = np.argsort(dealt, kind="stable")
                 at, size = runs(dealt[by])
                 rows += [(int(dealt[by[a]]), side, kk[by[a:a + m]].tobytes(), oo[by[a:a + m]].tobytes()) for a, m in zip(at, size)]
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.nulls(len(rows), f.type) for f in list(schema)[:4]),
-                 *(pa.array(c, f.type) for c, f in zip(zip(*rows), list(schema)[4:]))], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.bool_(), pa.binary(), pa.binary()))],
+                                             names=["bucket", "side", "keys", "nodes"])
 
-    return read
+    return run
 
 
 def _shared(t: pa.Table) -> pa.Table:
@@ -246,24 +283,54 @@ def _tile(percent: int, forest: bool):
     return run
 
 
+def _layout_of(key: str = "key"):
+    return F.col(key).bitwiseAND(int(2 ** int(_LAYOUT_BITS) - 1)).cast("int")
+
+
+def _pruned(shared: DataFrame, needs: DataFrame) -> DataFrame:
+    """(key, node) rows of the nodes that share as many blocks of a layout as linked sets must, and of keys with two of them.
+
+    Dropping rows may take others below their need, so it goes on while a tenth or more of the rows
+    go, ``PRUNINGS`` times at most; stopping early only leaves more to compare.
+    """
+    shared = shared.withColumn("layout", _layout_of())
+    before = shared.count()
+    for _ in range(PRUNINGS):
+        enough = (shared.groupBy("node", "layout").agg(F.count(F.lit(1)).alias("n")).join(needs, ["node", "layout"])
+                  .where("n >= need").select("node", "layout"))
+        kept = shared.join(enough, ["node", "layout"], "left_semi")
+        twice = kept.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+        shared = stage(kept.join(twice, "key", "left_semi"), "join-pruned")
+        release(shared.sparkSession)
+        after = shared.count()
+        if after > 0.9 * before:
+            break
+        before = after
+    return shared
+
+
 def links(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(documents: doc_id, size, node), (nodes: node, component) of linked nodes."""
     hashed = F.xxhash64(F.col("text"))
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     buckets = 2 * input_splits(d)
-    rows = stage(d.withColumn("hashed", hashed).mapInArrow(_reader(n, percent, buckets), _READ), "join-read")
-    release(rows.sparkSession)
-    info = rows.where("bucket IS NULL").select("doc_id", "hashed", "size", "node")
-    packed = rows.where("bucket IS NOT NULL").select("bucket", "side", "keys", "nodes")
+    info = stage(d.withColumn("hashed", hashed).mapInArrow(_facts(n, percent), _FACTS), "join-facts")
+    # the keys are made anew from the texts rather than written twice: to a table and to the shuffle
+    packed = d.select("text").mapInArrow(_packer(n, percent, buckets), _PACKED)
     shared = stage(packed.groupBy("bucket").applyInArrow(_shared, "key long, node long").distinct(), "join-shared")
-    release(rows.sparkSession)
-
-    # texts of the nodes that share a block, one each
+    release(info.sparkSession)
+    each = info.where("node IS NOT NULL").groupBy("node").agg(F.first("needs").alias("needs"))  # the same in all copies
+    pairs = F.transform(F.sequence(F.lit(0), F.greatest(F.size("needs") - 2, F.lit(0)), F.lit(2)), lambda i: F.struct(
+        F.get("needs", i).alias("layout"), F.get("needs", i + 1).alias("need")))
+    needs = each.where(F.size("needs") > 0).select("node", F.explode(pairs).alias("x")).select("node", "x.layout", "x.need")
+    shared = _pruned(shared, needs)
+
+    # texts of the nodes that share enough blocks, one each
     one = (info.where("node IS NOT NULL").groupBy("node").agg(F.min(F.struct("hashed", "doc_id")).alias("x"))
            .join(shared.select("node").distinct(), "node", "left_semi").select("node", F.col("x.hashed").alias("h"), F.col("x.doc_id").alias("i")))
     texts = stage(d.join(one, (F.xxhash64("text") == F.col("h")) & F.col("doc_id").eqNullSafe(F.col("i"))).select("node", "text")
                   .dropDuplicates(["node"]), "join-texts")
-    release(rows.sparkSession)
+    release(info.sparkSession)
 
     # round 1: each node against one centre
     degree = shared.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
@@ -272,37 +339,46 @@ def links(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
     best = (shared.join(centre, "key").where(F.col("node") != F.col("centre")).groupBy("node", "centre").agg(F.count(F.lit(1)).alias("n"))
             .groupBy("node").agg(F.max(F.struct("n", "centre")).alias("x")))
     found = stage(_verified(best.select(F.col("node").alias("a"), F.col("x.centre").alias("b")), texts, n, percent), "join-links")
+    release(info.sparkSession)
 
-    release(rows.sparkSession)
     sketches = None
     for last in (False, True):
         parts = components(found, "a", "b")
-        apart = (shared.join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component")))
+        apart = (shared.join(parts, "node", "left").select("key", "node", "layout", F.coalesce("component", "node").alias("component")))
         open_keys = apart.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("members")).where("x < y")
-        apart = stage(apart.join(open_keys.select("key", "members"), "key")
-                      .withColumn("layout", F.col("key").bitwiseAND(63).cast("int")), "join-apart")
+        if last:  # all pairs of values with few nodes have been compared
+            open_keys = open_keys.where(F.col("members") > FEW)
+        apart = stage(apart.join(open_keys.select("key", "members"), "key"), "join-apart")
         if apart.isEmpty():
             break
-        release(rows.sparkSession)
+        release(info.sparkSession)
         if sketches is None:
             sketches = stage(_sketches(texts.join(apart.select("node").distinct(), "node", "left_semi"), n, percent), "join-sketches")
         new = _from_tiles(apart.where(F.col("members") > FEW), sketches, percent, forest=not last)
         if not last:
-            new = new.unionAll(_from_pairs(apart.where(F.col("members") <= FEW), sketches, percent))
+            new = new.unionAll(_from_pairs(apart, needs, sketches, percent))
         new = stage(new.distinct(), "join-candidates")
-        release(rows.sparkSession)
+        release(info.sparkSession)
         found = stage(found.unionAll(_verified(new, texts, n, percent)), "join-links")
-        release(rows.sparkSession)
+        release(info.sparkSession)
     else:
         parts = components(found, "a", "b")
     return info, parts
 
 
-def _from_pairs(apart: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components under a key with few nodes whose sketches are near enough."""
-    x, y = apart.alias("x"), apart.alias("y")
+def _from_pairs(apart: DataFrame, needs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components under keys with few nodes that agree in enough blocks and whose sketches are near enough.
+
+    Blocks that a pair may share under keys with many nodes, which aren't listed, count as shared.
+    """
+    few = apart.where(F.col("members") <= FEW)
+    x, y = few.alias("x"), few.alias("y")
     pairs = (x.join(y, F.col("x.key") == F.col("y.key")).where((F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component")))
-             .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.layout").alias("layout")).distinct())
+             .groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.layout").alias("layout")).agg(F.count(F.lit(1)).alias("agree")))
+    # a pair of different components shares open keys only: those of a node that aren't among the few
+    many = apart.where(F.col("members") > FEW).groupBy("node", "layout").agg(F.count(F.lit(1)).alias("many"))
+    least = needs.join(many, ["node", "layout"], "left").select(F.col("node").alias("a"), "layout", (F.col("need") - F.coalesce("many", F.lit(0))).alias("least"))
+    pairs = pairs.join(least, ["a", "layout"]).where("agree >= least").select("a", "b", "layout")
     for side in ("a", "b"):
         pairs = pairs.join(sketches.select(F.col("node").alias(side), "layout", F.col("size").alias(f"size_{side}"), F.col("sketch").alias(f"sketch_{side}")), [side, "layout"])
 

@@ -73,20 +73,30 @@ def test_ngram_join_matches_brute_force(spark, n, percent):
     assert ngram_join.join(empty(spark), n, percent).count() == 0
 
 
-def test_weak_blocks_lose_no_pair():
+@pytest.mark.parametrize("percent", [60, 80, 90])
+def test_linked_sets_share_as_many_keys_as_needed(percent):
     rng = np.random.default_rng(1)
-    table = ngram_join.bands(90)
-    for size in (9, 10, 14, 25, 60, 200, 700):
+    table = ngram_join.bands(percent)
+    seen = 0
+    for size in (2, 4, 5, 8, 9, 10, 13, 14, 20, 25, 60, 200, 700):
         for _ in range(150):
             a = rng.integers(0, 1 << 62, size, dtype=np.uint64)
-            most = 10 * 2 * size // 190
-            b = a.copy()
-            b[:most // 2] = rng.integers(0, 1 << 62, most // 2, dtype=np.uint64)
+            most = (100 - percent) * 2 * size // (100 + percent)
+            swapped = int(rng.integers(0, most // 2 + 1))
+            b = np.concatenate([a[swapped:], rng.integers(0, 1 << 62, rng.integers(0, most - swapped + 1), dtype=np.uint64)])
             both = len(np.intersect1d(a, b))
-            if 100 * both < 90 * (2 * size - both) or not ngram_join.layouts(size, 90, table):
+            if not len(b) or 100 * both < percent * (len(a) + len(b) - both):
                 continue
-            keys = [{int(k) for layout in ngram_join.layouts(size, 90, table) for k in ngram_join._keys(np.unique(x), layout, table[layout][1])} for x in (a, b)]
-            assert keys[0] & keys[1]
+            shared = []
+            for layout in set(ngram_join.layouts(len(a), percent, table)) & set(ngram_join.layouts(len(b), percent, table)):
+                blocks = table[layout][1]
+                keys = [{int(k) for k in ngram_join.keys_of(np.unique(x), layout, blocks)} for x in (a, b)]
+                common = len(keys[0] & keys[1])
+                shared.append(common >= max(ngram_join.least_shared(np.unique(x), layout, blocks) for x in (a, b)))
+            seen += bool(shared)
+            # the layout of the larger set's band is one of them
+            assert any(shared) or (not shared and set(a.tolist()) == set(b.tolist()))
+    assert seen > 500
 
 
 def test_repeats_match_brute_force(spark):
@@ -248,10 +258,64 @@ def test_packing(spark):
     assert packing.pack(empty(spark)).count() == 0
 
 
-def test_packing_program_is_near_the_bound():
-    counts = {n: 50 for n in range(1, 1024)}
+def _histograms():
+    rng = np.random.default_rng(7)
+    drawn = np.clip(rng.lognormal(5.2, 1.1, 9000).astype(int), 1, 1024)
+    yield {n: 50 for n in range(1, 1024)}
+    yield {int(n): int(c) for n, c in zip(*np.unique(drawn, return_counts=True))}
+
+
+@pytest.mark.parametrize("counts", list(_histograms()))
+def test_packing_program_is_near_the_bound(counts):
+    lengths = np.array(sorted(n for n in counts if n < 1024))
+    solution = packing.program(np.array([counts[n] for n in lengths]), lengths)
+    # every length is covered, by configurations that fit
+    covered = np.zeros(len(lengths))
+    for c, x in solution.uses.items():
+        assert x > 0 and sum(int(lengths[i]) * a for i, a in c) <= 1024
+        for i, a in c:
+            covered[i] += a * x / counts[int(lengths[i])]
+    assert covered.min() >= 1 - 1e-9
+    volume = sum(n * c for n, c in counts.items() if n < 1024) / 1024
+    assert volume <= solution.bound and 0 <= solution.gap <= packing.GAP
     chosen = packing.configurations(counts)
-    assert sum(m for _, m in chosen) <= 1.01 * sum(n * c for n, c in counts.items()) / 1024 + 1
+    packed = {}
+    for own, m in chosen:
+        assert sum(own) <= 1024
+        for n in own:
+            packed[n] = packed.get(n, 0) + m
+    assert packed == counts
+    full = counts.get(1024, 0)
+    assert sum(m for _, m in chosen) <= 1.01 * (volume + full) + 1
+    left = {n: counts[n] for n in lengths.tolist()}
+    program = sum(m for _, m in packing.rounded(solution, left, lengths, 1024))
+    assert program > 0.5 * sum(m for own, m in chosen if len(own) > 1)
+
+
+def test_packing_bound_is_a_bound():
+    """On small cases against the best of all packings."""
+    import functools
+    rng = np.random.default_rng(8)
+    for _ in range(20):
+        sizes = sorted(rng.integers(2, 11, 7).tolist(), reverse=True)
+
+        @functools.cache
+        def fewest(left):
+            if not left:
+                return 0
+            first, rest = left[0], left[1:]
+            best = len(left)
+            for k in range(1 << len(rest)):
+                own = [x for i, x in enumerate(rest) if k >> i & 1]
+                if first + sum(own) <= 12:
+                    best = min(best, 1 + fewest(tuple(x for i, x in enumerate(rest) if not k >> i & 1)))
+            return best
+
+        counts = {n: sizes.count(n) for n in set(sizes)}
+        lengths = np.array(sorted(counts))
+        s = packing.program(np.array([counts[n] for n in lengths]), lengths, 12)
+        assert s.bound <= fewest(tuple(sizes)) + 1e-9
+        assert fewest(tuple(sizes)) <= sum(m for _, m in packing.configurations(counts, 12))
 
 
 def test_toxicity_learns_and_takes_any_text(spark):
