@@ -65,6 +65,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     set on the SparkContext (``spark.checkpoint.dir`` itself cannot be
     changed on a running session) and remembered under a package key.
     """
+    ship_package(spark)
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_OWN_DIR_KEY, None)
     if not path:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
@@ -85,11 +86,16 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors, unless their PYTHONPATH has it. Once per application."""
+    """Send this package to the executors. Once per application.
+
+    Every entry point passes here: the registered queries, the jobs and ``checkpoint_dir``, which all
+    operators with Python stages of their own call first.
+    """
     here = os.path.dirname(os.path.abspath(__file__))
     root, app = os.path.dirname(here), spark.sparkContext.applicationId
-    if app in _SHIPPED or root in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+    if app in _SHIPPED:
         return
+    _SHIPPED.add(app)
     path = os.path.join(tempfile.mkdtemp(prefix="assetlake-ship-"), "assetlake.zip")
     with zipfile.ZipFile(path, "w") as z:
         for folder, _, names in os.walk(here):
@@ -98,4 +104,3 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(folder, name)
                     z.write(full, os.path.relpath(full, root))
     spark.sparkContext.addPyFile(path)
-    _SHIPPED.add(app)
