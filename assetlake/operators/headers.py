@@ -67,11 +67,27 @@ def _segment(content: Column):
     return step
 
 
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _jpeg(content: Column) -> Column:
     first = F.aggregate(F.sequence(F.lit(1), F.lit(USUAL_SEGMENTS)), _state(3, None, None, None, None, False), _segment(content))
     # a step moves by a byte at least, and a segment is four bytes or more but for fill bytes
     rest = lambda s: F.aggregate(F.sequence(F.lit(1), F.length(content)), s, _segment(content))
-    return F.element_at(F.transform(F.array(first), lambda s: F.when(s["done"], s).otherwise(rest(s))), 1)
+    walked = _bound(first, lambda s: F.when(s["done"], s).otherwise(rest(s)))
+    return _bound(walked, lambda s: F.when(
+        s["width"].isNotNull() & s["height"].isNotNull() & s["parts"].isNotNull(),
+        F.struct(F.lit("jpeg").alias("format"), s["width"].cast("bigint").alias("width"), s["height"].cast("bigint").alias("height"),
+                 F.when(s["bits"] == 8, _mode(JPEG_MODES, s["parts"])).otherwise(F.lit("other")).alias("mode"))))
+
+
+def _png(content: Column) -> Column:
+    kind, bits = _number(content, F.lit(26), 1), _number(content, F.lit(25), 1)
+    mode = F.when((kind == 0) & bits.isin(1, 16), F.lit("other")).otherwise(_mode(PNG_MODES, kind))
+    return F.struct(F.lit("png").alias("format"), _number(content, F.lit(17), 4).alias("width"),
+                    _number(content, F.lit(21), 4).alias("height"), mode.alias("mode"))
 
 
 def header(content: Column) -> Column:
@@ -79,24 +95,28 @@ def header(content: Column) -> Column:
 
     Gray PNGs of 1 or 16 bits are a mode of their own (``other``), as are JPEGs of more than 8 bits.
     """
-    png = ((_hex(content, F.lit(1), 8) == PNG_START) & (_hex(content, F.lit(13), 4) == "49484452") & (F.length(content) >= 29))
-    kind, bits = _number(content, F.lit(26), 1), _number(content, F.lit(25), 1)
-    png_mode = F.when((kind == 0) & bits.isin(1, 16), F.lit("other")).otherwise(_mode(PNG_MODES, kind))
-    as_png = F.struct(F.lit("png").alias("format"), _number(content, F.lit(17), 4).alias("width"),
-                      _number(content, F.lit(21), 4).alias("height"), png_mode.alias("mode"))
-    walked = _jpeg(content)
-    as_jpeg = F.element_at(F.transform(F.array(walked), lambda s: F.when(
-        s["width"].isNotNull() & s["height"].isNotNull() & s["parts"].isNotNull(),
-        F.struct(F.lit("jpeg").alias("format"), s["width"].cast("bigint").alias("width"), s["height"].cast("bigint").alias("height"),
-                 F.when(s["bits"] == 8, _mode(JPEG_MODES, s["parts"])).otherwise(F.lit("other")).alias("mode")))), 1)
     wide = "struct<format:string,width:bigint,height:bigint,mode:string>"
-    found = F.when(png, as_png.cast(wide)).when(_hex(content, F.lit(1), 2) == JPEG_START, as_jpeg.cast(wide))
-    # sides beyond an int are beyond every gate: kept as the largest int
-    most = F.lit(2 ** 31 - 1).cast("bigint")
-    return F.when(found.isNotNull(), F.struct(found["format"].alias("format"), F.least(found["width"], most).cast("int").alias("width"),
-                                              F.least(found["height"], most).cast("int").alias("height"), found["mode"].alias("mode")))
+    most = F.lit(2 ** 31 - 1).cast("bigint")  # sides beyond an int are beyond every gate: kept as the largest int
+
+    def told(c: Column) -> Column:
+        png = (_hex(c, F.lit(1), 8) == PNG_START) & (_hex(c, F.lit(13), 4) == "49484452") & (F.length(c) >= 29)
+        found = F.when(png, _png(c).cast(wide)).when(_hex(c, F.lit(1), 2) == JPEG_START, _jpeg(c).cast(wide))
+        return _bound(found, lambda f: F.when(f.isNotNull(), F.struct(
+            f["format"].alias("format"), F.least(f["width"], most).cast("int").alias("width"),
+            F.least(f["height"], most).cast("int").alias("height"), f["mode"].alias("mode"))))
+
+    return _bound(content, told)
+
+
+def _fits(head: Column) -> Column:
+    return F.coalesce(valid_size(head["width"], head["height"]) & head["mode"].isin(ACCEPTED_MODES), F.lit(False))
 
 
 def passes(head: Column) -> Column:
     """I1/P7 on a header: both sides within bounds and an accepted mode; false where there is no header."""
-    return F.coalesce(valid_size(head["width"], head["height"]) & head["mode"].isin(ACCEPTED_MODES), F.lit(False))
+    return _bound(head, lambda h: h.isNotNull() & _fits(h))
+
+
+def refused(head: Column) -> Column:
+    """Whether a header is there and doesn't pass: what need not be decoded."""
+    return _bound(head, lambda h: h.isNotNull() & ~_fits(h))

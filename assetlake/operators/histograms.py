@@ -2,8 +2,8 @@
 
 A channel is its 256 counts. Counts of parts of one picture, or of many pictures, add up, and mean,
 population deviation, brightness and contrast follow exactly from whole-number sums over the cells,
-whatever the order. Taking the counts is one vectorised pass in the scan task; adding them is a plain
-aggregation with map-side partial sums; the statistics are Column expressions.
+whatever the order. Taking the counts and their moments are vectorised passes in the scan task; adding
+histograms is a plain aggregation with map-side partial sums; the statistics are Column expressions.
 """
 
 from __future__ import annotations
@@ -52,25 +52,25 @@ def strips(pictures: DataFrame, pixels: str, size: int, channels: int = 1) -> Da
     return pictures.withColumn("_at", F.explode(starts)).withColumn(pixels, F.substring(F.col(pixels), F.col("_at"), F.lit(step))).drop("_at")
 
 
-def _moment(counts: Column, power: int) -> Column:
-    """Sum of count * value ** power over the cells."""
-    values = F.transform(F.sequence(F.lit(0), F.lit(CELLS - 1)), lambda i: F.pow(i.cast("double"), F.lit(float(power))).cast("bigint"))
-    return F.aggregate(F.zip_with(counts, values, lambda n, v: n * v), F.lit(0).cast("bigint"), lambda a, x: a + x)
+def moments(histograms: Column) -> Column:
+    """For each channel the whole-number sums over the cells: n, s1 (of values) and s2 (of their squares)."""
+    powers = np.arange(CELLS, dtype=np.int64)[:, None] ** np.arange(3)
 
+    def add(rows: pd.Series) -> pd.Series:
+        return pd.Series([None if r is None else [dict(zip(("n", "s1", "s2"), m)) for m in (np.stack(list(r)).astype(np.int64) @ powers).tolist()] for r in rows])
 
-def channel_stats(counts: Column) -> Column:
-    """mean and population deviation of one channel, null of an empty one."""
-    n, s1, s2 = (_moment(counts, p) for p in range(3))
-    return F.element_at(F.transform(F.array(F.struct(n.alias("n"), s1.alias("s1"), s2.alias("s2"))), lambda m: F.when(
-        m["n"] > 0, F.struct((m["s1"] / m["n"]).alias("mean"), (F.sqrt(
-            # squares of large pictures' sums leave a long
-            (m["n"].cast("decimal(19,0)") * m["s2"].cast("decimal(19,0)") - m["s1"].cast("decimal(19,0)") * m["s1"].cast("decimal(19,0)")).cast("double"))
-            / m["n"]).alias("std")))), 1)
+    return F.pandas_udf(add, "array<struct<n:bigint,s1:bigint,s2:bigint>>")(histograms)
+
+
+def channel_stats(m: Column) -> Column:
+    """mean and population deviation of one channel's moments, null of an empty one."""
+    n, s1, s2 = (m[c].cast("decimal(19,0)") for c in ("n", "s1", "s2"))  # products of large pictures' sums leave a long
+    return F.when(m["n"] > 0, F.struct((m["s1"] / m["n"]).alias("mean"), (F.sqrt((n * s2 - s1 * s1).cast("double")) / m["n"]).alias("std")))
 
 
 def with_stats(df: DataFrame, histograms: str = "counts", channels: int = 1) -> DataFrame:
     """mean_rgb, std_rgb, brightness, contrast and quality_score from the counts; gray stands for all three channels."""
-    df = df.withColumn("_stats", F.transform(F.col(histograms), channel_stats))
+    df = df.withColumn("_stats", F.transform(moments(F.col(histograms)), channel_stats))
     rgb = [0, 0, 0] if channels == 1 else [0, 1, 2]
     light = F.col("_stats")[0 if channels == 1 else 3]
     df = (df.withColumn("mean_rgb", F.array(*[F.col("_stats")[c]["mean"] for c in rgb]))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assetlake.operators.encode import names_lookup, sorted_names
-from assetlake.operators.headers import passes
+from assetlake.operators.headers import refused
 from assetlake.operators.ingest import STATUS_SCHEMA
 from assetlake.operators.quality import apply_rules_observed, observed_report
 from assetlake.plans.medallion import gold, silver_rows, silver_rules
@@ -94,8 +94,8 @@ def decodable(spark: SparkSession, root: str, bronze_df: DataFrame) -> DataFrame
     Refused files are few as a rule: up to ``NAMED`` of them are taken out of the scan's file list;
     the others are decoded in vain and meet no bronze row. The rows that come out are the same.
     """
-    refused = bronze_df.where(F.col("content_present") & F.col("header").isNotNull() & ~passes(F.col("header")))
-    names = [r["source_file"] for r in refused.select("source_file").limit(NAMED).collect()]
+    vain = bronze_df.where(F.col("content_present") & refused(F.col("header")))
+    names = [r["source_file"] for r in vain.select("source_file").limit(NAMED).collect()]
     images = decoded_images(spark, root)
     return images.where(~F.col("source_file").isin(names)) if names else images
 

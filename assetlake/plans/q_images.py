@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from assetlake.functions.columns import asset_id, round6
 from assetlake.operators.headers import PNG_START, header, passes
-from assetlake.operators.histograms import channel_stats, histogram, merged, with_stats
+from assetlake.operators.histograms import channel_stats, histogram, merged, moments, with_stats
 from assetlake.operators.images import MAX_SIDE, MIN_SIDE, letterbox
 from assetlake.operators.quality import apply_rules
 from assetlake.plans.medallion import bronze, gold, silver_rules, wanted_files
@@ -165,8 +165,8 @@ def image_key_stats(spark, d):
     """Statistics of all pictures of a source, from their histograms added up."""
     p = picture_files(spark, d).select("key", F.substring("content", START + 1, 2 ** 31 - 1).alias("pixels"))
     counts = merged(p.select("key", histogram(F.col("pixels")).alias("counts")), ["key"])
-    s = channel_stats(F.col("counts")[0])
-    return counts.select("key", F.col("parts").alias("pictures"), round6(s["mean"]).alias("mean"), round6(s["std"]).alias("std"))
+    s = channel_stats(F.col("m")[0])
+    return counts.withColumn("m", moments(F.col("counts"))).select("key", F.col("parts").alias("pictures"), round6(s["mean"]).alias("mean"), round6(s["std"]).alias("std"))
 
 
 register("image_key_stats", f"""WITH {_BYTES_SQL.replace(f"WHERE h BETWEEN {MIN_SIDE} AND {MAX_SIDE}", "")},

@@ -123,13 +123,14 @@ def _stored_status(spark, d):
 
 
 def ingest_listing(spark, d):
-    return I.status_listing(_stored_status(spark, d))
+    listed = I.status_listing(_stored_status(spark, d))
+    return listed.withColumn("last_index", F.coalesce("last_index", F.lit(-1)))  # where a legacy row starts again
 
 
 register("ingest_listing", f"""
 WITH s AS (SELECT printf('customer_%d', o_custkey) AS key, count(*) AS n, max(o_orderkey) AS last, o_custkey % {LEGACY_EVERY} = 0 AS legacy
            FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey)
-SELECT key, n AS count, CASE WHEN NOT legacy THEN last END AS last_index, legacy,
+SELECT key, n AS count, CASE WHEN legacy THEN -1 ELSE last END AS last_index, legacy,
        CASE WHEN legacy THEN printf('%s_idx_%06d.jpg (old format)', key, last)
             ELSE n || ' images | last_index: ' || last END AS line,
        row_number() OVER (ORDER BY key) AS listing_rank, row_number() OVER (ORDER BY key) <= 20 AS shown,
