@@ -54,6 +54,8 @@ BAND = 1.3
 FEW = 64
 TILE = 2048
 PRUNINGS = 4
+SLICE = 4 << 20  # bytes of texts that are hashed at a time
+HELD = 1 << 20  # keys that are packed at a time
 ONE_OFF = 2  # what stands for the number of blocks where linked sets differ in one shingle at most
 _LAYOUT_BITS = np.uint64(7)
 
@@ -134,12 +136,15 @@ _FACTS = "doc_id long, hashed long, size long, node long, needs array<int>"
 _PACKED = "bucket int, side boolean, keys binary, nodes binary"
 
 
-def _sets(batch: pa.RecordBatch, n: int) -> Iterator[tuple[np.ndarray, int | None]]:
-    """Each text's set and node."""
-    for words in word_hashes(as_bytes(batch.column("text"))):
-        s = shingles(words, n)
-        node = int(mixed(np.array([s.sum(dtype=np.uint64) ^ np.bitwise_xor.reduce(mixed(s))]) + np.uint64(len(s))).view(np.int64)[0]) if len(s) else None
-        yield s, node
+def _sets(batch: pa.RecordBatch, n: int, column: str = "text") -> Iterator[tuple[np.ndarray, int | None]]:
+    """Each text's set and node, some texts at a time."""
+    texts = batch.column(column)
+    size = max(1, SLICE * batch.num_rows // max(1, texts.nbytes))
+    for start in range(0, batch.num_rows, size):
+        for words in word_hashes(as_bytes(texts.slice(start, size))):
+            s = shingles(words, n)
+            node = int(mixed(np.array([s.sum(dtype=np.uint64) ^ np.bitwise_xor.reduce(mixed(s))]) + np.uint64(len(s))).view(np.int64)[0]) if len(s) else None
+            yield s, node
 
 
 def _facts(n: int, percent: int):
@@ -159,12 +164,31 @@ def _facts(n: int, percent: int):
     return run
 
 
+def _packed(keys: list[np.ndarray], owners: list[np.ndarray], buckets: int) -> pa.RecordBatch:
+    """One row a bucket of the keys of some sets."""
+    k, o = np.concatenate(keys), np.concatenate(owners)
+    order = np.argsort(k, kind="stable")
+    k, o = k[order], o[order]
+    first, length = runs(k)
+    many = np.repeat(length > 1, length)
+    rows = []
+    # members of a value that these sets repeat need no meeting: they are dealt by node
+    for side, pick in ((True, np.flatnonzero(many)), (False, first)):
+        kk, oo = k[pick], o[pick]
+        dealt = (mixed(oo.view(np.uint64) if side else kk) % np.uint64(buckets)).astype(np.int64)
+        by = np.argsort(dealt, kind="stable")
+        at, size = runs(dealt[by])
+        rows += [(int(dealt[by[a]]), side, kk[by[a:a + m]].tobytes(), oo[by[a:a + m]].tobytes()) for a, m in zip(at, size)]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.bool_(), pa.binary(), pa.binary()))],
+                                      names=["bucket", "side", "keys", "nodes"])
+
+
 def _packer(n: int, percent: int, buckets: int):
-    """Rows of _PACKED: the keys of a batch's sets, by bucket."""
+    """Rows of _PACKED: the keys of a batch's sets, ``HELD`` or some more at a time, by bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = bands(percent)
         for batch in batches:
-            keys, owners, seen = [], [], set()
+            keys, owners, held, seen = [], [], 0, set()
             for s, node in _sets(batch, n):
                 if node is None or node in seen:
                     continue
@@ -172,23 +196,12 @@ def _packer(n: int, percent: int, buckets: int):
                 for layout in layouts(len(s), percent, table):
                     keys.append(keys_of(s, layout, table[layout][1]))
                     owners.append(np.full(len(keys[-1]), node, np.int64))
-            if not keys:
-                continue
-            k, o = np.concatenate(keys), np.concatenate(owners)
-            order = np.argsort(k, kind="stable")
-            k, o = k[order], o[order]
-            first, length = runs(k)
-            many = np.repeat(length > 1, length)
-            rows = []
-            # members of a value that the batch repeats need no meeting: they are dealt by node
-            for side, pick in ((True, np.flatnonzero(many)), (False, first)):
-                kk, oo = k[pick], o[pick]
-                dealt = (mixed(oo.view(np.uint64) if side else kk) % np.uint64(buckets)).astype(np.int64)
-                by = np.argsort(dealt, kind="stable")
-                at, size = runs(dealt[by])
-                rows += [(int(dealt[by[a]]), side, kk[by[a:a + m]].tobytes(), oo[by[a:a + m]].tobytes()) for a, m in zip(at, size)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.bool_(), pa.binary(), pa.binary()))],
-                                             names=["bucket", "side", "keys", "nodes"])
+                    held += len(keys[-1])
+                if held >= HELD:
+                    yield _packed(keys, owners, buckets)
+                    keys, owners, held = [], [], 0
+            if keys:
+                yield _packed(keys, owners, buckets)
 
     return run
 
@@ -220,9 +233,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            left, right = (word_hashes(as_bytes(batch.column(c))) for c in ("text_a", "text_b"))
-            for x, y in zip(left, right):
-                x, y = shingles(x, n), shingles(y, n)
+            for (x, _), (y, _) in zip(_sets(batch, n, "text_a"), _sets(batch, n, "text_b")):
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * common >= percent * (len(x) + len(y) - common) and len(x) > 0)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -236,8 +247,7 @@ def _sketches(texts: DataFrame, n: int, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for node, words in zip(batch.column("node").to_pylist(), word_hashes(as_bytes(batch.column("text")))):
-                s = shingles(words, n)
+            for node, (s, _) in zip(batch.column("node").to_pylist(), _sets(batch, n)):
                 rows += [(node, k, len(s), sketch(s, k, table[k][1]).tobytes()) for k in layouts(len(s), percent, table)] if len(s) else []
             cols = list(zip(*rows)) or [(), (), (), ()]
             yield pa.RecordBatch.from_arrays(

@@ -28,6 +28,7 @@ columns are ignored. A damaged shard raises an error that names the shard and th
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import uuid
@@ -45,7 +46,7 @@ from assetlake.llm.hashing import mixed
 from assetlake.session import checkpoint_dir
 
 END_ID = 1
-MEMO = 250_000
+MEMO = 150_000
 LINE = 200  # letter runs that are encoded together
 BLOCK = 1 << 19  # bytes of texts whose chunks are looked up together
 SHARD_BYTES = 16 << 20
@@ -153,6 +154,7 @@ class _Encoder:
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
