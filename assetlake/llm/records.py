@@ -46,7 +46,7 @@ from assetlake.llm.hashing import mixed
 from assetlake.session import checkpoint_dir
 
 END_ID = 1
-MEMO = 150_000
+MEMO = 300_000
 LINE = 200  # letter runs that are encoded together
 BLOCK = 1 << 19  # bytes of texts whose chunks are looked up together
 SHARD_BYTES = 16 << 20
