@@ -52,7 +52,7 @@ from assetlake.llm.hashing import as_bytes, mixed, runs, shingles, word_hashes
 
 BAND = 1.3
 FEW = 64
-TILE = 2048
+TILE = 8192
 PRUNINGS = 4
 SLICE = 4 << 20  # bytes of texts that are hashed at a time
 HELD = 1 << 20  # keys that are packed at a time
