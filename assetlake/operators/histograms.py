@@ -8,8 +8,10 @@ histograms is a plain aggregation with map-side partial sums; the statistics are
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,23 +20,49 @@ from assetlake.operators.images import luma, quality_score
 CELLS = 256
 GRAY = ["gray"]
 COLOUR = ["red", "green", "blue", "luma"]
+STRIP = 1 << 17  # pixels of a picture that are counted at a time
+ROWS = 256  # pictures whose counts are held at a time
 
 
 def counts_of(data: np.ndarray, channels: int = 1) -> np.ndarray:
     """Counts of a picture's bytes: one row of 256 for gray, four (red, green, blue, luma) for colour."""
-    if channels == 1:
-        return np.bincount(data, minlength=CELLS)[None, :]
-    pixels = data[:len(data) // channels * channels].reshape(-1, channels)[:, :3]
-    planes = [pixels[:, c] for c in range(3)] + [luma(pixels[None, :, :]).ravel()]
-    return np.stack([np.bincount(p, minlength=CELLS) for p in planes])
+    counts = np.zeros((1 if channels == 1 else len(COLOUR), CELLS), np.int64)
+    pixels = data[:len(data) // channels * channels].reshape(-1, channels)
+    for start in range(0, len(pixels), STRIP):
+        strip = pixels[start:start + STRIP, :3]
+        planes = list(strip.T) if channels == 1 else [*strip.T, luma(strip[None, :, :]).ravel()]
+        counts += np.stack([np.bincount(p, minlength=CELLS) for p in planes])
+    return counts
+
+
+def _cut(column: pa.Array) -> Iterator[pa.Array]:
+    """Some rows of an Arrow batch at a time: a batch is as long as the session says, what is made of it isn't."""
+    for start in range(0, max(1, len(column)), ROWS):
+        yield column.slice(start, ROWS)
+
+
+def _lists(values: pa.Array, length: int, mask: pa.Array | None = None) -> pa.Array:
+    """Lists of ``length`` values each."""
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, len(values) + 1, length, dtype=np.int32)), values, mask=mask)
+
+
+def _histograms(channels: int):
+    def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        planes = len(GRAY if channels == 1 else COLOUR)
+        for batch in batches:
+            for some in _cut(batch):
+                counts = np.zeros((len(some), planes, CELLS), np.int64)
+                for i, picture in enumerate(some):
+                    if picture.is_valid:
+                        counts[i] = counts_of(np.frombuffer(picture.as_buffer(), np.uint8), channels)
+                yield _lists(_lists(pa.array(counts.ravel()), CELLS), planes, pa.array(np.asarray(some.is_null())))
+
+    return count
 
 
 def histogram(pixels: Column, channels: int = 1) -> Column:
     """One array of 256 counts for each channel of raw pixel bytes (null for null), by an Arrow UDF."""
-    def count(data: pd.Series) -> pd.Series:
-        return pd.Series([None if b is None else counts_of(np.frombuffer(b, np.uint8), channels).tolist() for b in data])
-
-    return F.pandas_udf(count, "array<array<bigint>>")(pixels)
+    return F.arrow_udf(_histograms(channels), "array<array<bigint>>")(pixels)
 
 
 def merged(counts: DataFrame, keys: list[str], histograms: str = "counts", channels: int = 1) -> DataFrame:
@@ -52,14 +80,19 @@ def strips(pictures: DataFrame, pixels: str, size: int, channels: int = 1) -> Da
     return pictures.withColumn("_at", F.explode(starts)).withColumn(pixels, F.substring(F.col(pixels), F.col("_at"), F.lit(step))).drop("_at")
 
 
-def moments(histograms: Column) -> Column:
-    """For each channel the whole-number sums over the cells: n, s1 (of values) and s2 (of their squares)."""
+def _moments(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     powers = np.arange(CELLS, dtype=np.int64)[:, None] ** np.arange(3)
+    for batch in batches:
+        for some in _cut(batch):
+            sums = some.flatten().flatten().to_numpy().reshape(-1, CELLS) @ powers
+            each = pa.StructArray.from_arrays([pa.array(sums[:, k]) for k in range(3)], ["n", "s1", "s2"])
+            ends = np.cumsum([0, *(len(r) if r.is_valid else 0 for r in some)], dtype=np.int32)
+            yield pa.ListArray.from_arrays(pa.array(ends), each, mask=pa.array(np.asarray(some.is_null())))
 
-    def add(rows: pd.Series) -> pd.Series:
-        return pd.Series([None if r is None else [dict(zip(("n", "s1", "s2"), m)) for m in (np.stack(list(r)).astype(np.int64) @ powers).tolist()] for r in rows])
 
-    return F.pandas_udf(add, "array<struct<n:bigint,s1:bigint,s2:bigint>>")(histograms)
+def moments(histograms: Column) -> Column:
+    """For each channel the whole-number sums over the cells: n, s1 (of values) and s2 (of their squares)."""
+    return F.arrow_udf(_moments, "array<struct<n:bigint,s1:bigint,s2:bigint>>")(histograms)
 
 
 def channel_stats(m: Column) -> Column:

@@ -1,8 +1,10 @@
 """Header walk and byte histograms against brute force."""
 
 import struct
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -88,3 +90,31 @@ def test_strips_of_a_picture_merge_to_the_whole(spark):
     parts = HI.merged(cut.withColumn("counts", HI.histogram(F.col("pixels"), 3)), ["name"], channels=4)
     whole = {r.name: r.counts for r in d.withColumn("counts", HI.histogram(F.col("pixels"), 3)).collect()}
     assert {r.name: r.counts for r in parts.collect()} == whole
+
+
+def test_histograms_of_long_batches_take_little_memory():
+    """A batch of a large table is as long as the session says; its counts are held some rows at a time."""
+    pictures = pa.array([bytes([i % 256]) * 1100 for i in range(5000)] + [None])
+    tracemalloc.start()
+    parts, values, peak = 0, 0, 0
+    for counts in HI._histograms(1)(iter([pictures])):
+        assert counts.is_null().to_pylist() == [i == 5000 for i in range(values, values + len(counts))]
+        assert all(r is None or r[0][i % 256] == 1100 for i, r in enumerate(counts.to_pylist(), values))
+        m = next(HI._moments(iter([counts]))).to_pylist()
+        assert all(r is None or r == [{"n": 1100, "s1": 1100 * (i % 256), "s2": 1100 * (i % 256) ** 2}] for i, r in enumerate(m, values))
+        parts, values = parts + 1, values + len(counts)
+        peak = max(peak, counts.nbytes)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert values == 5001 and parts > 10
+    assert peak < 1 << 20 and most < 8 << 20, (peak, most)
+
+
+def test_counts_of_a_large_picture_take_little_memory():
+    data = np.arange(1 << 24, dtype=np.uint32).astype(np.uint8)
+    tracemalloc.start()
+    counts = HI.counts_of(data)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (counts == 1 << 16).all() and counts.shape == (1, 256)
+    assert most < 8 << 20, most
