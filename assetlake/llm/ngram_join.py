@@ -21,9 +21,12 @@
    others (the original of a family, as a rule). Then, within values whose nodes aren't one component
    yet, all pairs of different components are compared by sketch: pair by pair for values with few
    nodes, where a pair must agree in as many blocks as linked sets must, in tiles of ``TILE`` nodes
-   for those with many, where a tile first reports a spanning forest and, in the third round, every
-   pair that is still apart. So no pair of a value stays untested unless its ends are connected
-   already: no link between components is lost, and no group's pairs are ever listed in full.
+   for those with many. Of these a node leaves out its most crowded ones, one less than linked sets
+   share at least, so these still meet. A tile reports the pairs of nodes that are near few others,
+   and a spanning forest of the rest; the third round reports every pair that is still apart, of the
+   values where a pair of such a forest wasn't a link. So no pair of linked sets stays untested unless
+   its ends are connected already: no link between components is lost, and no group's pairs are ever
+   listed in full.
 
 Node ids and shingles are 64-bit hashes: two different sets meet with a probability of about
 pairs / 2^64.
@@ -53,6 +56,7 @@ from assetlake.llm.hashing import as_bytes, mixed, runs, shingles, word_hashes
 BAND = 1.3
 FEW = 64
 TILE = 8192
+NEAR = 32
 PRUNINGS = 4
 SLICE = 4 << 20  # bytes of texts that are hashed at a time
 HELD = 1 << 20  # keys that are packed at a time
@@ -257,20 +261,26 @@ def _sketches(texts: DataFrame, n: int, percent: int) -> DataFrame:
     return texts.select("node", "text").mapInArrow(run, "node long, layout int, size long, sketch binary")
 
 
-def _near(left: np.ndarray, right: np.ndarray, size_l: np.ndarray, size_r: np.ndarray, percent: int) -> np.ndarray:
-    """Whether sketches (a row each) may belong to linked sets: pairwise over leading axes that broadcast."""
+def _slack(left: np.ndarray, right: np.ndarray, size_l: np.ndarray, size_r: np.ndarray, percent: int) -> np.ndarray:
+    """How near sketches (a row each) are, below 0 where they can't belong to linked sets: pairwise over leading axes that broadcast."""
     apart = np.bitwise_count(left ^ right).sum(-1, dtype=np.int64)
-    return (100 + percent) * apart <= (100 - percent) * (size_l + size_r)
+    return (100 - percent) * (size_l + size_r) - (100 + percent) * apart
 
 
 def _tile(percent: int, forest: bool):
+    """Pairs of a tile that may be linked: nodes of chunk i beside the main component with the nodes of chunk j.
+
+    As a forest, a node with more than ``NEAR`` of them reports those that join its tile's trees, the
+    nearest first; ``rest`` marks the pairs of trees of which pairs are left out.
+    """
     def run(t: pa.Table) -> pa.Table:
         t = t.sort_by("node")
-        node, part, home = (t.column(c).to_numpy() for c in ("node", "component", "chunk"))
-        size = t.column("size").to_numpy()
+        node, part, size = (t.column(c).to_numpy() for c in ("node", "component", "size"))
         bits = np.frombuffer(b"".join(t.column("sketch").to_pylist()), "<u8").reshape(len(node), -1)
-        i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
-        left, right = np.flatnonzero(home == i), np.flatnonzero(home == j)
+        key, i, j = (t.column(c)[0].as_py() for c in ("key", "i", "j"))
+        lesser = t.column("lesser").to_numpy()
+        left, right = (np.flatnonzero(t.column(c).to_numpy() == k) for c, k in (("row", i), ("column", j)))
+        left = left[lesser[left]]
         parent = {c: c for c in part.tolist()}
 
         def root(c):
@@ -278,17 +288,24 @@ def _tile(percent: int, forest: bool):
                 parent[c] = c = parent[parent[c]]
             return c
 
-        out = []
+        out, cut = [], set()
         for x in left:  # a row of the tile at a time: TILE comparisons
-            near = right[_near(bits[x], bits[right], size[x], size[right], percent) & (part[right] != part[x])]
-            for y in near[near > x] if i == j else near:
+            slack = _slack(bits[x], bits[right], size[x], size[right], percent)
+            # two nodes beside the main component meet in either's tile
+            near = (slack >= 0) & (part[right] != part[x]) & ((right > x) | ~lesser[right])
+            some = forest and np.count_nonzero(near) > NEAR
+            near = np.flatnonzero(near)
+            for y in right[near[np.argsort(-slack[near], kind="stable")] if some else near]:
                 p, q = root(part[x].item()), root(part[y].item())
-                if forest and p == q:
+                if some and p == q:
+                    cut.add(p)
                     continue
                 parent[p] = q
-                out.append((node[x].item(), node[y].item()))
-        cols = list(zip(*out)) or [(), ()]
-        return pa.table({"a": pa.array(cols[0], pa.int64()), "b": pa.array(cols[1], pa.int64())})
+                out.append((x, y))
+        cut = {root(c) for c in cut}
+        rest = [root(part[x].item()) in cut for x, _ in out]
+        ends = [pa.array(node[[pair[k] for pair in out]] if out else [], pa.int64()) for k in (0, 1)]
+        return pa.table({"key": pa.array([key] * len(out), pa.int64()), "a": ends[0], "b": ends[1], "rest": pa.array(rest, pa.bool_())})
 
     return run
 
@@ -351,29 +368,51 @@ def links(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
     found = stage(_verified(best.select(F.col("node").alias("a"), F.col("x.centre").alias("b")), texts, n, percent), "join-links")
     release(info.sparkSession)
 
-    sketches = None
-    for last in (False, True):
-        parts = components(found, "a", "b")
-        apart = (shared.join(parts, "node", "left").select("key", "node", "layout", F.coalesce("component", "node").alias("component")))
-        open_keys = apart.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("members")).where("x < y")
-        if last:  # all pairs of values with few nodes have been compared
-            open_keys = open_keys.where(F.col("members") > FEW)
-        apart = stage(apart.join(open_keys.select("key", "members"), "key"), "join-apart")
-        if apart.isEmpty():
-            break
-        release(info.sparkSession)
-        if sketches is None:
-            sketches = stage(_sketches(texts.join(apart.select("node").distinct(), "node", "left_semi"), n, percent), "join-sketches")
-        new = _from_tiles(apart.where(F.col("members") > FEW), sketches, percent, forest=not last)
-        if not last:
-            new = new.unionAll(_from_pairs(apart, needs, sketches, percent))
-        new = stage(new.distinct(), "join-candidates")
-        release(info.sparkSession)
-        found = stage(found.unionAll(_verified(new, texts, n, percent)), "join-links")
-        release(info.sparkSession)
-    else:
-        parts = components(found, "a", "b")
-    return info, parts
+    parts = components(found, "a", "b")
+    apart = stage(_open(shared.join(parts, "node", "left").select("key", "node", "layout", F.coalesce("component", "node").alias("component"))), "join-apart")
+    if apart.isEmpty():
+        return info, parts
+    release(info.sparkSession)
+    sketches = stage(_sketches(texts.join(apart.select("node").distinct(), "node", "left_semi"), n, percent), "join-sketches")
+    crowded = stage(_open(_prefixes(apart.where(F.col("members") > FEW), needs)), "join-crowded")
+    few = _from_pairs(apart, needs, sketches, percent).select(F.lit(None).cast("long").alias("key"), "a", "b", F.lit(False).alias("rest"))
+    tried = stage(_from_tiles(crowded, sketches, percent, forest=True).unionAll(few), "join-candidates")
+    release(info.sparkSession)
+    pairs = tried.select("a", "b").distinct()
+    linked = stage(_verified(pairs, texts, n, percent), "join-links")
+    release(info.sparkSession)
+    found = found.unionAll(linked)
+    parts = components(found, "a", "b")
+
+    # a tree of links joins its near nodes: values are left where a pair of a tree wasn't a link and others weren't told
+    failed = tried.where("rest").join(linked, ["a", "b"], "left_anti").select("key").distinct()
+    again = (crowded.select("key", "node", "layout").join(failed, "key", "left_semi").join(parts, "node", "left")
+             .select("key", "node", "layout", F.coalesce("component", "node").alias("component")))
+    again = stage(_open(again), "join-again")
+    if again.isEmpty():
+        return info, parts
+    release(info.sparkSession)
+    new = stage(_from_tiles(again, sketches, percent, forest=False).select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"), "join-candidates")
+    release(info.sparkSession)
+    found = found.unionAll(stage(_verified(new, texts, n, percent), "join-links"))
+    release(info.sparkSession)
+    return info, components(found, "a", "b")
+
+
+def _open(rows: DataFrame) -> DataFrame:
+    """The rows of keys whose nodes aren't one component yet, with the number of a key's rows."""
+    keys = rows.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("members")).where("x < y")
+    return rows.drop("members").join(keys.select("key", "members"), "key")
+
+
+def _prefixes(crowded: DataFrame, needs: DataFrame) -> DataFrame:
+    """The rows without those of each node's most crowded keys of a layout, one less than linked sets share at least.
+
+    All nodes leave out by one order. Of the keys that two linked sets share, the least crowded has as
+    many behind it as either needs, less one: neither leaves that one out, so they still meet.
+    """
+    nth = F.row_number().over(Window.partitionBy("node", "layout").orderBy(F.desc("members"), "key"))
+    return crowded.withColumn("nth", nth).join(needs, ["node", "layout"]).where("nth >= need").drop("nth", "need")
 
 
 def _from_pairs(apart: DataFrame, needs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -395,21 +434,30 @@ def _from_pairs(apart: DataFrame, needs: DataFrame, sketches: DataFrame, percent
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size_a, size_b = (batch.column(f"size_{s}").to_numpy() for s in "ab")
-            keep = [bool(_near(np.frombuffer(p, "<u8"), np.frombuffer(q, "<u8"), m, k, percent)) for p, q, m, k in zip(
+            keep = [bool(_slack(np.frombuffer(p, "<u8"), np.frombuffer(q, "<u8"), m, k, percent) >= 0) for p, q, m, k in zip(
                 batch.column("sketch_a").to_pylist(), batch.column("sketch_b").to_pylist(), size_a, size_b)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.mapInArrow(run, "a long, b long")
 
 
-def _from_tiles(apart: DataFrame, sketches: DataFrame, percent: int, forest: bool) -> DataFrame:
-    """The same under a key with many nodes, compared within tiles of TILE by TILE nodes."""
-    chunks = F.ceil(F.col("members") / TILE).cast("int")
-    spread = (apart.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-              .withColumn("i", F.least("chunk", "other")).withColumn("j", F.greatest("chunk", "other"))
-              .join(sketches, ["node", "layout"]).select("key", "i", "j", "chunk", "node", "component", "size", "sketch"))
-    return spread.groupBy("key", "i", "j").applyInArrow(_tile(percent, forest), "a long, b long")
+def _from_tiles(crowded: DataFrame, sketches: DataFrame, percent: int, forest: bool) -> DataFrame:
+    """The same under a key with many nodes: those beside its largest component with all, in tiles of TILE by TILE nodes.
+
+    Where these are no more than TILE, a key's rows are no more than twice its nodes, however many these are.
+    """
+    main = (crowded.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("key").agg(F.max(F.struct("n", F.col("component").alias("main"))).alias("x")).select("key", "x.n", "x.main"))
+    rows, columns = (F.greatest(F.ceil(x / TILE), F.lit(1)).cast("int") for x in (F.col("members") - F.col("n"), F.col("members")))
+    dealt = crowded.join(main, "key").withColumn("lesser", F.col("component") != F.col("main")).withColumn("rows", rows).withColumn("columns", columns)
+    for own, of in (("row", "rows"), ("column", "columns")):
+        dealt = dealt.withColumn(own, F.pmod(F.xxhash64("node"), F.col(of)).cast("int"))
+    tiles = F.transform(F.sequence(F.lit(0), F.col("rows") - 1), lambda k: F.struct(k.alias("i"), F.col("column").alias("j")))
+    across = F.transform(F.sequence(F.lit(0), F.col("columns") - 1), lambda k: F.struct(F.col("row").alias("i"), k.alias("j")))
+    spread = (dealt.withColumn("tile", F.explode(F.when(F.col("lesser"), F.array_union(tiles, across)).otherwise(tiles)))
+              .join(sketches, ["node", "layout"])
+              .select("key", F.col("tile.i").alias("i"), F.col("tile.j").alias("j"), "row", "column", "lesser", "node", "component", "size", "sketch"))
+    return spread.groupBy("key", "i", "j").applyInArrow(_tile(percent, forest), "key long, a long, b long, rest boolean")
 
 
 def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
