@@ -17,8 +17,8 @@ and checksums and gives the offset index, a separate table (shard, record, place
 with which records can be read in any order: ``read_at`` loads the records of any part of the index,
 ``read_shuffled`` all in a seeded order.
 
-Words repeat, so a worker looks up the distinct chunks of a block of texts among about ``MEMO`` that it
-remembers. A chunk lies between ASCII white space, or a letter and a last stop, where the vocabulary's
+Words repeat, so a worker looks up the distinct chunks of a block of texts among those that it remembers:
+about ``MEMO`` new ones, and of as many older ones those met again since. A chunk lies between ASCII white space, or a letter and a last stop, where the vocabulary's
 splitting rule always splits; texts that may hold a special token are encoded whole.
 
 Defined results: a null or empty text is the end id alone; null ids come first; rows of one id go by
@@ -33,10 +33,9 @@ import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,7 +45,7 @@ from assetlake.llm.hashing import mixed
 from assetlake.session import checkpoint_dir
 
 END_ID = 1
-MEMO = 300_000
+MEMO = 120_000
 LINE = 200  # letter runs that are encoded together
 BLOCK = 1 << 19  # bytes of texts whose chunks are looked up together
 SHARD_BYTES = 16 << 20
@@ -166,6 +165,7 @@ class _Encoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith(_WORD_END)]] = True
         self.memo: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, f"<u{self.width}").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -207,10 +207,14 @@ class _Encoder:
         data = raw.tobytes()
         chunks = [data[a:b] for a, b in zip(start[some].tolist(), end[some].tolist())]
         if len(self.memo) > MEMO:
-            self.memo = {}
+            self.older, self.memo = self.memo, {}
         known = list(map(self.memo.get, chunks))
         if None in known:
-            self._learn([c for c, ids in zip(chunks, known) if ids is None])
+            missed = [c for c, ids in zip(chunks, known) if ids is None]
+            before = list(map(self.older.get, missed))
+            self.memo.update([(c, ids) for c, ids in zip(missed, before) if ids is not None])
+            if None in before:
+                self._learn([c for c, ids in zip(missed, before) if ids is None])
             known = list(map(self.memo.__getitem__, chunks))
         ids = np.frombuffer(b"".join(known), f"<u{self.width}")
         many = np.fromiter(map(len, known), np.int64, len(known)) // self.width
@@ -253,12 +257,22 @@ def _framed(tokenizer: str):
             size = max(1, min(1024, 4 * BLOCK * batch.num_rows // max(1, texts.nbytes)))
             for s in range(0, len(names), size):
                 ids = encode([t or "" for t in texts[s:s + size].to_pylist()])
-                frames = [frame(payload_of(n, x + end, encode.width)) for n, x in zip(names[s:s + size], ids)]
-                yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], names=["frame"])
+                yield pa.RecordBatch.from_arrays([_binaries([frame(payload_of(n, x + end, encode.width)) for n, x in zip(names[s:s + size], ids)])], names=["frame"])
 
     return run
 
 
+# pa.array loads pandas, 44 MB that a worker holds beside the vocabulary
+def _binaries(values: list[bytes]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, values)], dtype=np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(values), [None, pa.py_buffer(ends), pa.py_buffer(b"".join(values))])
+
+
+def _longs(values: Sequence[int | None]) -> pa.Array:
+    known = np.packbits([v is not None for v in values], bitorder="little")
+    return pa.Array.from_buffers(pa.int64(), len(values), [pa.py_buffer(known), pa.py_buffer(np.array([v or 0 for v in values], np.int64))])
+
+
 # --- writing and reading ------------------------------------------------------------------------
 def write(docs: DataFrame, path: str, tokenizer: str = "word_bpe_49k", id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write the shards of ``docs`` to the folder ``path``. ``tokenizer`` names a public vocabulary."""
@@ -293,7 +307,7 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 before += len(ids)
                 offset = after
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
+                yield pa.RecordBatch.from_arrays([_longs(c) for c in zip(*rows)], names=names)
 
 
 def build_index(spark: SparkSession, path: str) -> DataFrame:
@@ -325,7 +339,9 @@ def read_at(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
     files = _shards(spark, path).join(places, "shard").select("path", "content", "places")
     schema = f"{kind.simpleString()[7:-1].replace(',', ', ').replace(':', ' ')}, ids array<long>"
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches):
+        import pandas as pd
+
         for batch in batches:
             for where, content, rows in zip(batch["path"], batch["content"], batch["places"]):
                 data = memoryview(content)

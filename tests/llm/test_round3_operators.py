@@ -4,6 +4,7 @@ import hashlib
 import math
 import os
 import re
+import subprocess
 import sys
 import zlib
 from collections import Counter
@@ -174,6 +175,32 @@ def test_records_round_trip(spark, tmp):
     assert records.encode(empty(spark)).count() == 0
 
 
+def test_workers_that_write_records_load_no_pandas():
+    """In a process of its own, as a worker is one."""
+    code = """
+import sys, pyarrow as pa
+from assetlake.llm import records
+batch = pa.RecordBatch.from_arrays([records._longs([1, None, -5]), pa.Array.from_buffers(pa.string(), 3, records._binaries([b"a text, or two.", b"", b"x" * 9]).buffers())], names=["doc_id", "text"])
+frames = [f for b in records._framed("word_bpe_49k")(iter([batch])) for f in b.column(0).to_pylist()]
+shard = pa.RecordBatch.from_arrays([records._longs([0]), pa.Array.from_buffers(pa.string(), 1, records._binaries([b"p"]).buffers()), records._binaries([b"".join(f + bytes([10]) for f in frames)])], names=["shard", "path", "content"])
+assert [b.column("doc_id").to_pylist() for b in records._walk(iter([shard]))] == [[1, None, -5]]
+assert "pandas" not in sys.modules
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=__file__.rsplit("/tests/", 1)[0])
+
+
+def test_chunks_met_again_are_kept(monkeypatch):
+    import public_tokenizers
+    encoder = records._Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    monkeypatch.setattr(records, "MEMO", 50)
+    learned, learn = [], encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda new: (learned.extend(new), learn(new)))
+    texts = [" ".join(["often", "seen", *(f"w{i}x{k}" for k in range(40))]) for i in range(20)]
+    got = [encoder([t])[0] for t in texts]
+    assert [np.frombuffer(x, "<u2").tolist() for x in got] == [x[:-1].tolist() for _, x in encoded_by_force(list(enumerate(texts)))]
+    assert learned.count(b"often") == 1 and len(encoder.memo) + len(encoder.older) < 200
+
+
 def test_records_are_read_in_any_order(spark, tmp, monkeypatch):
     monkeypatch.setattr(records, "SHARD_BYTES", 4000)
     path = os.path.join(tmp, "shards")
