@@ -56,10 +56,12 @@ from assetlake.llm.hashing import as_bytes, mixed, runs, shingles, word_hashes
 BAND = 1.3
 FEW = 64
 TILE = 8192
+TILE_BYTES = 16 << 20  # of sketches: wider ones make tiles of fewer nodes
 NEAR = 32
 PRUNINGS = 4
-SLICE = 4 << 20  # bytes of texts that are hashed at a time
-HELD = 1 << 20  # keys that are packed at a time
+SLICE = 1 << 20  # bytes of texts that are hashed at a time
+HELD = 1 << 19  # keys that are packed at a time
+MET = 1 << 17  # words of sketches that a node is compared with at a time
 ONE_OFF = 2  # what stands for the number of blocks where linked sets differ in one shingle at most
 _LAYOUT_BITS = np.uint64(7)
 
@@ -140,6 +142,15 @@ _FACTS = "doc_id long, hashed long, size long, node long, needs array<int>"
 _PACKED = "bucket int, side boolean, keys binary, nodes binary"
 
 
+def _eased(run):
+    """The step, after which its idle worker gives back what Arrow keeps for reuse."""
+    def eased(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return eased
+
+
 def _sets(batch: pa.RecordBatch, n: int, column: str = "text") -> Iterator[tuple[np.ndarray, int | None]]:
     """Each text's set and node, some texts at a time."""
     texts = batch.column(column)
@@ -168,44 +179,63 @@ def _facts(n: int, percent: int):
     return run
 
 
-def _packed(keys: list[np.ndarray], owners: list[np.ndarray], buckets: int) -> pa.RecordBatch:
-    """One row a bucket of the keys of some sets."""
-    k, o = np.concatenate(keys), np.concatenate(owners)
+def _packed(k: np.ndarray, o: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """One row a bucket and side of the keys ``k`` and nodes ``o`` of some sets; the rows are views of two arrays."""
     order = np.argsort(k, kind="stable")
     k, o = k[order], o[order]
     first, length = runs(k)
-    many = np.repeat(length > 1, length)
-    rows = []
+    many, once = np.repeat(length > 1, length), np.zeros(len(k), bool)
+    once[first] = True
+    del order, first, length
     # members of a value that these sets repeat need no meeting: they are dealt by node
-    for side, pick in ((True, np.flatnonzero(many)), (False, first)):
+    for side in (True, False):
+        pick = many if side else once
         kk, oo = k[pick], o[pick]
-        dealt = (mixed(oo.view(np.uint64) if side else kk) % np.uint64(buckets)).astype(np.int64)
+        if not len(kk):
+            continue
+        dealt = (mixed(oo.view(np.uint64) if side else kk) % np.uint64(buckets)).astype(np.int32)
         by = np.argsort(dealt, kind="stable")
-        at, size = runs(dealt[by])
-        rows += [(int(dealt[by[a]]), side, kk[by[a:a + m]].tobytes(), oo[by[a:a + m]].tobytes()) for a, m in zip(at, size)]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.bool_(), pa.binary(), pa.binary()))],
-                                      names=["bucket", "side", "keys", "nodes"])
+        kk, oo, dealt = kk[by], oo[by], dealt[by]
+        at, _ = runs(dealt)
+        ends = pa.py_buffer((np.append(at, len(kk)) * 8).astype(np.int32))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(dealt[at]), pa.array(np.full(len(at), side))]
+            + [pa.Array.from_buffers(pa.binary(), len(at), [None, ends, pa.py_buffer(x)]) for x in (kk, oo)],
+            names=["bucket", "side", "keys", "nodes"])
+
+
+def _flat(column: pa.ChunkedArray, kind) -> np.ndarray:
+    """All values of a binary column as one array of numbers, with one copy at most."""
+    c = pa.concat_arrays(column.cast(pa.large_binary()).chunks or [pa.array([], pa.large_binary())])
+    if not len(c):
+        return np.zeros(0, kind)
+    ends = np.frombuffer(c.buffers()[1], np.int64)[c.offset:c.offset + len(c) + 1]
+    return np.frombuffer(c.buffers()[2], np.uint8)[ends[0]:ends[-1]].view(kind)
 
 
 def _packer(n: int, percent: int, buckets: int):
-    """Rows of _PACKED: the keys of a batch's sets, ``HELD`` or some more at a time, by bucket."""
+    """Rows of _PACKED: the keys of a batch's sets, ``HELD`` at most at a time, by bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = bands(percent)
+        keys, owners = np.empty(HELD, np.uint64), np.empty(HELD, np.int64)
         for batch in batches:
-            keys, owners, held, seen = [], [], 0, set()
+            held, seen = 0, set()
             for s, node in _sets(batch, n):
                 if node is None or node in seen:
                     continue
                 seen.add(node)
                 for layout in layouts(len(s), percent, table):
-                    keys.append(keys_of(s, layout, table[layout][1]))
-                    owners.append(np.full(len(keys[-1]), node, np.int64))
-                    held += len(keys[-1])
-                if held >= HELD:
-                    yield _packed(keys, owners, buckets)
-                    keys, owners, held = [], [], 0
-            if keys:
-                yield _packed(keys, owners, buckets)
+                    own = keys_of(s, layout, table[layout][1])
+                    for start in range(0, len(own), HELD):
+                        part = own[start:start + HELD]
+                        if held + len(part) > HELD:
+                            yield from _packed(keys[:held], owners[:held], buckets)
+                            held = 0
+                        keys[held:held + len(part)] = part
+                        owners[held:held + len(part)] = node
+                        held += len(part)
+            if held:
+                yield from _packed(keys[:held], owners[:held], buckets)
 
     return run
 
@@ -213,9 +243,9 @@ def _packer(n: int, percent: int, buckets: int):
 def _shared(t: pa.Table) -> pa.Table:
     """(key, node) of the keys that two entries of a bucket have, and all entries that were folded."""
     def all_of(side: bool, name: str, kind) -> np.ndarray:
-        own = t.filter(pc.equal(t.column("side"), side)).column(name).to_pylist()
-        return np.frombuffer(b"".join(own), kind)
+        return _flat(t.column(name).filter(pc.equal(t.column("side"), side)), kind)
 
+    pa.default_memory_pool().release_unused()
     key, node = all_of(False, "keys", np.uint64), all_of(False, "nodes", np.int64)
     order = np.lexsort((node, key))
     key, node = key[order], node[order]
@@ -242,7 +272,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
                 keep.append(100 * common >= percent * (len(x) + len(y) - common) and len(x) > 0)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(verify, "a long, b long")
+    return both.mapInArrow(_eased(verify), "a long, b long")
 
 
 def _sketches(texts: DataFrame, n: int, percent: int) -> DataFrame:
@@ -258,7 +288,7 @@ def _sketches(texts: DataFrame, n: int, percent: int) -> DataFrame:
                 [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.binary())],
                 names=["node", "layout", "size", "sketch"])
 
-    return texts.select("node", "text").mapInArrow(run, "node long, layout int, size long, sketch binary")
+    return texts.select("node", "text").mapInArrow(_eased(run), "node long, layout int, size long, sketch binary")
 
 
 def _slack(left: np.ndarray, right: np.ndarray, size_l: np.ndarray, size_r: np.ndarray, percent: int) -> np.ndarray:
@@ -274,13 +304,14 @@ def _tile(percent: int, forest: bool):
     nearest first; ``rest`` marks the pairs of trees of which pairs are left out.
     """
     def run(t: pa.Table) -> pa.Table:
-        t = t.sort_by("node")
-        node, part, size = (t.column(c).to_numpy() for c in ("node", "component", "size"))
-        bits = np.frombuffer(b"".join(t.column("sketch").to_pylist()), "<u8").reshape(len(node), -1)
+        pa.default_memory_pool().release_unused()
+        order = np.argsort(t.column("node").to_numpy())
+        node, part, size, lesser, row, column = (t.column(c).to_numpy()[order] for c in ("node", "component", "size", "lesser", "row", "column"))
+        bits = _flat(t.column("sketch"), "<u8").reshape(len(node), -1)
         key, i, j = (t.column(c)[0].as_py() for c in ("key", "i", "j"))
-        lesser = t.column("lesser").to_numpy()
-        left, right = (np.flatnonzero(t.column(c).to_numpy() == k) for c, k in (("row", i), ("column", j)))
+        left, right = np.flatnonzero(row == i), np.flatnonzero(column == j)
         left = left[lesser[left]]
+        parts = np.split(right, np.arange(0, len(right), max(1, MET // max(1, bits.shape[1])))[1:])
         parent = {c: c for c in part.tolist()}
 
         def root(c):
@@ -290,7 +321,7 @@ def _tile(percent: int, forest: bool):
 
         out, cut = [], set()
         for x in left:  # a row of the tile at a time: TILE comparisons
-            slack = _slack(bits[x], bits[right], size[x], size[right], percent)
+            slack = np.concatenate([_slack(bits[order[x]], bits[order[y]], size[x], size[y], percent) for y in parts])
             # two nodes beside the main component meet in either's tile
             near = (slack >= 0) & (part[right] != part[x]) & ((right > x) | ~lesser[right])
             some = forest and np.count_nonzero(near) > NEAR
@@ -341,9 +372,9 @@ def links(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
     hashed = F.xxhash64(F.col("text"))
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     buckets = 2 * input_splits(d)
-    info = stage(d.withColumn("hashed", hashed).mapInArrow(_facts(n, percent), _FACTS), "join-facts")
+    info = stage(d.withColumn("hashed", hashed).mapInArrow(_eased(_facts(n, percent)), _FACTS), "join-facts")
     # the keys are made anew from the texts rather than written twice: to a table and to the shuffle
-    packed = d.select("text").mapInArrow(_packer(n, percent, buckets), _PACKED)
+    packed = d.select("text").mapInArrow(_eased(_packer(n, percent, buckets)), _PACKED)
     shared = stage(packed.groupBy("bucket").applyInArrow(_shared, "key long, node long").distinct(), "join-shared")
     release(info.sparkSession)
     each = info.where("node IS NOT NULL").groupBy("node").agg(F.first("needs").alias("needs"))  # the same in all copies
@@ -438,17 +469,19 @@ def _from_pairs(apart: DataFrame, needs: DataFrame, sketches: DataFrame, percent
                 batch.column("sketch_a").to_pylist(), batch.column("sketch_b").to_pylist(), size_a, size_b)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.mapInArrow(run, "a long, b long")
+    return pairs.mapInArrow(_eased(run), "a long, b long")
 
 
 def _from_tiles(crowded: DataFrame, sketches: DataFrame, percent: int, forest: bool) -> DataFrame:
     """The same under a key with many nodes: those beside its largest component with all, in tiles of TILE by TILE nodes.
 
-    Where these are no more than TILE, a key's rows are no more than twice its nodes, however many these are.
+    A tile of sketches that fill ``TILE_BYTES`` sooner has fewer. Where these are no more than a tile's, a key's rows are no more than twice its nodes, however many these are.
     """
     main = (crowded.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
             .groupBy("key").agg(F.max(F.struct("n", F.col("component").alias("main"))).alias("x")).select("key", "x.n", "x.main"))
-    rows, columns = (F.greatest(F.ceil(x / TILE), F.lit(1)).cast("int") for x in (F.col("members") - F.col("n"), F.col("members")))
+    # a tile's memory doesn't follow the texts' length
+    most = F.get(F.array(*[F.lit(max(1, min(TILE, TILE_BYTES // (8 * blocks)))) for _, blocks in bands(percent)]), F.col("layout"))
+    rows, columns = (F.greatest(F.ceil(x / most), F.lit(1)).cast("int") for x in (F.col("members") - F.col("n"), F.col("members")))
     dealt = crowded.join(main, "key").withColumn("lesser", F.col("component") != F.col("main")).withColumn("rows", rows).withColumn("columns", columns)
     for own, of in (("row", "rows"), ("column", "columns")):
         dealt = dealt.withColumn(own, F.pmod(F.xxhash64("node"), F.col(of)).cast("int"))

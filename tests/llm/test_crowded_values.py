@@ -1,6 +1,7 @@
 """Near duplicates under block values that many nodes share."""
 
 import itertools
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -68,3 +69,62 @@ def test_tiles_of_a_value_grow_with_its_nodes(spark, monkeypatch, nodes):
     sketches = crowded.select("node", "layout", F.lit(9).cast("long").alias("size"), F.lit(bytearray(16)).alias("sketch"))
     sizes = [r.a for r in ngram_join._from_tiles(crowded, sketches, 80, True).collect()]
     assert nodes <= sum(sizes) <= 2 * nodes
+
+
+def test_packing_holds_few_times_its_keys(monkeypatch):
+    buckets, held = 50, 1 << 16
+    monkeypatch.setattr(ngram_join, "HELD", held)
+    rng = np.random.default_rng(8)
+    rows = [" ".join(f"v{x}" for x in rng.integers(0, 900, 700)) for _ in range(600)]
+    rows = [r + f" w{k}" for k, r in enumerate(rows[:40])] + rows + rows[:9] + [None, "", " ".join(f"u{x}" for x in range(400_000))]
+    batch = pa.RecordBatch.from_arrays([pa.array(rows)], names=["text"])
+    want, table = set(), ngram_join.bands(80)
+    for s, node in ngram_join._sets(batch, 5):
+        for layout in ngram_join.layouts(len(s), 80, table) if node is not None else ():
+            want |= {(int(k), node) for k in ngram_join.keys_of(s, layout, table[layout][1])}
+    assert len(want) > 2 * held
+    got, folded, most = set(), 0, 0
+    for out in ngram_join._packer(5, 80, buckets)(iter([batch])):
+        size = 0
+        for bucket, side, keys, nodes in zip(*(c.to_pylist() for c in out.columns)):
+            k, o = np.frombuffer(keys, np.uint64), np.frombuffer(nodes, np.int64)
+            dealt = ngram_join.mixed(o.view(np.uint64) if side else k) % np.uint64(buckets)
+            assert len(k) == len(o) and (dealt == bucket).all()
+            got |= set(zip(k.tolist(), o.tolist()))
+            folded += side * len(k)
+            size += len(k)
+        most = max(most, size)
+    assert got == want
+    assert folded and most <= held  # with a set's keys alone beyond what is held, too
+
+    keys = rng.integers(0, 1 << 62, 1 << 18, dtype=np.uint64)
+    owners = rng.integers(0, 1 << 62, 1 << 18)
+    tracemalloc.start()
+    n = sum(out.num_rows for out in ngram_join._packed(keys, owners, buckets))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == buckets and peak < 5 * (keys.nbytes + owners.nbytes)
+
+
+def test_wide_sketches_make_small_tiles(spark, monkeypatch):
+    nodes, layout = 300, 20
+    wide = 8 * ngram_join.bands(80)[layout][1]
+    monkeypatch.setattr(ngram_join, "TILE_BYTES", 40 * wide)
+    monkeypatch.setattr(ngram_join, "_tile", lambda percent, forest: lambda t: pa.table(
+        {"key": pa.array([1]), "a": pa.array([sum(len(x) for x in t.column("sketch").to_pylist())]), "b": pa.array([len(t)]), "rest": pa.array([False])}))
+    crowded = spark.range(nodes).select(F.lit(1).cast("long").alias("key"), F.col("id").alias("node"), F.lit(layout).alias("layout"),
+                                        F.col("id").alias("component"), F.lit(nodes).cast("long").alias("members"))
+    sketches = crowded.select("node", "layout", F.lit(9).cast("long").alias("size"), F.lit(bytearray(wide)).alias("sketch"))
+    tiles = ngram_join._from_tiles(crowded, sketches, 80, True).collect()
+    # nodes are dealt by hash: some more than 40 a side
+    assert len(tiles) == 64 and max(r.a for r in tiles) <= 2.8 * 40 * wide
+
+
+def test_wide_sketches_match_brute_force(spark, monkeypatch):
+    for name, value in (("FEW", 2), ("TILE_BYTES", 4000), ("MET", 100)):
+        monkeypatch.setattr(ngram_join, name, value)
+    rows = list(enumerate(family(5) + family(6, 25, 60)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    _, group = linked_by_force(rows)
+    want = {i: min(j for j, g in enumerate(group) if g == group[i]) for i, _ in rows}
+    assert {r.doc_id: r.component_id for r in ngram_join.join(docs, 5, 80).collect()} == want
