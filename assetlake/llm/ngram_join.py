@@ -405,7 +405,9 @@ def links(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
         return info, parts
     release(info.sparkSession)
     sketches = stage(_sketches(texts.join(apart.select("node").distinct(), "node", "left_semi"), n, percent), "join-sketches")
-    crowded = stage(_open(_prefixes(apart.where(F.col("members") > FEW), needs)), "join-crowded")
+    # written before its keys are counted, which would make all its rows a second time
+    prefixes = stage(_prefixes(apart.where(F.col("members") > FEW), needs), "join-prefixes")
+    crowded = stage(_open(prefixes), "join-crowded")
     few = _from_pairs(apart, needs, sketches, percent).select(F.lit(None).cast("long").alias("key"), "a", "b", F.lit(False).alias("rest"))
     tried = stage(_from_tiles(crowded, sketches, percent, forest=True).unionAll(few), "join-candidates")
     release(info.sparkSession)
@@ -442,8 +444,11 @@ def _prefixes(crowded: DataFrame, needs: DataFrame) -> DataFrame:
     All nodes leave out by one order. Of the keys that two linked sets share, the least crowded has as
     many behind it as either needs, less one: neither leaves that one out, so they still meet.
     """
-    nth = F.row_number().over(Window.partitionBy("node", "layout").orderBy(F.desc("members"), "key"))
-    return crowded.withColumn("nth", nth).join(needs, ["node", "layout"]).where("nth >= need").drop("nth", "need")
+    own = crowded.groupBy("node", "layout").agg(  # a node is of one component, and its keys are no more than its layout's blocks
+        F.max("component").alias("component"), F.sort_array(F.collect_list(F.struct((-F.col("members")).alias("fewer"), "key"))).alias("keys"))
+    left = F.slice("keys", F.col("need"), F.size("keys"))
+    return (own.join(needs, ["node", "layout"]).select("node", "layout", "component", F.explode(left).alias("x"))
+            .select("x.key", "node", "layout", "component", (-F.col("x.fewer")).alias("members")))
 
 
 def _from_pairs(apart: DataFrame, needs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:

@@ -128,3 +128,27 @@ def test_wide_sketches_match_brute_force(spark, monkeypatch):
     _, group = linked_by_force(rows)
     want = {i: min(j for j, g in enumerate(group) if g == group[i]) for i, _ in rows}
     assert {r.doc_id: r.component_id for r in ngram_join.join(docs, 5, 80).collect()} == want
+
+
+def test_prefixes_make_a_row_once(spark, monkeypatch):
+    """No join on the way to the prefixes makes a row for each key of a node, and their rows are made once."""
+    nodes, keys = 80, 30
+    rows = spark.createDataFrame([(k, n, 3, n, 70 + k) for n in range(nodes) for k in range(keys)], "key long, node long, layout int, component long, members long")
+    needs = spark.createDataFrame([(n, 3, 1 + n % 40) for n in range(nodes)], "node long, layout int, need int")
+    prefixes = ngram_join._prefixes(rows, needs)
+    assert prefixes.count() == sum(max(0, keys - n % 40) for n in range(nodes))
+    assert {r.key for r in prefixes.where("node = 29").collect()} == {0}  # the least crowded
+    plan = prefixes._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number" not in plan and plan.index("Generate explode") < plan.index("Join Inner") < plan.index("collect_list")
+
+    made, stage = [], ngram_join.stage
+
+    def staged(df, name):
+        made.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return stage(df, name)
+
+    monkeypatch.setattr(ngram_join, "FEW", 2)
+    monkeypatch.setattr(ngram_join, "stage", staged)
+    docs = spark.createDataFrame(list(enumerate(family(1))), "doc_id long, text string")
+    ngram_join.links(docs, 5, 80)
+    assert sum(plan.count("collect_list") for name, plan in made if name in ("join-prefixes", "join-crowded")) == 1
