@@ -17,8 +17,9 @@ and checksums and gives the offset index, a separate table (shard, record, place
 with which records can be read in any order: ``read_at`` loads the records of any part of the index,
 ``read_shuffled`` all in a seeded order.
 
-Words repeat, so a worker looks up the distinct chunks of a block of texts among those that it remembers:
-about ``MEMO`` new ones, and of as many older ones those met again since. A chunk lies between ASCII white space, or a letter and a last stop, where the vocabulary's
+Words repeat, so a worker looks up the distinct chunks of a block of texts among those that it remembers, all
+at once in arrays sorted by hash: about ``MEMO`` new ones, and of as many older ones those met again since;
+of chunks of more than 16 bytes, ``LONG_MEMO``. A chunk lies between ASCII white space, or a letter and a last stop, where the vocabulary's
 splitting rule always splits; texts that may hold a special token are encoded whole.
 
 Defined results: a null or empty text is the end id alone; null ids come first; rows of one id go by
@@ -45,7 +46,8 @@ from assetlake.llm.hashing import mixed
 from assetlake.session import checkpoint_dir
 
 END_ID = 1
-MEMO = 120_000
+MEMO = 240_000
+LONG_MEMO = 30_000
 LINE = 200  # letter runs that are encoded together
 BLOCK = 1 << 19  # bytes of texts whose chunks are looked up together
 SHARD_BYTES = 16 << 20
@@ -117,10 +119,11 @@ def _clean(text: bytes) -> np.ndarray:
     return np.insert(_PLAIN[raw], stop[_IS_LETTER[raw[stop - 1]] & _IS_SPACE[raw[stop + 1]]], 32)
 
 
-def _distinct(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Where the space-separated chunks start and end, one of each distinct chunk, and which of these each chunk is.
+def _distinct(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Where the space-separated chunks start and end, one of each distinct chunk, which of these each chunk is, and their keys.
 
     Chunks of up to 16 bytes are compared by their first and last eight; longer ones count as distinct.
+    Keys are the hash, these bytes and the size, in the order of the hashes.
     """
     inside = np.zeros(len(raw) + 2, bool)
     inside[1:-1] = raw != 32
@@ -134,13 +137,51 @@ def _distinct(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     tail = np.where(size > 8, eight[np.maximum(end - 8, 0)], np.uint64(0))
     long = size > 16
     head[long], tail[long] = start[long], ~np.uint64(0)
-    order = np.argsort(mixed(head + mixed(tail + size * np.uint64(0x9E3779B97F4A7C15))), kind="stable")
-    parts = [x[order] for x in (head, tail, size)]
+    hashed = mixed(head + mixed(tail + size * np.uint64(0x9E3779B97F4A7C15)))
+    order = np.argsort(hashed, kind="stable")
+    keys = [x[order] for x in (hashed, head, tail, size)]
     first = np.ones(len(order), bool)
-    first[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in parts])  # equal hashes of others only split a chunk's rows
+    first[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in keys])  # equal hashes of others only split a chunk's rows
     which = np.empty(len(order), np.int64)
     which[order] = np.cumsum(first) - 1
-    return start, end, order[first], which
+    return start, end, order[first], which, [x[first] for x in keys]
+
+
+def _spread(ids: np.ndarray, at: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The runs of ``ids`` from ``at`` on, of ``many`` ids each, one behind the other."""
+    before = np.cumsum(many) - many
+    return ids[np.arange(many.sum()) + np.repeat(at - before, many)]
+
+
+class _Known:
+    """Token ids of chunks of up to 16 bytes, by their keys in the order of the hashes."""
+
+    def __init__(self, width: int):
+        self.keys = [np.empty(0, kind) for kind in ("u8", "u8", "u8", "u1")]
+        self.at, self.many, self.ids = np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, f"<u{width}")
+
+    def __len__(self) -> int:
+        return len(self.at)
+
+    def find(self, keys: list[np.ndarray]) -> np.ndarray:
+        """The row of each key, -1 where there is none."""
+        if not len(self):
+            return np.full(len(keys[0]), -1)
+        at = np.minimum(np.searchsorted(self.keys[0], keys[0]), len(self) - 1)
+        same = np.logical_and.reduce([own[at] == other for own, other in zip(self.keys, keys)])
+        return np.where(same, at, -1)
+
+    def add(self, keys: list[np.ndarray], many: np.ndarray, ids: np.ndarray) -> None:
+        hashed = np.concatenate([self.keys[0], keys[0]])
+        order = np.argsort(hashed, kind="stable")  # two sorted runs or few
+
+        def merged(own: np.ndarray, other: np.ndarray) -> np.ndarray:
+            return np.concatenate([own, other.astype(own.dtype)])[order]
+
+        self.keys = [hashed[order], *map(merged, self.keys[1:], keys[1:])]
+        self.at = merged(self.at, len(self.ids) + np.cumsum(many) - many)
+        self.many = merged(self.many, many)
+        self.ids = np.concatenate([self.ids, ids])
 
 
 class _Encoder:
@@ -164,8 +205,10 @@ class _Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith(_WORD_END)]] = True
-        self.memo: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        self.memo, self.older = _Known(self.width), _Known(self.width)
+        self.long: dict[bytes, bytes] = {}
+        self.long_older: dict[bytes, bytes] = {}
+        self.learned: dict[bytes, bytes] = {}  # of the block at hand
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, f"<u{self.width}").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -177,9 +220,9 @@ class _Encoder:
             cut = ((np.flatnonzero(self.ends[ids]) + 1) * self.width).tolist()
             if len(cut) == len(line):
                 data = ids.tobytes()
-                self.memo.update(zip(line, [data[a:b] for a, b in zip([0, *cut], cut)]))
+                self.learned.update(zip(line, [data[a:b] for a, b in zip([0, *cut], cut)]))
             else:  # a letter that the library splits at
-                self.memo.update(zip(line, self._whole([x.decode() for x in line])))
+                self.learned.update(zip(line, self._whole([x.decode() for x in line])))
 
     def _learn(self, new: list[bytes]) -> None:
         plain, letters, others, cut = [], [], [], {}
@@ -192,36 +235,52 @@ class _Encoder:
                 letters.append(chunk)
             else:
                 others.append(chunk)
-        pieces = set().union(*cut.values()).difference(self.memo, plain)
+        pieces = set().union(*cut.values()).difference(self.learned, plain)
         self._learn_runs([*plain, *pieces], self.plain)
         self._learn_runs(letters, self.tokenizer)
-        known = self.memo.__getitem__
-        self.memo.update([(chunk, b"".join(map(known, own))) for chunk, own in cut.items()])
-        self.memo.update(zip(others, self._whole([x.decode() for x in others])))
+        known = self.learned.__getitem__
+        self.learned.update([(chunk, b"".join(map(known, own))) for chunk, own in cut.items()])
+        self.learned.update(zip(others, self._whole([x.decode() for x in others])))
+
+    def _new(self, data: bytes, start: np.ndarray, end: np.ndarray) -> list[bytes]:
+        """The ids of chunks that aren't among ``memo`` and ``older``."""
+        chunks = [data[a:b] for a, b in zip(start.tolist(), end.tolist())]
+        if len(self.long) > LONG_MEMO:
+            self.long_older, self.long = self.long, {}
+        long = {c for c in chunks if len(c) > 16}
+        self.learned = {c: ids for c in long if (ids := self.long.get(c, self.long_older.get(c))) is not None}
+        if new := [c for c in dict.fromkeys(chunks) if c not in self.learned]:
+            self._learn(new)
+        self.long.update([(c, self.learned[c]) for c in long])
+        out = list(map(self.learned.__getitem__, chunks))
+        self.learned = {}
+        return out
 
     def _block(self, texts: list[bytes]) -> list[bytes]:
         # a text ends with a newline, which no chunk holds, and is marked by another byte that none holds
         joined = _clean(b"".join([x for t in texts for x in (t, b"\n\xff\n")]))
         raw = np.where(joined == 255, np.uint8(32), joined)
-        start, end, some, which = _distinct(raw)
-        data = raw.tobytes()
-        chunks = [data[a:b] for a, b in zip(start[some].tolist(), end[some].tolist())]
+        start, end, some, which, keys = _distinct(raw)
         if len(self.memo) > MEMO:
-            self.older, self.memo = self.memo, {}
-        known = list(map(self.memo.get, chunks))
-        if None in known:
-            missed = [c for c, ids in zip(chunks, known) if ids is None]
-            before = list(map(self.older.get, missed))
-            self.memo.update([(c, ids) for c, ids in zip(missed, before) if ids is not None])
-            if None in before:
-                self._learn([c for c, ids in zip(missed, before) if ids is None])
-            known = list(map(self.memo.__getitem__, chunks))
-        ids = np.frombuffer(b"".join(known), f"<u{self.width}")
-        many = np.fromiter(map(len, known), np.int64, len(known)) // self.width
-        at = np.cumsum(many) - many
+            self.older, self.memo = self.memo, _Known(self.width)
+        at, many = np.empty(len(some), np.int64), np.empty(len(some), np.int64)
+        found = self.memo.find(keys)
+        missed = np.flatnonzero(found < 0)
+        before = self.older.find([x[missed] for x in keys])
+        again, new = missed[before >= 0], missed[before < 0]
+        made = self._new(raw.tobytes(), start[some[new]], end[some[new]])
+        many[new] = np.fromiter(map(len, made), np.int64, len(new)) // self.width
+        sources = [self.memo.ids, self.older.ids, np.frombuffer(b"".join(made), f"<u{self.width}")]
+        at[new] = len(sources[0]) + len(sources[1]) + np.cumsum(many[new]) - many[new]
+        for known, rows, places, first in ((self.memo, np.flatnonzero(found >= 0), found[found >= 0], 0), (self.older, again, before[before >= 0], len(sources[0]))):
+            at[rows], many[rows] = first + known.at[places], known.many[places]
+        ids = np.concatenate(sources)
+        keep = missed[keys[3][missed] <= 16]
+        if len(keep):
+            self.memo.add([x[keep] for x in keys], many[keep], _spread(ids, at[keep], many[keep]))
         size = many[which]
         before = np.cumsum(size) - size
-        every = ids[np.arange(size.sum()) + np.repeat(at[which] - before, size)]
+        every = _spread(ids, at[which], size)
         # the first chunk behind each text's mark, and so the next text's first id
         firsts = np.searchsorted(start, np.flatnonzero(joined == 255)[:-1])
         return [x.tobytes() for x in np.split(every, np.r_[before, len(every)][firsts])]

@@ -201,6 +201,36 @@ def test_chunks_met_again_are_kept(monkeypatch):
     assert learned.count(b"often") == 1 and len(encoder.memo) + len(encoder.older) < 200
 
 
+def test_remembered_chunks_take_little_memory():
+    import tracemalloc
+
+    import public_tokenizers
+    encoder = records._Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = [" ".join(f"{chr(97 + k % 26)}x{k}" for k in range(s, s + 5000)) for s in range(0, 100_000, 5000)]
+    encoder(texts[:1])
+    tracemalloc.start()
+    got = encoder(texts)
+    del got
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert len(encoder.memo) == 100_000 and held < 64 * 100_000
+
+
+@pytest.mark.parametrize("hashes", [1, 3, 1 << 20])
+def test_chunks_of_one_hash_are_told_apart(monkeypatch, hashes):
+    import public_tokenizers
+    encoder = records._Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    monkeypatch.setattr(records, "mixed", lambda x: x % np.uint64(hashes))
+    monkeypatch.setattr(records, "MEMO", 30)
+    monkeypatch.setattr(records, "LONG_MEMO", 2)
+    rng = np.random.default_rng(6)
+    words = ["a", "a\0", "\0", "it's", "eightbyt", "eightbytes", "eightbyt\0", "sixteen-bytes-ok", "more than", "Zürich,", "x" * 17, "x" * 16 + "y", "Donaudampfschifffahrt", "9%", "中文", "ﬁn"] + [f"w{k}" for k in range(30)]
+    texts = ["", " \n", "a", "a"] + [" ".join(rng.choice(words, 25)) for _ in range(60)]
+    got = [x for s in range(0, len(texts), 9) for x in encoder(texts[s:s + 9])]
+    assert [np.frombuffer(x, "<u2").tolist() for x in got] == [x[:-1].tolist() for _, x in encoded_by_force(list(enumerate(texts)))]
+    assert len(encoder.long) + len(encoder.long_older) < 8
+
+
 def test_records_are_read_in_any_order(spark, tmp, monkeypatch):
     monkeypatch.setattr(records, "SHARD_BYTES", 4000)
     path = os.path.join(tmp, "shards")
