@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import time
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,3 +67,31 @@ def release(spark: SparkSession) -> None:
         gc.collect()
         spark.sparkContext._jvm.System.gc()
         time.sleep(0.3)
+
+
+def give_back() -> None:
+    """Hand freed memory that Arrow and the C library keep for reuse to the system.
+
+    Python workers outlive their tasks, so what they keep stands beside the tasks after them.
+    """
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # a C library without it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, size: int) -> Iterator[None]:
+    """Meanwhile Spark hands Python about ``size`` bytes at a time, unless the session says how many.
+
+    Rows of texts differ much in length, so 10,000 of them can be any amount, once in the executor
+    and once in its worker.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is not None:
+        yield
+        return
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key)

@@ -49,7 +49,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from assetlake.llm.common import input_splits, release, stage
+from assetlake.llm.common import give_back, input_splits, release, small_batches, stage
 from assetlake.llm.components import components
 from assetlake.llm.hashing import as_bytes, mixed, runs, shingles, word_hashes
 
@@ -61,6 +61,8 @@ NEAR = 32
 PRUNINGS = 4
 SLICE = 1 << 20  # bytes of texts that are hashed at a time
 HELD = 1 << 19  # keys that are packed at a time
+KNOWN = 1 << 14  # nodes that the packer remembers
+BATCH = 4 << 20  # bytes of rows that a worker is handed at a time
 MET = 1 << 17  # words of sketches that a node is compared with at a time
 ONE_OFF = 2  # what stands for the number of blocks where linked sets differ in one shingle at most
 _LAYOUT_BITS = np.uint64(7)
@@ -143,10 +145,22 @@ _PACKED = "bucket int, side boolean, keys binary, nodes binary"
 
 
 def _eased(run):
-    """The step, after which its idle worker gives back what Arrow keeps for reuse."""
+    """The step, before and after which its worker gives back what is kept for reuse: by earlier steps, and by this one."""
     def eased(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
+        give_back()
+
+    return eased
+
+
+def _eased_group(run):
+    """The same for a step of one group at a time; small groups leave little to give back."""
+    def eased(t: pa.Table) -> pa.Table:
+        out = run(t)
+        if t.nbytes > SLICE:
+            give_back()
+        return out
 
     return eased
 
@@ -214,15 +228,17 @@ def _flat(column: pa.ChunkedArray, kind) -> np.ndarray:
 
 
 def _packer(n: int, percent: int, buckets: int):
-    """Rows of _PACKED: the keys of a batch's sets, ``HELD`` at most at a time, by bucket."""
+    """Rows of _PACKED: the keys of a task's sets, ``HELD`` at a time whatever the batches, by bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = bands(percent)
         keys, owners = np.empty(HELD, np.uint64), np.empty(HELD, np.int64)
+        held, seen = 0, set()
         for batch in batches:
-            held, seen = 0, set()
             for s, node in _sets(batch, n):
                 if node is None or node in seen:
                     continue
+                if len(seen) >= KNOWN:
+                    seen.clear()
                 seen.add(node)
                 for layout in layouts(len(s), percent, table):
                     own = keys_of(s, layout, table[layout][1])
@@ -234,8 +250,8 @@ def _packer(n: int, percent: int, buckets: int):
                         keys[held:held + len(part)] = part
                         owners[held:held + len(part)] = node
                         held += len(part)
-            if held:
-                yield from _packed(keys[:held], owners[:held], buckets)
+        if held:
+            yield from _packed(keys[:held], owners[:held], buckets)
 
     return run
 
@@ -369,13 +385,18 @@ def _pruned(shared: DataFrame, needs: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(documents: doc_id, size, node), (nodes: node, component) of linked nodes."""
+    with small_batches(docs.sparkSession, BATCH):  # all steps in Python are run and written here
+        return _links(docs, n, percent)
+
+
+def _links(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
     hashed = F.xxhash64(F.col("text"))
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     buckets = 2 * input_splits(d)
     info = stage(d.withColumn("hashed", hashed).mapInArrow(_eased(_facts(n, percent)), _FACTS), "join-facts")
     # the keys are made anew from the texts rather than written twice: to a table and to the shuffle
     packed = d.select("text").mapInArrow(_eased(_packer(n, percent, buckets)), _PACKED)
-    shared = stage(packed.groupBy("bucket").applyInArrow(_shared, "key long, node long").distinct(), "join-shared")
+    shared = stage(packed.groupBy("bucket").applyInArrow(_eased_group(_shared), "key long, node long").distinct(), "join-shared")
     release(info.sparkSession)
     each = info.where("node IS NOT NULL").groupBy("node").agg(F.first("needs").alias("needs"))  # the same in all copies
     pairs = F.transform(F.sequence(F.lit(0), F.greatest(F.size("needs") - 2, F.lit(0)), F.lit(2)), lambda i: F.struct(
@@ -495,7 +516,7 @@ def _from_tiles(crowded: DataFrame, sketches: DataFrame, percent: int, forest: b
     spread = (dealt.withColumn("tile", F.explode(F.when(F.col("lesser"), F.array_union(tiles, across)).otherwise(tiles)))
               .join(sketches, ["node", "layout"])
               .select("key", F.col("tile.i").alias("i"), F.col("tile.j").alias("j"), "row", "column", "lesser", "node", "component", "size", "sketch"))
-    return spread.groupBy("key", "i", "j").applyInArrow(_tile(percent, forest), "key long, a long, b long, rest boolean")
+    return spread.groupBy("key", "i", "j").applyInArrow(_eased_group(_tile(percent, forest)), "key long, a long, b long, rest boolean")
 
 
 def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
