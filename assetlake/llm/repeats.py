@@ -21,8 +21,14 @@ id. Sorting every suffix of a corpus isn't needed to find these strings:
 What one batch of documents repeats within itself is folded before each shuffle: a hash or a
 surrounding that many of its documents share is sent on once.
 
+Disk: surroundings are seven times the text where all of it repeats. So steps 3 and 4 run in passes,
+each over the anchors of some classes of hashes (equal anchors are in one class). Their number follows
+the share of anchors that repeat, so that the surroundings of a pass are never more than about the
+text itself, whatever repeats; a pass's shuffles go before the next one's. Packed values are
+compressed, and spans merged before they are sent or written.
+
 Memory: a task holds the packed anchors or surroundings of one bucket; buckets grow in number with
-the input. A single string of ``GRAM`` bytes with very many different surroundings is held by one
+the input, those of surroundings with what repeats too. A single string of ``GRAM`` bytes with very many different surroundings is held by one
 task, 100 bytes for each.
 
 Defined results: a null text is empty; texts shorter than ``LENGTH`` keep everything; rows with one
@@ -34,10 +40,12 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +57,10 @@ GRAM = 24
 REACH = LENGTH - GRAM  # bytes that a window can have before or after an anchor
 CHUNK = 1 << 20
 LAST = (1 << 63) - 1
+CLASSES = 24  # of hashes; a pass takes some of them
+PASSES = 8  # where all anchors repeat
+AT_ONCE = 1 << 26  # bytes of surroundings that are too few for several passes
+BUCKET = 24 << 20  # bytes of surroundings that meet in one group, about
 _BYTE = np.random.default_rng(5).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 
@@ -104,10 +116,17 @@ def anchors(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.nda
 
 
 def _packed(bucket: np.ndarray, columns: list[np.ndarray], side: bool) -> list[tuple]:
-    """One row for each bucket, with each column's values as bytes."""
+    """One row for each bucket, with each column's values as compressed bytes."""
     by = np.argsort(bucket, kind="stable")
     first, size = runs(bucket[by])
-    return [(int(bucket[by[a]]), side, *(c[by[a:a + m]].tobytes() for c in columns)) for a, m in zip(first, size)]
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    return [(int(bucket[by[a]]), side, *(squeeze(c[by[a:a + m]].tobytes()) for c in columns)) for a, m in zip(first, size)]
+
+
+def _values(packed: pa.ChunkedArray, kind) -> np.ndarray:
+    """The values of packed rows; a row that lacks them has no bytes."""
+    loose = zstandard.ZstdDecompressor().decompress
+    return np.frombuffer(b"".join(loose(x) for x in packed.to_pylist() if x), kind)
 
 
 def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
@@ -131,7 +150,9 @@ def _send_anchors(buckets: int):
             last = first + size - 1
             many = doc[first] != doc[last]  # repeated within the batch
             own = np.repeat(many, size)
-            rows = _packed(doc[own] % buckets, [doc[own], at[own]], True) if own.any() else []
+            # to any bucket of the hash's class, as one hash can have many documents
+            to = (hashed[own] % np.uint64(CLASSES)).astype(np.int64) + CLASSES * (doc[own] % (buckets // CLASSES))
+            rows = _packed(to, [doc[own], at[own]], True) if own.any() else []
             rows = [(*r, b"") for r in rows]
             # what isn't repeated here goes on whole, what is goes on once
             on = ~own
@@ -143,7 +164,7 @@ def _send_anchors(buckets: int):
 
 
 def _column(t: pa.Table, side: bool, name: str, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(t.filter(pc.equal(t.column("side"), side)).column(name).to_pylist()), kind)
+    return _values(t.filter(pc.equal(t.column("side"), side)).column(name), kind)
 
 
 def _by_part(owner: np.ndarray, columns: list[np.ndarray], buckets: int) -> pa.Table:
@@ -154,31 +175,39 @@ def _by_part(owner: np.ndarray, columns: list[np.ndarray], buckets: int) -> pa.T
                      **{f"c{i}": pa.array(c, pa.binary()) for i, c in enumerate(cols[3:])}})
 
 
-def _unpacked(kinds: list, names: list[str]):
-    """From the packed rows of a part: a row for each owner, with its values packed."""
-    def run(t: pa.Table) -> pa.Table:
-        def all_of(name, kind):
-            return np.frombuffer(b"".join(t.column(name).to_pylist()), kind)
+def _unpacked(t: pa.Table) -> pa.Table:
+    """From the packed anchors of a part: a row for each document, with its positions."""
+    doc, at = _values(t.column("owner"), np.int64), _values(t.column("c0"), np.uint32)
+    order = np.argsort(doc, kind="stable")
+    doc, at = doc[order], at[order]
+    first, size = runs(doc)
+    return pa.table({"d": pa.array(doc[first], pa.int64()), "at": pa.array([at[a:a + m].tobytes() for a, m in zip(first, size)], pa.binary())})
 
-        owner, columns = all_of("owner", np.int64), [all_of(f"c{i}", k) for i, k in enumerate(kinds)]
-        order = np.argsort(owner, kind="stable")
-        owner, columns = owner[order], [c[order] for c in columns]
-        first, size = runs(owner)
-        return pa.table({names[0]: pa.array(owner[first], pa.int64()),
-                         **{n: pa.array([c[a:a + m].tobytes() for a, m in zip(first, size)], pa.binary()) for n, c in zip(names[1:], columns)}})
 
-    return run
-
-
-def _repeated(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """(document, position) of the anchors that two documents have."""
+def _repeated(t: pa.Table) -> tuple[np.ndarray, np.ndarray, int]:
+    """(document, position) of the anchors that two documents have, and the number of all."""
     doc, at, hashed = (_column(t, False, c, k) for c, k in (("docs", np.int64), ("at", np.uint32), ("hashes", np.uint64)))
     order = np.lexsort((doc, hashed))
     doc, at, hashed = doc[order], at[order], hashed[order]
     first, size = runs(hashed)
     many = np.repeat(doc[first] != doc[first + size - 1], size) if len(first) else np.zeros(0, bool)
-    doc = np.concatenate([doc[many], _column(t, True, "docs", np.int64)])
-    return doc, np.concatenate([at[many], _column(t, True, "at", np.uint32)])
+    own = _column(t, True, "docs", np.int64)
+    return np.concatenate([doc[many], own]), np.concatenate([at[many], _column(t, True, "at", np.uint32)]), len(doc) + len(own)
+
+
+def _anchors_by_part(buckets: int):
+    def run(t: pa.Table) -> pa.Table:
+        doc, at, sent = _repeated(t)
+        order = np.argsort(doc, kind="stable")
+        out = _by_part(doc[order], [at[order]], buckets)
+        if not out.num_rows:  # for the count
+            out = pa.table({"part": pa.array([0], pa.int32()), "owner": pa.array([b""], pa.binary()), "c0": pa.array([b""], pa.binary())})
+        n = [0] * (out.num_rows - 1)
+        return pa.table({"class": pa.array([t.column("bucket")[0].as_py() % CLASSES] * out.num_rows, pa.int32()),
+                         "sent": pa.array([sent, *n], pa.int64()), "kept": pa.array([len(doc), *n], pa.int64()),
+                         **{c: out.column(c) for c in out.column_names}})
+
+    return run
 
 
 #: A surrounding: the byte before, REACH bytes, the anchor, REACH bytes; how many of the bytes before and after exist.
@@ -213,8 +242,8 @@ def _send_surroundings(buckets: int):
             gone = order[later]
             rows = []
             if len(gone):
-                rows = [(*r, b"", b"", b"") for r in _packed(row[gone] % buckets, [
-                    *_spans(row[gone], at[gone] - np.minimum(before[gone], REACH), at[gone] + after[gone], before[gone], after[gone])], True)]
+                own = _joined(*_spans(row[gone], at[gone] - np.minimum(before[gone], REACH), at[gone] + after[gone], before[gone], after[gone]))
+                rows = [(*r, b"", b"", b"") for r in _packed(own[0] % buckets, [*own], True)]
             on = order[~later]
             gram = np.ascontiguousarray(around[on, 1 + REACH:1 + REACH + GRAM]).view("<u8").reshape(len(on), -1)
             key = mixed(mixed(mixed(gram[:, 0]) ^ gram[:, 1]) ^ gram[:, 2])
@@ -231,6 +260,20 @@ def _spans(row, start, stop, before, after):
     return row.astype(np.int64), start.astype(np.int64), stop.astype(np.int64)
 
 
+def _joined(row: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each row's spans as maximal runs, sorted; empty ones left out."""
+    some = stop > start
+    row, start, stop = row[some], start[some], stop[some]
+    order = np.lexsort((start, row))
+    row, start, stop = row[order], start[order], stop[order]
+    # rows one after the other on one line, so that no span of a row reaches into the next
+    _, size = runs(row)
+    base = np.repeat(np.arange(len(size)), size) << 33
+    reach = np.maximum.accumulate(base + stop)
+    new = np.r_[True, (base + start)[1:] > reach[:-1]] if len(row) else np.zeros(0, bool)
+    return row[new], start[new], (reach - base)[np.r_[new[1:], True]] if len(row) else stop
+
+
 def intervals(prefix: list[int], at_least: int) -> list[tuple[int, int, int]]:
     """Common-prefix intervals (length, first, last) of a sorted list of suffixes, inner ones first.
 
@@ -317,9 +360,24 @@ def _maximal(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         for w, a, b in zip(who.tolist(), start.tolist(), stop.tolist()):
             own = np.array(of[int(heads[w])])
             out.append((row[own], at[own] + a, at[own] + b))
-    row, start, stop = (np.concatenate(c) for c in zip(*out))
-    some = stop > start
-    return row[some], start[some], stop[some]
+    return _joined(*(np.concatenate(c) for c in zip(*out)))
+
+
+def _spans_by_part(buckets: int):
+    def run(t: pa.Table) -> pa.Table:
+        row, start, stop = _maximal(t)
+        return _by_part(row, [start.astype(np.uint32), (stop - start).astype(np.uint32)], buckets)
+
+    return run
+
+
+def _spans_of_rows(t: pa.Table) -> pa.Table:
+    """From the packed spans of a part: a row for each owner, with its spans as maximal runs."""
+    start, size = (_values(t.column(c), np.uint32).astype(np.int64) for c in ("c0", "c1"))
+    row, start, stop = _joined(_values(t.column("owner"), np.int64), start, start + size)
+    first, size = runs(row)
+    return pa.table({"row": pa.array(row[first], pa.int64()),
+                     **{n: pa.array([c[a:a + m].tobytes() for a, m in zip(first, size)], pa.binary()) for n, c in (("starts", start), ("stops", stop))}})
 
 
 def merged(starts: bytes | None, stops: bytes | None) -> list[tuple[int, int]]:
@@ -339,26 +397,36 @@ def _row(doc_id: Column, text: Column) -> Column:
     return F.xxhash64(doc_id, text)
 
 
+def passes(sent: int, kept: int) -> int:
+    """Number of passes over ``kept`` repeated anchors of ``sent``: the surroundings of each are about as many bytes as the text."""
+    return max(1, -(-PASSES * kept // sent)) if kept * (_AROUND + 2) > AT_ONCE else 1
+
+
+def _pass(d: DataFrame, repeated: DataFrame, buckets: int, parts: int) -> DataFrame:
+    """Table of the spans that the repeats around these anchors remove."""
+    at = repeated.groupBy("part").applyInArrow(_unpacked, "d long, at binary")  # a document's own positions
+    sent = d.join(at, "d").select("d", "row", "text", "at").mapInArrow(
+        _send_surroundings(buckets), "bucket int, side boolean, docs binary, rows binary, at binary, around binary, before binary, after binary")
+    return stage(sent.groupBy("bucket").applyInArrow(_spans_by_part(parts), "part int, owner binary, c0 binary, c1 binary"), "repeats-spans")
+
+
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row, starts, stops): for each row hash the packed spans to remove, not yet merged."""
+    """(row, starts, stops): for each row hash the packed spans to remove, as maximal runs."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     d = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("d"), _row(F.col(id_col), text).alias("row"), text.alias("text"))
-    buckets = 2 * input_splits(d)
+    buckets = -(-2 * input_splits(d) // CLASSES) * CLASSES
     sent = d.select("d", "text").mapInArrow(_send_anchors(buckets), "bucket int, side boolean, docs binary, at binary, hashes binary")
     repeated = stage(sent.groupBy("bucket").applyInArrow(
-        lambda t: _by_part(*_with_list(_repeated(t)), buckets), "part int, owner binary, c0 binary"), "repeats-anchors")
+        _anchors_by_part(buckets), "class int, sent long, kept long, part int, owner binary, c0 binary"), "repeats-anchors")
     release(repeated.sparkSession)
-    at = repeated.groupBy("part").applyInArrow(_unpacked([np.uint32], ["d", "at"]), "d long, at binary")  # a document's own positions
-    sent = d.join(at, "d").select("d", "row", "text", "at").mapInArrow(
-        _send_surroundings(buckets), "bucket int, side boolean, docs binary, rows binary, at binary, around binary, before binary, after binary")
-    found = stage(sent.groupBy("bucket").applyInArrow(
-        lambda t: _by_part(*_with_list(_maximal(t)), buckets), "part int, owner binary, c0 binary, c1 binary"), "repeats-spans")
-    release(found.sparkSession)
-    return found.groupBy("part").applyInArrow(_unpacked([np.int64, np.int64], ["row", "starts", "stops"]), "row long, starts binary, stops binary")
-
-
-def _with_list(columns: tuple) -> tuple:
-    return columns[0], list(columns[1:])
+    n_sent, n_kept = (n or 0 for n in repeated.agg(F.sum("sent"), F.sum("kept")).first())
+    n = passes(n_sent, n_kept)
+    met = max(buckets // n, n_kept * (_AROUND + 2) // (n * BUCKET), 1)
+    found = []
+    for k in range(n):
+        found.append(_pass(d, repeated.where(F.col("class") % n == k).select("part", "owner", "c0"), met, buckets))
+        release(repeated.sparkSession)
+    return reduce(DataFrame.unionByName, found).groupBy("part").applyInArrow(_spans_of_rows, "row long, starts binary, stops binary")
 
 
 def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
